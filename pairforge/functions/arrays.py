@@ -92,20 +92,37 @@ def apply_temperature(logits, t: float) -> Column:
     return F.transform(_c(logits), lambda x: x / F.lit(d))
 
 
+def _with_scalar(arr: Column, scalar: Column, fn) -> Column:
+    """``transform(arr, x -> fn(x, scalar))`` with ``scalar`` evaluated once per
+    row (an outer expression inside a lambda would be re-evaluated per element)."""
+    return F.zip_with(arr, F.array_repeat(scalar, F.size(arr)), fn)
+
+
+def _lse_state(c: Column) -> Column:
+    """One pass over ``c``: struct(m = running max, s = Σ exp(x - m))."""
+    init = F.struct(F.lit(float("-inf")).alias("m"), F.lit(0.0).alias("s"))
+
+    def step(acc, x):
+        m2 = F.greatest(acc["m"], x.cast("double"))
+        return F.struct(m2.alias("m"), (acc["s"] * F.exp(acc["m"] - m2) + F.exp(x - m2)).alias("s"))
+    return F.aggregate(c, init, step)
+
+
+def logsumexp(logits) -> Column:
+    st = _lse_state(_c(logits))
+    return st["m"] + F.log(st["s"])
+
+
 def log_softmax(logits) -> Column:
-    """P10: max-shifted log-softmax of ARRAY<DOUBLE>."""
+    """P10: max-shifted log-softmax of ARRAY<DOUBLE>, linear per row."""
     c = _c(logits)
-    m = F.array_max(c)
-    lse = F.log(F.aggregate(c, F.lit(0.0).cast("double"), lambda acc, x: acc + F.exp(x - m))) + m
-    return F.transform(c, lambda x: x - lse)
+    return _with_scalar(c, logsumexp(c), lambda x, lse: x - lse)
 
 
 def softmax(logits) -> Column:
-    """P10: max-shifted softmax of ARRAY<DOUBLE>."""
+    """P10: max-shifted softmax of ARRAY<DOUBLE>, linear per row."""
     c = _c(logits)
-    m = F.array_max(c)
-    z = F.aggregate(c, F.lit(0.0).cast("double"), lambda acc, x: acc + F.exp(x - m))
-    return F.transform(c, lambda x: F.exp(x - m) / z)
+    return _with_scalar(c, _lse_state(c), lambda x, st: F.exp(x - st["m"]) / st["s"])
 
 
 def argmax(logits) -> Column:
@@ -118,7 +135,7 @@ def mask_top_n(logits, n: int, fill: float = MASK_VALUE) -> Column:
     """Values below the n-th largest become ``fill``; ties at the threshold stay."""
     c = _c(logits)
     thr = F.element_at(F.reverse(F.array_sort(c)), n)
-    return F.transform(c, lambda x: F.when(x < thr, F.lit(fill)).otherwise(x))
+    return _with_scalar(c, thr, lambda x, t: F.when(x < t, F.lit(fill)).otherwise(x))
 
 
 def length_penalty(step, alpha: float = 0.6) -> Column:

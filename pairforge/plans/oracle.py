@@ -19,3 +19,146 @@ def registry() -> dict[str, str]:
                        "round(avg(ref_len), 6) AS mean_src_words, round(avg(hyp_len), 6) AS mean_tgt_words, "
                        "round(coalesce(avg(bleu), 0.0), 6) AS mean_bleu FROM bleu GROUP BY 1")
     return q
+
+
+# ---------------------------------------------------------------- batch two
+from .sqlfrag import EVENTS_LOG, char_ids, clean, hash_key, pad_to, teacher, truncate_eos  # noqa: E402
+
+_LI_SPLIT = f"""
+li AS (SELECT l_orderkey, l_linenumber FROM lineitem),
+lr AS (SELECT l_orderkey, l_linenumber,
+         row_number() OVER (ORDER BY {hash_key(42, 'l_orderkey', 'l_linenumber')}, l_orderkey, l_linenumber) - 1 AS rk,
+         count(*) OVER () AS n FROM li),
+lsplit AS (SELECT l_orderkey, l_linenumber, rk < round_even(CAST(0.9 AS DOUBLE) * n, 0) AS is_train FROM lr)"""
+
+_PAIR_SPLIT = CLEAN_PAIRS + f""",
+pr AS (SELECT *, row_number() OVER (ORDER BY {hash_key(42, 'line_no')}, line_no) - 1 AS rk,
+         count(*) OVER () AS n FROM clean_pairs),
+psplit AS (SELECT line_no, src, tgt, rk < round_even(CAST(0.9 AS DOUBLE) * n, 0) AS is_train FROM pr)"""
+
+
+def _enc(shift="skip"):
+    x, y = teacher(char_ids("tgt"), 1024, shift)
+    return CLEAN_PAIRS + f""",
+enc AS (SELECT line_no, {truncate_eos(char_ids('src'), 1024)} AS x_src, {x} AS x_tgt, {y} AS y
+        FROM clean_pairs)"""
+
+
+_BATCHED = _enc() + f""",
+bat AS (SELECT *, row_number() OVER (ORDER BY {hash_key('42:0', 'line_no')}, line_no) - 1 AS rank FROM enc),
+bat2 AS (SELECT *, CAST(floor(rank / 16) AS BIGINT) AS batch_id FROM bat),
+padded AS (SELECT line_no, rank, batch_id,
+   {pad_to('x_src', 'max(len(x_src)) OVER (PARTITION BY batch_id)')} AS x_src,
+   {pad_to('x_tgt', 'max(len(x_tgt)) OVER (PARTITION BY batch_id)')} AS x_tgt,
+   {pad_to('y', 'max(len(y)) OVER (PARTITION BY batch_id)')} AS y FROM bat2)"""
+
+_LOGITS = """
+lg AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS logits, label AS y FROM embeddings),
+lz AS (SELECT *, list_transform(logits, lambda x: x / 1.2) AS z FROM lg),
+lz2 AS (SELECT *, list_max(z) AS zm, list_max(logits) AS lm FROM lz),
+lz3 AS (SELECT *, ln(list_sum(list_transform(z, lambda x: exp(x - zm)))) + zm AS lse,
+               list_sum(list_transform(logits, lambda x: exp(x - lm))) AS se FROM lz2)"""
+
+_TOP_CHECKS = EVENTS_LOG + """,
+chk AS (SELECT run_id, step, value FROM mlog WHERE name = 'view')"""
+
+
+def _registry_two() -> dict[str, str]:
+    q = {}
+    q["exact_split"] = f"WITH {_LI_SPLIT} SELECT * FROM lsplit"
+    q["validation_rows"] = f"WITH {_LI_SPLIT} SELECT l_orderkey, l_linenumber FROM lsplit WHERE NOT is_train"
+    q["sample_one"] = (f"WITH {_PAIR_SPLIT} SELECT line_no, src, tgt FROM psplit WHERE NOT is_train "
+                       f"ORDER BY {hash_key(7, 'line_no')}, line_no LIMIT 1")
+    q["shuffle_batches"] = (
+        f"WITH r AS (SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY "
+        f"{hash_key('42:0', 'l_orderkey', 'l_linenumber')}) - 1 AS rank FROM lineitem) "
+        "SELECT l_orderkey, l_linenumber, rank, CAST(floor(rank / 16) AS BIGINT) AS batch_id FROM r")
+    q["teacher_forcing"] = f"WITH {_enc()} SELECT * FROM enc"
+    q["teacher_forcing_standard"] = f"WITH {_enc('standard')} SELECT * FROM enc"
+    q["padded_batches"] = f"WITH {_BATCHED} SELECT * FROM padded"
+    q["collate"] = (f"WITH {_BATCHED}, c AS (SELECT batch_id, list(rank ORDER BY rank) AS ranks, "
+                    "list(x_src ORDER BY rank) AS x_src, list(x_tgt ORDER BY rank) AS x_tgt, "
+                    "list(y ORDER BY rank) AS y FROM padded GROUP BY batch_id) SELECT * FROM c")
+    q["batch_max_len"] = (f"WITH {_BATCHED} SELECT batch_id, max(len(x_src)) AS max_x_src, "
+                          "max(len(x_tgt)) AS max_x_tgt, max(len(y)) AS max_y FROM bat2 GROUP BY batch_id")
+    q["pad_mask"] = (f"WITH {_BATCHED} SELECT line_no, list_transform(x_src, lambda v: v <> 0) AS mask "
+                     "FROM padded")
+    q["validation_batches"] = (
+        f"WITH {_PAIR_SPLIT}, v AS (SELECT line_no, row_number() OVER (ORDER BY line_no) - 1 AS rank "
+        "FROM psplit WHERE NOT is_train) SELECT line_no, rank, CAST(floor(rank / 16) AS BIGINT) AS batch_id FROM v")
+    ids = char_ids("tgt")
+    allg = ("CASE WHEN len(ids) >= 3 THEN list_transform(range(1, len(ids) - 1), "
+            "lambda i: ids[i:i + 2]) ELSE [] END")
+    q["ngram_stats"] = (f"WITH {CLEAN_PAIRS}, e AS (SELECT line_no, {ids} AS ids FROM clean_pairs), "
+                        f"g AS (SELECT line_no, {allg} AS allg FROM e) "
+                        "SELECT line_no, CAST(len(list_distinct(allg)) AS BIGINT) AS n_trigrams, "
+                        "len(list_distinct(allg)) < len(allg) AS has_repeat FROM g")
+    q["logit_ops"] = (
+        f"WITH {_LOGITS} SELECT vec_id, CAST(list_position(logits, lm) - 1 AS INTEGER) AS arg, "
+        "round(1.0 / se, 6) AS p_max, round(z[y + 1] - lse, 6) AS lsm_label, "
+        "CAST(len(list_filter(logits, lambda x: x < list_sort(logits, 'DESC')[5])) AS BIGINT) AS n_masked, "
+        "round(zm, 6) AS max_scaled FROM lz3")
+    q["token_accuracy"] = (
+        f"WITH {_LOGITS}, p AS (SELECT y, list_position(logits, lm) - 1 AS pred FROM lz3) "
+        "SELECT sum(CASE WHEN y <> 0 AND pred = y THEN 1 ELSE 0 END) AS correct, "
+        "sum(CASE WHEN y <> 0 THEN 1 ELSE 0 END) AS counted, "
+        "round(sum(CASE WHEN y <> 0 AND pred = y THEN 1 ELSE 0 END) / "
+        "sum(CASE WHEN y <> 0 THEN 1 ELSE 0 END), 6) AS accuracy FROM p")
+    q["label_smoothed_loss"] = (
+        f"WITH {_LOGITS}, t AS (SELECT 0.85 * (lse - z[y + 1]) + 0.15 * (lse - list_sum(z) / len(z)) AS l "
+        "FROM lz3 WHERE y <> 0) SELECT count(*) AS n_tokens, round(avg(l), 6) AS loss FROM t")
+    q["epoch_metrics"] = (
+        f"WITH {EVENTS_LOG} SELECT run_id, epoch, name, round(sum(value * weight) / sum(weight), 6) AS value, "
+        "sum(weight) AS weight, count(*) AS n_steps FROM mlog GROUP BY run_id, epoch, name")
+    q["top_checkpoints"] = (
+        f"WITH {_TOP_CHECKS}, r AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY value DESC, step) AS rk, "
+        "max(step) OVER (PARTITION BY run_id) AS last_step FROM chk) "
+        "SELECT run_id, step, value, CASE WHEN rk <= 3 THEN rk END AS rank, step = last_step AS is_last "
+        "FROM r WHERE rk <= 3 OR step = last_step")
+    q["early_stop"] = (
+        f"WITH {_TOP_CHECKS}, c AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY step) AS check_no, "
+        "max(value) OVER (PARTITION BY run_id ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_best "
+        "FROM chk), i AS (SELECT *, max(CASE WHEN prev_best IS NULL OR value > prev_best THEN check_no END) "
+        "OVER (PARTITION BY run_id ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_best FROM c) "
+        "SELECT run_id, min(CASE WHEN check_no - last_best >= 2 THEN check_no END) AS stop_check, "
+        "min(CASE WHEN check_no - last_best >= 2 THEN step END) AS stop_step, max(value) AS best_value, "
+        "count(*) AS n_checks FROM i GROUP BY run_id")
+    q["sample_cadence"] = f"WITH {EVENTS_LOG} SELECT run_id, step, name FROM mlog WHERE step % 50 = 0"
+    q["corpus_lines"] = (
+        f"WITH {PAIRS} SELECT CAST(floor(line_no / 3) AS BIGINT) AS group_id, "
+        "string_agg(coalesce(src, 'nan'), chr(9) ORDER BY line_no) AS line FROM pairs GROUP BY 1")
+    q["head_pairs"] = f"WITH {PAIRS} SELECT line_no, src, tgt FROM pairs WHERE line_no < 2007723"
+    q["length_penalty"] = (
+        f"WITH {CLEAN_PAIRS}, s AS (SELECT line_no, len({words('tgt')}) AS step FROM clean_pairs) "
+        "SELECT line_no, step, round(pow(6.0 + step, 0.6) / pow(6.0, 0.6), 6) AS lp FROM s")
+    q["top_tokens"] = (
+        "WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS l FROM embeddings), "
+        "x AS (SELECT vec_id, CAST(i - 1 AS INTEGER) AS token, l[i] AS logit FROM e, range(1, len(l) + 1) t(i)), "
+        "r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY logit DESC, token) AS rank FROM x) "
+        "SELECT vec_id, token, round(logit, 6) AS logit, rank FROM r WHERE rank <= 3")
+    q["row_counts"] = f"WITH {PAIRS} SELECT count(*) AS n_rows, CAST(3 AS BIGINT) AS n_cols FROM pairs"
+    from .sqlfrag import WS as _ws  # noqa: F401
+    q["strip_documents"] = (
+        "SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, CAST(length(regexp_replace(text, "
+        f"'^[{_ws}]+|[{_ws}]+$', '', 'g')) AS BIGINT) AS n_stripped FROM documents")
+    q["document_words"] = (
+        f"WITH w AS (SELECT doc_id, {words(clean('text'))} AS w FROM documents) "
+        "SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, "
+        "CAST(coalesce(list_max(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS max_word_len FROM w")
+    q["token_stats"] = (
+        f"WITH {CLEAN_PAIRS}, l AS (SELECT 'src' AS side, {char_ids('src')} AS ids FROM clean_pairs "
+        f"UNION ALL SELECT 'tgt', {char_ids('tgt')} FROM clean_pairs) "
+        "SELECT side, count(*) AS n_rows, sum(len(ids)) AS n_tokens, round(avg(len(ids)), 6) AS mean_tokens, "
+        "CAST(max(len(ids)) AS BIGINT) AS max_tokens, round(avg(CASE WHEN len(ids) > 1024 THEN 1.0 ELSE 0.0 END), 6) "
+        "AS truncated_share, round(sum(len(list_filter(ids, lambda v: v = 3))) / sum(len(ids)), 6) AS unk_share "
+        "FROM l GROUP BY side")
+    return q
+
+
+_base = registry
+
+
+def registry() -> dict[str, str]:  # noqa: F811
+    q = _base()
+    q.update(_registry_two())
+    return q

@@ -6,7 +6,7 @@ the driver can compare results on the same parquet tables.
 
 from __future__ import annotations
 
-from ..constants import WS
+from ..constants import WS  # noqa: F401
 
 
 def clean(x: str) -> str:
@@ -20,7 +20,8 @@ def words(x: str) -> str:
 
 
 def char_ids(x: str) -> str:
-    return f"list_transform(string_split({x}, ''), lambda ch: CAST(unicode(ch) AS INTEGER))"
+    return (f"CASE WHEN length({x}) = 0 THEN []::INTEGER[] ELSE "
+            f"list_transform(string_split({x}, ''), lambda ch: CAST(unicode(ch) AS INTEGER)) END")
 
 
 PAIRS = """
@@ -68,3 +69,35 @@ def bleu_ctes(src_cte: str, key: str, ref: str, hyp: str, max_n: int = 2, eps: f
   CASE WHEN m1 = 0 THEN 0.0 ELSE
     (CASE WHEN lh > lr THEN 1.0 WHEN lh = 0 THEN 0.0 ELSE exp(1.0 - lr / lh) END) * exp({logp})
   END AS bleu FROM {name}_j)"""
+
+
+def hash_key(seed, *cols) -> str:
+    parts = " || ':' || ".join(f"CAST({c} AS VARCHAR)" for c in cols)
+    return f"md5('{seed}:' || {parts})"
+
+
+def teacher(ids: str, max_len: int, shift: str = "skip") -> tuple[str, str]:
+    t = f"{ids}[1:{max_len - 2}]"
+    if shift == "skip":
+        x = f"list_concat([1], {t}[1:len({t}) - 1])"
+        y = f"list_concat({t}[2:len({t})], [2])"
+    else:
+        x = f"list_concat([1], {t})"
+        y = f"list_concat({t}, [2])"
+    return x, y
+
+
+def truncate_eos(ids: str, max_len: int) -> str:
+    return f"list_concat({ids}[1:{max_len - 1}], [2])"
+
+
+def pad_to(ids: str, m: str, pad: int = 0) -> str:
+    return f"list_concat({ids}, list_transform(range(greatest({m} - len({ids}), 0)), lambda i: {pad}))"
+
+
+EVENTS_LOG = """
+mlog AS (
+  SELECT user_id AS run_id, CAST(floor(epoch(ts) / 86400) AS BIGINT) AS epoch, event_id AS step,
+         event_type AS name, CAST(value AS DOUBLE) AS value,
+         CAST(json_extract_string(props, '$.k') AS BIGINT) + 1 AS weight
+  FROM events)"""

@@ -62,3 +62,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for an intermediate table inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def spread(df):
+    """Spread rows over all cores when a scan has fewer partitions than cores.
+
+    CPU-heavy per-row work (regexes over whole documents, tokenization) on an
+    input of a few large files would otherwise run in a few tasks.  On a big
+    input the scan already has many more partitions than cores and this is a
+    no-op, so no shuffle is added at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

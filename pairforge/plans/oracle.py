@@ -162,3 +162,87 @@ def registry() -> dict[str, str]:  # noqa: F811
     q = _base()
     q.update(_registry_two())
     return q
+
+
+# ---------------------------------------------------------------- decoding
+from .sqlfrag import ngram_list  # noqa: E402
+
+_SCORES = f"""
+cdocs AS (SELECT {char_ids(clean('text'))} AS ids FROM documents),
+cseq AS (SELECT list_concat(list_concat([1], ids), [2]) AS s FROM cdocs),
+cpair AS (SELECT s[i] AS prev_id, s[i + 1] AS token_id FROM cseq, range(1, len(s)) t(i)),
+ccnt AS (SELECT prev_id, token_id, count(*) AS c FROM cpair GROUP BY prev_id, token_id),
+cv AS (SELECT count(DISTINCT token_id) AS v FROM ccnt),
+ctot AS (SELECT prev_id, sum(c) AS tc FROM ccnt GROUP BY prev_id),
+scores AS (SELECT ccnt.prev_id, ccnt.token_id, ln((c + 1) / (tc + v)) AS logit
+           FROM ccnt JOIN ctot ON ctot.prev_id = ccnt.prev_id, cv)"""
+
+_SOURCES = _enc() + """,
+dsrc AS (SELECT line_no AS ex_id, list_concat([1], x_tgt[1:3]) AS prefix FROM enc)"""
+
+_GREEDY = f"""
+nxt AS (SELECT prev_id, first(token_id ORDER BY logit DESC, token_id) AS next_id FROM scores GROUP BY prev_id),
+walk(ex_id, step, seq, done) AS (
+  SELECT ex_id, 0, prefix, false FROM dsrc
+  UNION ALL
+  SELECT w.ex_id, w.step + 1, list_append(w.seq, coalesce(n.next_id, 2)), coalesce(n.next_id, 2) = 2
+  FROM walk w LEFT JOIN nxt n ON n.prev_id = w.seq[-1]
+  WHERE NOT w.done AND w.step < 30),
+greedy AS (SELECT ex_id, arg_max(seq, step) AS tokens, arg_max(seq, step)[len(any_value(seq)):] AS x
+           FROM walk GROUP BY ex_id)"""
+
+
+def _beam_round(prev: str, step: int, name: str) -> str:
+    lp = f"(pow(6.0 + {step}, 0.6) / pow(6.0, 0.6))"
+    live = f"{prev}" if step == 0 else f"(SELECT * FROM {prev} WHERE tokens[-1] <> 2)"
+    div = ""
+    zexpr = "s.logit"
+    if step > 0:
+        div = f"""
+{name}_occ AS (SELECT ex_id, beam_idx, unnest(tokens) AS token_id FROM {prev}),
+{name}_tot AS (SELECT ex_id, token_id, count(*) AS n_all FROM {name}_occ GROUP BY ex_id, token_id),
+{name}_own AS (SELECT ex_id, beam_idx, token_id, count(*) AS n_own FROM {name}_occ GROUP BY ex_id, beam_idx, token_id),"""
+        zexpr = "s.logit - 0.1 * (coalesce(t.n_all, 0) - coalesce(o.n_own, 0))"
+    joins = "" if step == 0 else (
+        f" LEFT JOIN {name}_tot t ON t.ex_id = b.ex_id AND t.token_id = s.token_id"
+        f" LEFT JOIN {name}_own o ON o.ex_id = b.ex_id AND o.beam_idx = b.beam_idx AND o.token_id = s.token_id")
+    rep = ("1.0" if step == 0 else
+           f"(CASE WHEN len(list_intersect({ngram_list('nt')}, {ngram_list('tokens')})) > 0 THEN 0.5 ELSE 1.0 END)")
+    carried = "" if step == 0 else (
+        f" UNION ALL SELECT ex_id, beam_idx AS parent, 0 AS cand, tokens, score FROM {prev} WHERE tokens[-1] = 2")
+    return f"""{div}
+{name}_c AS (SELECT b.ex_id, b.beam_idx AS parent, s.token_id, {zexpr} AS z, b.score, b.tokens
+             FROM {live} b JOIN scores s ON s.prev_id = b.tokens[-1]{joins}),
+{name}_r AS (SELECT *, row_number() OVER (PARTITION BY ex_id, parent ORDER BY z DESC, token_id) AS cand
+             FROM {name}_c),
+{name}_k AS (SELECT ex_id, parent, cand, tokens, list_append(tokens, token_id) AS nt, score, z
+             FROM {name}_r WHERE cand <= 16),
+{name}_u AS (SELECT ex_id, parent, cand, nt AS tokens, (score + z) / {lp} * {rep} AS score FROM {name}_k{carried}),
+{name} AS (SELECT ex_id, row_number() OVER (PARTITION BY ex_id ORDER BY score DESC, parent, cand) - 1 AS beam_idx,
+              tokens, score FROM {name}_u QUALIFY beam_idx < 8)"""
+
+
+def _registry_three() -> dict[str, str]:
+    q = {}
+    q["bigram_scores"] = f"WITH {_SCORES} SELECT prev_id, token_id, round(logit, 6) AS logit FROM scores"
+    q["decode_greedy"] = f"WITH RECURSIVE {_SCORES}, {_SOURCES}, {_GREEDY} SELECT ex_id, tokens FROM greedy"
+    q["decode_greedy_scorer"] = q["decode_greedy"]
+    q["decode_greedy_reference"] = (
+        f"WITH RECURSIVE {_SCORES}, {_SOURCES}, {_GREEDY}, "
+        "g2 AS (SELECT g.ex_id, g.tokens, len(g.tokens) - len(d.prefix) AS k FROM greedy g JOIN dsrc d USING (ex_id)), "
+        "m AS (SELECT max(k) AS mk FROM g2) "
+        "SELECT ex_id, list_concat(tokens, list_transform(range(greatest(mk - k, 0)), lambda i: 2)) AS tokens FROM g2, m")
+    init = "b0 AS (SELECT ex_id, 0 AS beam_idx, prefix AS tokens, 0.0 AS score FROM dsrc)"
+    q["beam_two_steps"] = (
+        f"WITH {_SCORES}, {_SOURCES}, {init}, {_beam_round('b0', 0, 'b1')}, {_beam_round('b1', 1, 'b2')} "
+        "SELECT ex_id, beam_idx, tokens, round(score, 6) AS score FROM b2")
+    return q
+
+
+_base3 = registry
+
+
+def registry() -> dict[str, str]:  # noqa: F811
+    q = _base3()
+    q.update(_registry_three())
+    return q

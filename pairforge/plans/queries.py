@@ -317,6 +317,8 @@ _base_registry = registry
 
 
 def registry():  # noqa: F811
+    from .model_queries import REGISTRY as _MODEL
     r = _base_registry()
     r.update(_BATCH_TWO)
+    r.update(_MODEL)
     return r

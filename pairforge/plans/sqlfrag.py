@@ -101,3 +101,8 @@ mlog AS (
          event_type AS name, CAST(value AS DOUBLE) AS value,
          CAST(json_extract_string(props, '$.k') AS BIGINT) + 1 AS weight
   FROM events)"""
+
+
+def ngram_list(x: str, n: int = 3) -> str:
+    return (f"CASE WHEN len({x}) >= {n} THEN list_transform(range(1, len({x}) - {n - 2}), "
+            f"lambda i: {x}[i:i + {n - 1}]) ELSE [] END")

@@ -76,3 +76,19 @@ def spread(df):
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
     return df
+
+
+def materialize(df):
+    """Cut lineage: a reliable checkpoint in the shared checkpoint folder.
+
+    The frame is persisted first so that the checkpoint write reads the
+    computed partitions instead of computing them a second time; the
+    checkpointed frame keeps the partitioning of its plan.
+    """
+    from pyspark import StorageLevel
+
+    ensure_checkpoint_dir(df.sparkSession)
+    d = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = d.checkpoint(eager=True)
+    d.unpersist()
+    return out

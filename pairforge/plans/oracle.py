@@ -246,3 +246,38 @@ def registry() -> dict[str, str]:  # noqa: F811
     q = _base3()
     q.update(_registry_three())
     return q
+
+
+# ---------------------------------------------------------------- io
+from ..constants import NA_STRINGS  # noqa: E402
+from .sqlfrag import WS  # noqa: E402
+
+
+def _flat_strip(x: str) -> str:
+    flat = f"regexp_replace({x}, '\\r\\n|\\r|\\n', ' ', 'g')"
+    return f"regexp_replace({flat}, '^[{WS}]+|[{WS}]+$', '', 'g')"
+
+
+def _na(x: str) -> str:
+    lits = ", ".join("'" + s.replace("'", "''") + "'" for s in NA_STRINGS)
+    return f"CASE WHEN {x} IN ({lits}) THEN NULL ELSE {x} END"
+
+
+def _registry_four() -> dict[str, str]:
+    q = {}
+    aligned = f"WITH {PAIRS}, al AS (SELECT line_no, {_flat_strip('src')} AS src, {_flat_strip('tgt')} AS tgt FROM pairs)"
+    q["aligned_text"] = f"{aligned} SELECT * FROM al"
+    q["pairs_csv_roundtrip"] = f"{aligned} SELECT line_no, {_na('src')} AS src, {_na('tgt')} AS tgt FROM al"
+    q["ensure_pairs"] = f"WITH {PAIRS} SELECT line_no, src, tgt FROM pairs"
+    q["preview"] = f"WITH {PAIRS} SELECT line_no, src, tgt FROM pairs ORDER BY line_no LIMIT 5"
+    q["stream_epoch_metrics"] = _registry_two()["epoch_metrics"]
+    return q
+
+
+_base4 = registry
+
+
+def registry() -> dict[str, str]:  # noqa: F811
+    q = _base4()
+    q.update(_registry_four())
+    return q

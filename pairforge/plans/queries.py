@@ -317,8 +317,10 @@ _base_registry = registry
 
 
 def registry():  # noqa: F811
+    from .io_queries import REGISTRY as _IO
     from .model_queries import REGISTRY as _MODEL
     r = _base_registry()
     r.update(_BATCH_TWO)
     r.update(_MODEL)
+    r.update(_IO)
     return r

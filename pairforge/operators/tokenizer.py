@@ -63,7 +63,11 @@ def encode(df: DataFrame, col: str, vocab: DataFrame, out: str = "ids", normaliz
             s = nmt_nfkc(t) if normalize else t
             ids: list[int] = []
             for w in split_words(s):
-                ids.extend(word_ids(w))
+                wi = word_ids(w)
+                # unknown runs merge across word joins too (one lattice per text)
+                if wi and ids and ids[-1] == UNK_ID and wi[0] == UNK_ID:
+                    wi = wi[1:]
+                ids.extend(wi)
             return ids
         return texts.map(one)
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..constants import SPECIAL_PIECES, VOCAB_SIZE, WORD_BOUNDARY
 from ..functions.lattice import best_path, expected_counts
 from ..functions.normalize import normalize_nmt_nfkc
-from ..session import ensure_checkpoint_dir, spread
+from ..session import ensure_checkpoint_dir, materialize, spread
 
 # --- Fixed values: trainer settings (public unigram trainer defaults) -------
 MAX_PIECE_LEN = 16
@@ -58,7 +58,10 @@ def word_counts(df: DataFrame, col: str, normalize: bool = True) -> DataFrame:
     t = normalize_nmt_nfkc(col) if normalize else F.col(col)
     w = spread(df.select(t.alias("_t")).filter(F.col("_t").isNotNull()))
     w = w.select(F.explode(F.regexp_extract_all("_t", F.lit(WORD_RE), 0)).alias("word"))
-    return w.groupBy("word").agg(F.count(F.lit(1)).alias("freq")).checkpoint(eager=True)
+    wc = w.groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
+    # the E-step is CPU-heavy Python per word: keep at least one partition per core
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return materialize(wc.repartition(max(cores * 2, 1)))
 
 
 def _required_chars(wc: DataFrame, coverage: float) -> dict[str, float]:

@@ -192,3 +192,30 @@ REGISTRY = {
     "translate": q_translate,
     "sample_report": q_sample_report,
 }
+
+
+def q_seq_token_accuracy(spark, sf_dir):
+    """A3 on sequences: teacher-forced argmax predictions of the bigram table vs labels."""
+    from ..operators.evaluation import teacher_forced_predictions
+    from ..operators.metrics import token_accuracy
+    e = encoded_pairs(spark, sf_dir).withColumnRenamed("line_no", "ex_id")
+    p = teacher_forced_predictions(e, char_scores(spark, sf_dir), "x_tgt", "ex_id")
+    r = token_accuracy(p, "pred", "y")
+    return r.select("correct", "counted", _round("accuracy", "accuracy"))
+
+
+def q_prediction_bleu(spark, sf_dir):
+    """A3 + A5 + F3 + T4 + T5: training-time evaluation of a prediction table
+    (vocabulary ids, bigram predictions, hypotheses masked by predicted pad)."""
+    from ..operators.evaluation import evaluate_predictions, teacher_forced_predictions
+    e = q_encode_pairs(spark, sf_dir).withColumnRenamed("line_no", "ex_id")
+    scores = D.bigram_scores(e, "y")
+    p = teacher_forced_predictions(e, scores, "x_tgt", "ex_id")
+    r = evaluate_predictions(p, "pred", "y", pair_vocab(spark, sf_dir, "tgt"), "ex_id")
+    return r.select("correct", "counted", _round("accuracy", "accuracy"), _round("mean_bleu", "mean_bleu"))
+
+
+REGISTRY.update({
+    "seq_token_accuracy": q_seq_token_accuracy,
+    "prediction_bleu": q_prediction_bleu,
+})

@@ -281,3 +281,27 @@ def registry() -> dict[str, str]:  # noqa: F811
     q = _base4()
     q.update(_registry_four())
     return q
+
+
+def _registry_five() -> dict[str, str]:
+    q = {}
+    q["seq_token_accuracy"] = (
+        f"WITH {_SCORES}, {_enc()}, "
+        "nxt AS (SELECT prev_id, first(token_id ORDER BY logit DESC, token_id) AS next_id FROM scores GROUP BY prev_id), "
+        "px AS (SELECT line_no, i, x_tgt[i] AS t FROM enc, range(1, len(x_tgt) + 1) r(i)), "
+        "pp AS (SELECT px.line_no, px.i, coalesce(n.next_id, 2) AS p FROM px LEFT JOIN nxt n ON n.prev_id = px.t), "
+        "cmp AS (SELECT pp.p, e.y[pp.i] AS yy FROM pp JOIN enc e ON e.line_no = pp.line_no) "
+        "SELECT sum(CASE WHEN yy <> 0 AND p = yy THEN 1 ELSE 0 END) AS correct, "
+        "sum(CASE WHEN yy <> 0 THEN 1 ELSE 0 END) AS counted, "
+        "round(sum(CASE WHEN yy <> 0 AND p = yy THEN 1 ELSE 0 END) / sum(CASE WHEN yy <> 0 THEN 1 ELSE 0 END), 6) "
+        "AS accuracy FROM cmp")
+    return q
+
+
+_base5 = registry
+
+
+def registry() -> dict[str, str]:  # noqa: F811
+    q = _base5()
+    q.update(_registry_five())
+    return q

@@ -132,9 +132,40 @@ def _score_side(scores: DataFrame, t: float) -> DataFrame:
     return _maybe_broadcast(sc)
 
 
+class _StateLoop:
+    """Per-step state of an iterative decoder.
+
+    Every step is persisted (so the following checks and the next step read
+    it once); every ``every`` steps it is written as a reliable checkpoint to
+    cut the lineage, so a lost executor replays at most ``every`` steps."""
+
+    def __init__(self, state: DataFrame, every: int = 4):
+        self.state, self.every, self.n, self._cached = state, max(1, every or 1), 0, None
+
+    def advance(self, nxt: DataFrame) -> DataFrame:
+        from pyspark import StorageLevel
+
+        self.n += 1
+        old = self._cached
+        if self.n % self.every == 0:
+            nxt = materialize(nxt)
+            self._cached = None
+        else:
+            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
+            nxt.count()  # compute every partition once, before the old state is dropped
+            self._cached = nxt
+        if old is not None:
+            old.unpersist()
+        self.state = nxt
+        return nxt
+
+    def finish(self) -> DataFrame:
+        return self.state
+
+
 def decode_random(sources: DataFrame, scores: DataFrame, max_len: int = SAMPLE_MAX_LEN,
                   top_n: int | None = None, temperature: float = 1.0, seed: int = 0,
-                  prefix: str = "prefix", out: str = "tokens", checkpoint_every: int = 1) -> DataFrame:
+                  prefix: str = "prefix", out: str = "tokens", checkpoint_every: int = 4) -> DataFrame:
     """Per step, logits / t → top-n mask → one draw from the softmax.
 
     The draw is Gumbel-max: ``argmax(logit/t − ln(−ln u))`` with ``u`` a hash
@@ -146,8 +177,9 @@ def decode_random(sources: DataFrame, scores: DataFrame, max_len: int = SAMPLE_M
         sc = sc.withColumn("_r", F.rank().over(w)).filter(F.col("_r") <= top_n).drop("_r")
     sc = _score_side(materialize(sc), 1.0)
     st = _by_example(sources.select("ex_id", F.col(prefix).alias(out), F.lit(False).alias("_done")))
-    st = materialize(st)
+    loop = _StateLoop(materialize(st), checkpoint_every)
     for step in range(max_len):
+        st = loop.state
         if st.filter(~F.col("_done")).limit(1).count() == 0:
             break
         key = F.when(F.col("_done"), F.lit(None)).otherwise(F.element_at(out, -1))
@@ -156,10 +188,10 @@ def decode_random(sources: DataFrame, scores: DataFrame, max_len: int = SAMPLE_M
         w = Window.partitionBy("ex_id").orderBy(F.col("_g").desc_nulls_last(), F.col("token_id"))
         c = c.withColumn("_g", g).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
         nxt = F.coalesce(F.col("token_id"), F.lit(EOS_ID)).cast("int")
-        st = c.select("ex_id",
-                      F.when(F.col("_done"), F.col(out)).otherwise(F.concat(out, F.array(nxt))).alias(out),
-                      (F.col("_done") | (nxt == EOS_ID)).alias("_done"))
-        st = materialize(st) if checkpoint_every and (step + 1) % checkpoint_every == 0 else st
+        loop.advance(c.select("ex_id",
+                              F.when(F.col("_done"), F.col(out)).otherwise(F.concat(out, F.array(nxt))).alias(out),
+                              (F.col("_done") | (nxt == EOS_ID)).alias("_done")))
+    st = loop.finish()
     return st.drop("_done")
 
 
@@ -213,7 +245,7 @@ def beam_step(beams: DataFrame, scores: DataFrame, step: int, beam_size: int, te
 
 def decode_beam(sources: DataFrame, scores: DataFrame, max_len: int = SAMPLE_MAX_LEN,
                 beam_size: int = BEAM_SIZE, temperature: float = 1.0, diversity: float = 0.0,
-                mode: str = "reference", prefix: str = "prefix", checkpoint_every: int = 1,
+                mode: str = "reference", prefix: str = "prefix", checkpoint_every: int = 4,
                 all_beams: bool = False) -> DataFrame:
     """Beam search for every source; returns the best beam per ``ex_id``
     (or every final beam with ``all_beams``).  Stops early when every beam of
@@ -221,13 +253,12 @@ def decode_beam(sources: DataFrame, scores: DataFrame, max_len: int = SAMPLE_MAX
     scores = materialize(scores)
     beams = _by_example(sources.select("ex_id", F.lit(0).alias("beam_idx"), F.col(prefix).alias("tokens"),
                                        F.lit(0.0).alias("score")))
-    beams = materialize(beams)
+    loop = _StateLoop(materialize(beams), checkpoint_every)
     for step in range(max_len - 1):
-        beams = beam_step(beams, scores, step, beam_size, temperature, diversity, mode)
-        if checkpoint_every and (step + 1) % checkpoint_every == 0:
-            beams = materialize(beams)
+        beams = loop.advance(beam_step(loop.state, scores, step, beam_size, temperature, diversity, mode))
         if beams.filter(F.element_at("tokens", -1) != EOS_ID).limit(1).count() == 0:
             break
+    beams = loop.finish()
     beams = beams.withColumn("done", F.element_at("tokens", -1) == EOS_ID)
     return beams if all_beams else beams.filter(F.col("beam_idx") == 0).drop("beam_idx")
 

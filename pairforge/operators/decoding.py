@@ -209,14 +209,17 @@ def beam_step(beams: DataFrame, scores: DataFrame, step: int, beam_size: int, te
     sc = _score_side(scores, t)
     ended = (F.element_at("tokens", -1) == EOS_ID) & F.lit(step > 0)
     b = beams.withColumn("_ended", ended)
+    if mode == "standard":
+        b = b.withColumn("_pg", ngrams("tokens", NGRAM_SIZE))
     if diversity > 0:
         b = b.withColumn("_all", F.flatten(F.collect_list("tokens").over(Window.partitionBy("ex_id"))))
     c = b.withColumn("_p", F.when(F.col("_ended"), F.lit(None)).otherwise(F.element_at("tokens", -1)))
     c = c.join(sc, "_p", "left").filter(F.col("_ended") | F.col("token_id").isNotNull())
     if diversity > 0:
+        # occurrences of t in the other beams; array_remove is a native loop
         tok = F.col("token_id")
-        n_all = F.size(F.filter("_all", lambda x: x == tok))
-        n_own = F.size(F.filter("tokens", lambda x: x == tok))
+        n_all = F.size("_all") - F.size(F.array_remove("_all", tok))
+        n_own = F.size("tokens") - F.size(F.array_remove("tokens", tok))
         c = c.withColumn("_z", F.col("_z") - F.lit(diversity) * (n_all - n_own))
     w = Window.partitionBy("ex_id", "beam_idx").orderBy(F.col("_z").desc(), F.col("token_id"))
     c = c.withColumn("cand", F.when(F.col("_ended"), F.lit(0)).otherwise(F.row_number().over(w)))
@@ -224,13 +227,17 @@ def beam_step(beams: DataFrame, scores: DataFrame, step: int, beam_size: int, te
     new = F.concat("tokens", F.array(F.col("token_id").cast("int")))
     lp = length_penalty(F.lit(step), LENGTH_ALPHA)
     if mode == "reference":
-        parent = ngrams("tokens", NGRAM_SIZE) if step > 0 else F.array().cast("array<array<int>>")
-        rep = F.when(F.arrays_overlap(ngrams(new, NGRAM_SIZE), parent), F.lit(REPETITION_PENALTY)) \
+        # The candidate's n-grams contain all of its parent's, and the parent's
+        # own set is tested, so the penalty fires exactly when the parent holds
+        # an n-gram (from step 1 on; the sets start empty).
+        rep = F.when(F.lit(step > 0) & (F.size("tokens") >= NGRAM_SIZE), F.lit(REPETITION_PENALTY)) \
                .otherwise(F.lit(1.0))
         score = (F.col("score") + F.col("_z")) / lp * rep
     elif mode == "standard":
-        allg = ngrams(new, NGRAM_SIZE, distinct=False)
-        rep = F.when(F.size(allg) > F.size(F.array_distinct(allg)), F.lit(REPETITION_PENALTY)).otherwise(1.0)
+        # penalty only for a new repeat: the candidate's last n-gram already in the parent
+        last = F.slice(new, -NGRAM_SIZE, NGRAM_SIZE)
+        rep = F.when((F.size(new) >= NGRAM_SIZE) & F.array_contains(F.col("_pg"), last),
+                     F.lit(REPETITION_PENALTY)).otherwise(F.lit(1.0))
         score = F.col("score") + F.col("_z") + F.log(rep)
     else:
         raise ValueError(f"unknown mode {mode}")

@@ -258,14 +258,14 @@ def q_row_counts(spark, sf_dir):
 
 def q_strip_documents(spark, sf_dir):
     """P2 on whole documents: length before and after a Unicode strip."""
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"))
     return d.select("doc_id", F.length("text").cast("long").alias("n_chars"),
                     F.length(strip_text("text")).cast("long").alias("n_stripped"))
 
 
 def q_document_words(spark, sf_dir):
     """T5 on whole cleaned documents: word count and longest word."""
-    d = table(spark, sf_dir, "documents").select("doc_id", words(clean_text_col("text")).alias("w"))
+    d = spread(table(spark, sf_dir, "documents")).select("doc_id", words(clean_text_col("text")).alias("w"))
     return d.select("doc_id", F.size("w").cast("long").alias("n_words"),
                     F.coalesce(F.array_max(F.transform("w", lambda x: F.length(x))), F.lit(0))
                     .cast("long").alias("max_word_len"))
@@ -283,6 +283,7 @@ def q_token_stats(spark, sf_dir):
 
 
 from ..functions.text import clean_text as clean_text_col  # noqa: E402
+from ..session import spread  # noqa: E402
 
 _BATCH_TWO = {
     "exact_split": q_exact_split,

@@ -120,9 +120,9 @@ def uniform_hash(seed, *cols):
 
 
 def _by_example(df: DataFrame) -> DataFrame:
-    """Hash-partition the decoding state by ``ex_id`` once; windows and
-    aggregates keyed by ``ex_id`` (or a superset) then need no shuffle, and
-    checkpoints keep this partitioning from step to step."""
+    """Hash-partition the decoding state by ``ex_id``; windows and aggregates
+    keyed by ``ex_id`` (or a superset) then need no further shuffle within a
+    step."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, "ex_id")
 

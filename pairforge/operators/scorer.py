@@ -9,11 +9,13 @@ scores whole batches, never single rows.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ..constants import EOS_ID
+from ..constants import EOS_ID, LENGTH_ALPHA, NGRAM_SIZE, REPETITION_PENALTY
 
 MAX_TABLE_ROWS = 5_000_000
 _SCORERS: dict = {}
@@ -41,13 +43,115 @@ def table_scorer(scores: DataFrame):
     return make
 
 
+def _uniform(seed, ex_id, step, tokens) -> np.ndarray:
+    """Same hashed uniforms as the table form (md5 of ``seed:ex:step:token``)."""
+    out = np.empty(len(tokens))
+    for k, t in enumerate(tokens):
+        h = hashlib.md5(f"{seed}:{ex_id}:{step}:{t}".encode()).hexdigest()
+        out[k] = (int(h[:13], 16) + 0.5) / float(16 ** 13)
+    return out
+
+
+def _greedy_batch(score, srcs, seqs, ex_ids, max_len, **_):
+    live = list(range(len(seqs)))
+    for _ in range(max_len):
+        if not live:
+            break
+        logits = score([srcs[i] for i in live], [seqs[i] for i in live])
+        best = np.argmax(logits, axis=1)
+        ok = np.isfinite(logits[np.arange(len(live)), best])
+        nxt = np.where(ok, best, EOS_ID)
+        still = []
+        for i, t in zip(live, nxt.tolist()):
+            seqs[i].append(int(t))
+            if t != EOS_ID:
+                still.append(i)
+        live = still
+    return seqs
+
+
+def _random_batch(score, srcs, seqs, ex_ids, max_len, top_n=None, temperature=1.0, seed=0, **_):
+    t = max(float(temperature), 1e-5)
+    live = list(range(len(seqs)))
+    for step in range(max_len):
+        if not live:
+            break
+        logits = score([srcs[i] for i in live], [seqs[i] for i in live]) / t
+        still = []
+        for r, i in enumerate(live):
+            z = logits[r]
+            cand = np.flatnonzero(np.isfinite(z))
+            if len(cand) == 0:
+                nxt = EOS_ID
+            else:
+                zc = z[cand]
+                if top_n is not None and len(cand) > top_n:
+                    thr = np.sort(zc)[::-1][top_n - 1]
+                    keep = zc >= thr
+                    cand, zc = cand[keep], zc[keep]
+                g = zc - np.log(-np.log(_uniform(seed, ex_ids[i], step, cand.tolist())))
+                best = np.flatnonzero(g == g.max())
+                nxt = int(cand[best].min())
+            seqs[i].append(nxt)
+            if nxt != EOS_ID:
+                still.append(i)
+        live = still
+    return seqs
+
+
+def _beam_batch(score, srcs, seqs, ex_ids, max_len, beam_size=5, temperature=1.0, diversity=0.0, **_):
+    """Beam search with the reference scoring (see decoding.beam_step)."""
+    t = max(float(temperature), 1e-5)
+    k = 2 * beam_size
+    beams = [[(list(p), 0.0)] for p in seqs]
+    for step in range(max_len - 1):
+        lp = ((6.0 + step) ** LENGTH_ALPHA) / (6.0 ** LENGTH_ALPHA)
+        jobs = [(e, b) for e, bl in enumerate(beams) for b, (tok, _) in enumerate(bl)
+                if not (tok[-1] == EOS_ID and step > 0)]
+        logits = score([srcs[e] for e, _ in jobs], [beams[e][b][0] for e, b in jobs]) / t if jobs else None
+        row = {jb: r for r, jb in enumerate(jobs)}
+        new_beams = []
+        for e, bl in enumerate(beams):
+            cands = []
+            for b, (tok, sc) in enumerate(bl):
+                if (e, b) not in row:
+                    cands.append((sc, b, 0, tok))
+                    continue
+                z = logits[row[(e, b)]].copy()
+                if diversity > 0:
+                    for ob, (otok, _) in enumerate(bl):
+                        if ob != b:
+                            for x in otok:
+                                if 0 <= x < len(z):
+                                    z[x] -= diversity
+                fin = np.flatnonzero(np.isfinite(z))
+                order = fin[np.lexsort((fin, -z[fin]))][:k]
+                rep = REPETITION_PENALTY if (step > 0 and len(tok) >= NGRAM_SIZE) else 1.0
+                for c, tkn in enumerate(order.tolist(), start=1):
+                    cands.append(((sc + z[tkn]) / lp * rep, b, c, tok + [int(tkn)]))
+            cands.sort(key=lambda x: (-x[0], x[1], x[2]))
+            new_beams.append([(tok, sc) for sc, _, _, tok in cands[:beam_size]])
+        beams = new_beams
+        if all(tok[-1] == EOS_ID for bl in beams for tok, _ in bl):
+            break
+    return [bl[0][0] for bl in beams]
+
+
+_STRATEGIES = {"greedy": _greedy_batch, "random": _random_batch, "beam": _beam_batch}
+
+
 def decode_with_scorer(sources: DataFrame, make_scorer, strategy: str = "greedy",
                        max_len: int = 30, src: str = "x_src", prefix: str = "prefix",
-                       out: str = "tokens") -> DataFrame:
-    """Greedy decoding of ``sources(ex_id, src, prefix)`` with a batch scorer;
-    each row stops at its own eos (a row without any possible token emits eos)."""
-    if strategy != "greedy":
-        raise ValueError(f"Invalid sampling strategy for the scorer form: {strategy}")
+                       out: str = "tokens", **options) -> DataFrame:
+    """Decode ``sources(ex_id, src, prefix)`` with a batch scorer.
+
+    ``greedy`` and ``random`` stop each row at its own eos (a row without any
+    possible token emits eos); ``beam`` returns the best beam.  Options are
+    those of the table-form decoders (``top_n``, ``temperature``, ``seed``,
+    ``beam_size``, ``diversity``)."""
+    if strategy not in _STRATEGIES:
+        raise ValueError(f"Invalid sampling strategy: {strategy}")
+    run_batch = _STRATEGIES[strategy]
     key = id(make_scorer)
 
     def run(batches):
@@ -57,20 +161,7 @@ def decode_with_scorer(sources: DataFrame, make_scorer, strategy: str = "greedy"
         for b in batches:
             srcs = [list(x) for x in b[src]]
             seqs = [list(x) for x in b[prefix]]
-            live = list(range(len(seqs)))
-            for _ in range(max_len):
-                if not live:
-                    break
-                logits = score([srcs[i] for i in live], [seqs[i] for i in live])
-                best = np.argmax(logits, axis=1)
-                ok = np.isfinite(logits[np.arange(len(live)), best])
-                nxt = np.where(ok, best, EOS_ID)
-                still = []
-                for i, t in zip(live, nxt.tolist()):
-                    seqs[i].append(int(t))
-                    if t != EOS_ID:
-                        still.append(i)
-                live = still
-            yield pd.DataFrame({"ex_id": b["ex_id"], out: seqs})
+            res = run_batch(score, srcs, seqs, b["ex_id"].tolist(), max_len, **options)
+            yield pd.DataFrame({"ex_id": b["ex_id"], out: res})
 
     return sources.select("ex_id", src, prefix).mapInPandas(run, f"ex_id long, {out} array<int>")

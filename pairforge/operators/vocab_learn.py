@@ -21,7 +21,9 @@ driver; the corpus never does.
 
 from __future__ import annotations
 
+import logging
 import math
+import time
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -40,6 +42,8 @@ MIN_EXPECTED = 0.5
 UNK_PENALTY = 10.0
 FINAL_SLACK = 1.1
 
+log = logging.getLogger(__name__)
+
 WORD_RE = f"{WORD_BOUNDARY}[^{WORD_BOUNDARY}0-9]*|[0-9]|[^{WORD_BOUNDARY}0-9]+"
 
 
@@ -56,7 +60,8 @@ def word_counts(df: DataFrame, col: str, normalize: bool = True) -> DataFrame:
     """(word, freq) of a text column; checkpointed, it is read every EM round."""
     ensure_checkpoint_dir(df.sparkSession)
     t = normalize_nmt_nfkc(col) if normalize else F.col(col)
-    w = spread(df.select(t.alias("_t")).filter(F.col("_t").isNotNull()))
+    # spread before the Python normalization so it runs on every core
+    w = spread(df).select(t.alias("_t")).filter(F.col("_t").isNotNull())
     w = w.select(F.explode(F.regexp_extract_all("_t", F.lit(WORD_RE), 0)).alias("word"))
     wc = w.groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
     # the E-step is CPU-heavy Python per word: keep at least one partition per core
@@ -189,18 +194,22 @@ def learn_vocab(df: DataFrame, col: str, vocab_size: int = VOCAB_SIZE, normalize
     ``vocab_size`` pieces; otherwise the vocabulary is smaller."""
     spark = df.sparkSession
     desired = vocab_size - len(SPECIAL_PIECES)
+    t0 = time.time()
     wc = word_counts(df, col, normalize)
     required = _required_chars(wc, CHAR_COVERAGE)
     freqs = _seed_pieces(wc, seed_factor * vocab_size, MAX_PIECE_LEN)
     freqs.update({c: max(n, freqs.get(c, 0.0)) for c, n in required.items()})
     logp = _normalize_logp(freqs)
-    for _ in range(max_rounds):
+    log.info("seeds: %d pieces, %d required chars, %.1fs", len(logp), len(required), time.time() - t0)
+    for rnd in range(max_rounds):
+        t1 = time.time()
         for _ in range(SUB_ITERS):
             exp = _e_step(wc, logp, MAX_PIECE_LEN)
             kept = {p: n for p, n in exp.items() if n >= MIN_EXPECTED or p in required}
             for c in required:
                 kept.setdefault(c, MIN_EXPECTED)
             logp = _normalize_logp(kept)
+        log.info("round %d: EM → %d pieces, %.1fs", rnd, len(logp), time.time() - t1)
         if len(logp) <= desired * FINAL_SLACK:
             break
         vfreq = _viterbi_freq(wc, logp, MAX_PIECE_LEN)
@@ -210,6 +219,7 @@ def learn_vocab(df: DataFrame, col: str, vocab_size: int = VOCAB_SIZE, normalize
         ranked = sorted(loss.items(), key=lambda kv: (-kv[1], kv[0]))[:n_keep]
         keep = {p for p, _ in ranked} | {p for p in logp if p in required or len(p) == 1}
         logp = {p: s for p, s in logp.items() if p in keep}
+        log.info("round %d: pruned → %d pieces, %.1fs", rnd, len(logp), time.time() - t1)
     if hard_limit and len(logp) < desired:
         raise ValueError(f"corpus gives {len(logp)} pieces, fewer than {desired}")
     chars = {p for p in logp if p in required}

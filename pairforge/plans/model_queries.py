@@ -32,7 +32,7 @@ def _cached(spark, key, build):
 def document_vocab(spark, sf_dir):
     """T2 over all cleaned documents (vocabulary size 16,384)."""
     def build():
-        d = table(spark, sf_dir, "documents").select(clean_text("text").alias("text"))
+        d = spread(table(spark, sf_dir, "documents")).select(clean_text("text").alias("text"))
         return learn_vocab(d, "text", VOCAB_SIZE)
     return _cached(spark, (sf_dir, "doc_vocab"), build)
 
@@ -219,3 +219,25 @@ REGISTRY.update({
     "seq_token_accuracy": q_seq_token_accuracy,
     "prediction_bleu": q_prediction_bleu,
 })
+
+
+def q_decode_random_scorer(spark, sf_dir):
+    """U2 + D2: top-5 sampling with the batch scorer (same draws as the table form)."""
+    sc = table_scorer(char_scores(spark, sf_dir))
+    r = decode_with_scorer(decode_sources(spark, sf_dir), sc, "random", max_len=SAMPLE_MAX_LEN,
+                           top_n=5, temperature=1.0, seed=SEED)
+    return r.select("ex_id", "tokens")
+
+
+def q_decode_beam_scorer(spark, sf_dir):
+    """U2 + D4: beam 8, diversity 0.1 with the batch scorer."""
+    sc = table_scorer(char_scores(spark, sf_dir))
+    r = decode_with_scorer(decode_sources(spark, sf_dir), sc, "beam", max_len=SAMPLE_MAX_LEN,
+                           beam_size=SAMPLE_BEAM, temperature=1.0, diversity=SAMPLE_DIVERSITY)
+    return r.select("ex_id", "tokens")
+
+
+REGISTRY.update({
+    "decode_random_scorer": q_decode_random_scorer,
+    "decode_beam_scorer": q_decode_beam_scorer,
+})

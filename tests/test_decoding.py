@@ -81,3 +81,17 @@ def test_unknown_strategy(spark):
     import pytest
     with pytest.raises(ValueError):
         D.decode(spark.range(1), _scores(spark), "nucleus")
+
+
+def test_scorer_form_random_and_beam_equal_table_form(spark):
+    src = spark.createDataFrame([(0, [9], [1]), (1, [9], [1, 6]), (2, [9], [6])],
+                                "ex_id long, x_src array<int>, prefix array<int>")
+    sc = table_scorer(_scores(spark))
+    for top_n in (None, 1):
+        a = {r.ex_id: r.tokens for r in D.decode_random(src, _scores(spark), 8, top_n=top_n, seed=11).collect()}
+        b = {r.ex_id: r.tokens for r in decode_with_scorer(src, sc, "random", 8, top_n=top_n, seed=11).collect()}
+        assert a == b
+    for div in (0.0, 0.3):
+        a = {r.ex_id: r.tokens for r in D.decode_beam(src, _scores(spark), 6, beam_size=3, diversity=div).collect()}
+        b = {r.ex_id: r.tokens for r in decode_with_scorer(src, sc, "beam", 6, beam_size=3, diversity=div).collect()}
+        assert a == b

@@ -88,9 +88,9 @@ def _seed_pieces(wc: DataFrame, n_seeds: int, max_len: int) -> dict[str, float]:
         F.sequence(F.lit(0), F.length("word") - 1),
         lambda i: F.transform(F.sequence(F.lit(2), F.least(F.lit(max_len), F.length("word") - i)),
                               lambda ln: F.substring("word", i + 1, ln))))
+    # words of two or more characters hold no digit (digits are words of their own)
     s = (wc.filter(F.length("word") >= 2)
            .select(F.explode(subs).alias("piece"), "freq")
-           .filter(~F.col("piece").rlike("[0-9]"))
            .groupBy("piece").agg(F.sum("freq").alias("n"))
            .filter(F.col("n") >= 2))
     top = (s.withColumn("score", F.col("n") * F.length("piece"))

@@ -77,6 +77,15 @@ def q_decode_documents(spark, sf_dir):
                     (F.size(F.filter("ids", lambda x: x == 3)) > 0).alias("has_unk"))
 
 
+def q_vocab_token_stats(spark, sf_dir):
+    """A2 with the learned vocabulary: per language, ids per document, truncated
+    and unknown shares, and the share of the vocabulary in use."""
+    from ..operators.metrics import token_stats
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", clean_text("text").alias("text")))
+    e = TK.encode(d, "text", document_vocab(spark, sf_dir), "ids")
+    return token_stats(e, "ids", ["lang"], MAX_LEN, VOCAB_SIZE)
+
+
 def q_encode_pairs(spark, sf_dir):
     """Both sides encoded with their own vocabulary, then P5 / P6."""
     p = cleaned_pairs(spark, sf_dir)
@@ -178,6 +187,7 @@ def q_sample_report(spark, sf_dir):
 
 REGISTRY = {
     "nmt_nfkc": q_nmt_nfkc,
+    "vocab_token_stats": q_vocab_token_stats,
     "learn_vocab": q_learn_vocab,
     "encode_documents": q_encode_documents,
     "decode_documents": q_decode_documents,

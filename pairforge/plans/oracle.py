@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from .sqlfrag import CLEAN_PAIRS, PAIRS, bleu_ctes, words
+from ..constants import NA_STRINGS
+from .sqlfrag import (CLEAN_PAIRS, EVENTS_LOG, PAIRS, WS, bleu_ctes, char_ids, clean, hash_key,
+                      ngram_list, pad_to, teacher, truncate_eos, words)
 
 _WORDS = f"""
 wp AS (SELECT line_no, {words('src')} AS sw, {words('tgt')} AS tw FROM clean_pairs)"""
 
 
-def registry() -> dict[str, str]:
+def _pair_sql() -> dict[str, str]:
     q = {}
     q["pairs"] = f"WITH {PAIRS} SELECT line_no, src, tgt FROM pairs"
     q["clean_pairs"] = f"WITH {CLEAN_PAIRS} SELECT line_no, src, tgt FROM clean_pairs"
@@ -21,9 +23,6 @@ def registry() -> dict[str, str]:
     return q
 
 
-# ---------------------------------------------------------------- batch two
-from .sqlfrag import EVENTS_LOG, char_ids, clean, hash_key, pad_to, teacher, truncate_eos  # noqa: E402
-
 _LI_SPLIT = f"""
 li AS (SELECT l_orderkey, l_linenumber FROM lineitem),
 lr AS (SELECT l_orderkey, l_linenumber,
@@ -63,7 +62,7 @@ _TOP_CHECKS = EVENTS_LOG + """,
 chk AS (SELECT run_id, step, value FROM mlog WHERE name = 'view')"""
 
 
-def _registry_two() -> dict[str, str]:
+def _corpus_sql() -> dict[str, str]:
     q = {}
     q["exact_split"] = f"WITH {_LI_SPLIT} SELECT * FROM lsplit"
     q["validation_rows"] = f"WITH {_LI_SPLIT} SELECT l_orderkey, l_linenumber FROM lsplit WHERE NOT is_train"
@@ -137,7 +136,7 @@ def _registry_two() -> dict[str, str]:
         "r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY logit DESC, token) AS rank FROM x) "
         "SELECT vec_id, token, round(logit, 6) AS logit, rank FROM r WHERE rank <= 3")
     q["row_counts"] = f"WITH {PAIRS} SELECT count(*) AS n_rows, CAST(3 AS BIGINT) AS n_cols FROM pairs"
-    from .sqlfrag import WS as _ws  # noqa: F401
+    _ws = WS
     q["strip_documents"] = (
         "SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, CAST(length(regexp_replace(text, "
         f"'^[{_ws}]+|[{_ws}]+$', '', 'g')) AS BIGINT) AS n_stripped FROM documents")
@@ -155,18 +154,6 @@ def _registry_two() -> dict[str, str]:
     return q
 
 
-_base = registry
-
-
-def registry() -> dict[str, str]:  # noqa: F811
-    q = _base()
-    q.update(_registry_two())
-    return q
-
-
-# ---------------------------------------------------------------- decoding
-from .sqlfrag import ngram_list  # noqa: E402
-
 _SCORES = f"""
 cdocs AS (SELECT {char_ids(clean('text'))} AS ids FROM documents),
 cseq AS (SELECT list_concat(list_concat([1], ids), [2]) AS s FROM cdocs),
@@ -222,7 +209,7 @@ def _beam_round(prev: str, step: int, name: str) -> str:
               tokens, score FROM {name}_u QUALIFY beam_idx < 8)"""
 
 
-def _registry_three() -> dict[str, str]:
+def _decoding_sql() -> dict[str, str]:
     q = {}
     q["bigram_scores"] = f"WITH {_SCORES} SELECT prev_id, token_id, round(logit, 6) AS logit FROM scores"
     q["decode_greedy"] = f"WITH RECURSIVE {_SCORES}, {_SOURCES}, {_GREEDY} SELECT ex_id, tokens FROM greedy"
@@ -239,20 +226,6 @@ def _registry_three() -> dict[str, str]:
     return q
 
 
-_base3 = registry
-
-
-def registry() -> dict[str, str]:  # noqa: F811
-    q = _base3()
-    q.update(_registry_three())
-    return q
-
-
-# ---------------------------------------------------------------- io
-from ..constants import NA_STRINGS  # noqa: E402
-from .sqlfrag import WS  # noqa: E402
-
-
 def _flat_strip(x: str) -> str:
     flat = f"regexp_replace({x}, '\\r\\n|\\r|\\n', ' ', 'g')"
     return f"regexp_replace({flat}, '^[{WS}]+|[{WS}]+$', '', 'g')"
@@ -263,28 +236,25 @@ def _na(x: str) -> str:
     return f"CASE WHEN {x} IN ({lits}) THEN NULL ELSE {x} END"
 
 
-def _registry_four() -> dict[str, str]:
+def _io_sql() -> dict[str, str]:
     q = {}
     aligned = f"WITH {PAIRS}, al AS (SELECT line_no, {_flat_strip('src')} AS src, {_flat_strip('tgt')} AS tgt FROM pairs)"
     q["aligned_text"] = f"{aligned} SELECT * FROM al"
     q["pairs_csv_roundtrip"] = f"{aligned} SELECT line_no, {_na('src')} AS src, {_na('tgt')} AS tgt FROM al"
     q["ensure_pairs"] = f"WITH {PAIRS} SELECT line_no, src, tgt FROM pairs"
     q["preview"] = f"WITH {PAIRS} SELECT line_no, src, tgt FROM pairs ORDER BY line_no LIMIT 5"
-    q["stream_epoch_metrics"] = _registry_two()["epoch_metrics"]
-    return q
-
-
-_base4 = registry
-
-
-def registry() -> dict[str, str]:  # noqa: F811
-    q = _base4()
-    q.update(_registry_four())
+    q["stream_epoch_metrics"] = _corpus_sql()["epoch_metrics"]
     return q
 
 
-def _registry_five() -> dict[str, str]:
+def _evaluation_sql() -> dict[str, str]:
     q = {}
+    q["split_strata"] = (
+        f"WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY {hash_key(42, 'doc_id')}, doc_id) - 1 AS rk, "
+        "count(*) OVER () AS n FROM documents), s AS (SELECT doc_id, rk < round_even(CAST(0.9 AS DOUBLE) * n, 0) "
+        "AS is_train FROM r) SELECT l.quality, l.toxic, sum(CASE WHEN is_train THEN 1 ELSE 0 END) AS n_train, "
+        "sum(CASE WHEN is_train THEN 0 ELSE 1 END) AS n_val FROM s JOIN labels l ON l.doc_id = s.doc_id "
+        "GROUP BY l.quality, l.toxic")
     q["seq_token_accuracy"] = (
         f"WITH {_SCORES}, {_enc()}, "
         "nxt AS (SELECT prev_id, first(token_id ORDER BY logit DESC, token_id) AS next_id FROM scores GROUP BY prev_id), "
@@ -298,10 +268,9 @@ def _registry_five() -> dict[str, str]:
     return q
 
 
-_base5 = registry
-
-
-def registry() -> dict[str, str]:  # noqa: F811
-    q = _base5()
-    q.update(_registry_five())
+def registry() -> dict[str, str]:
+    """All oracle statements by query name."""
+    q = {}
+    for part in (_pair_sql, _corpus_sql, _decoding_sql, _io_sql, _evaluation_sql):
+        q.update(part())
     return q

@@ -9,8 +9,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.text import clean_pairs, drop_missing, words
+from ..constants import BATCH_SIZE, MAX_LEN, MAX_ROWS, TRAIN_FRAC
+from ..functions import arrays as A
+from ..functions.text import clean_pairs, clean_text as clean_text_col, drop_missing, stringify_nulls, strip_text, words
+from ..operators import batching as B
+from ..operators import metrics as M
+from ..operators import split as S
+from ..operators import training_log as TL
 from ..operators.bleu import sentence_bleu
+from ..session import spread
 from ..sources.tables import conversation_pairs, table
 
 R = 6
@@ -54,23 +61,13 @@ def q_pair_stats(spark, sf_dir):
                   _round(F.coalesce(F.avg("bleu"), F.lit(0.0)), "mean_bleu")))
 
 
-def registry():
-    return {
-        "pairs": q_pairs,
-        "clean_pairs": q_clean_pairs,
-        "pair_bleu": q_pair_bleu,
-        "pair_stats": q_pair_stats,
-    }
-
-
-# ---------------------------------------------------------------- batch two
-from ..constants import BATCH_SIZE, MAX_LEN, MAX_ROWS, TRAIN_FRAC  # noqa: E402
-from ..functions import arrays as A  # noqa: E402
-from ..functions.text import stringify_nulls, strip_text  # noqa: E402
-from ..operators import batching as B  # noqa: E402
-from ..operators import metrics as M  # noqa: E402
-from ..operators import split as S  # noqa: E402
-from ..operators import training_log as TL  # noqa: E402
+_PAIR_QUERIES = {
+    "pairs": q_pairs,
+    "clean_pairs": q_clean_pairs,
+    "pair_bleu": q_pair_bleu,
+    "pair_stats": q_pair_stats,
+}
+
 
 SEED = 42
 LI_KEYS = ["l_orderkey", "l_linenumber"]
@@ -282,10 +279,19 @@ def q_token_stats(spark, sf_dir):
                     _round("truncated_share", "truncated_share"), _round("unk_share", "unk_share"))
 
 
-from ..functions.text import clean_text as clean_text_col  # noqa: E402
-from ..session import spread  # noqa: E402
+def q_split_strata(spark, sf_dir):
+    """R1 checked per stratum: exact 90 % split of documents, counted by label strata."""
+    d = table(spark, sf_dir, "documents").select("doc_id")
+    sp = S.exact_split(d, TRAIN_FRAC, SEED, ["doc_id"])
+    lab = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    return (sp.join(lab, "doc_id")
+              .groupBy("quality", "toxic")
+              .agg(F.sum(F.col("is_train").cast("long")).alias("n_train"),
+                   F.sum((~F.col("is_train")).cast("long")).alias("n_val")))
 
-_BATCH_TWO = {
+
+_CORPUS_QUERIES = {
+    "split_strata": q_split_strata,
     "exact_split": q_exact_split,
     "validation_rows": q_validation_rows,
     "sample_one": q_sample_one,
@@ -314,14 +320,14 @@ _BATCH_TWO = {
     "document_words": q_document_words,
     "token_stats": q_token_stats,
 }
-_base_registry = registry
 
 
-def registry():  # noqa: F811
+def registry():
+    """All registered queries by name."""
     from .io_queries import REGISTRY as _IO
     from .model_queries import REGISTRY as _MODEL
-    r = _base_registry()
-    r.update(_BATCH_TWO)
+    r = dict(_PAIR_QUERIES)
+    r.update(_CORPUS_QUERIES)
     r.update(_MODEL)
     r.update(_IO)
     return r

@@ -75,10 +75,63 @@ def _lse(a: float, b: float) -> float:
     return m + math.log(math.exp(a - m) + math.exp(b - m))
 
 
-def expected_counts(word: str, logp: dict, max_len: int, unk_score: float, weight: float, acc: dict):
+FAST_MAX_CHARS = 48
+
+
+def expected_counts(word: str, logp: dict, max_len: int, unk_score: float, weight: float, acc: dict,
+                    prob: dict | None = None):
     """Forward-backward: add ``weight`` × expected occurrences of each piece to ``acc``.
 
-    Returns the word's log marginal likelihood."""
+    With ``prob`` (piece → exp(logp)) short words run in probability space
+    (no underflow is possible at that length); long words, or an underflow,
+    use the log-space pass.  Returns the word's log marginal likelihood."""
+    if prob is not None and len(word) <= FAST_MAX_CHARS:
+        z = _expected_counts_prob(word, prob, max_len, math.exp(unk_score), weight, acc)
+        if z is not None:
+            return z
+    return _expected_counts_log(word, logp, max_len, unk_score, weight, acc)
+
+
+def _expected_counts_prob(word, prob, max_len, unk_p, weight, acc):
+    n = len(word)
+    edges = []
+    alpha = [0.0] * (n + 1)
+    alpha[0] = 1.0
+    for i in range(n):
+        ai = alpha[i]
+        if ai == 0.0:
+            continue
+        single = False
+        for j in range(i + 1, min(n, i + max_len) + 1):
+            p = word[i:j]
+            q = prob.get(p)
+            if q is None:
+                continue
+            if j == i + 1:
+                single = True
+            edges.append((i, j, p, q))
+            alpha[j] += ai * q
+        if not single:
+            edges.append((i, i + 1, None, unk_p))
+            alpha[i + 1] += ai * unk_p
+    z = alpha[n]
+    if not z > 1e-280:
+        return None
+    beta = [0.0] * (n + 1)
+    beta[n] = 1.0
+    for i, j, p, q in reversed(edges):
+        beta[i] += q * beta[j]
+    scale = weight / z
+    for i, j, p, q in edges:
+        if p is None:
+            continue
+        e = alpha[i] * q * beta[j]
+        if e > 0.0:
+            acc[p] = acc.get(p, 0.0) + scale * e
+    return math.log(z)
+
+
+def _expected_counts_log(word: str, logp: dict, max_len: int, unk_score: float, weight: float, acc: dict):
     n = len(word)
     edges = []
     alpha = [NEG] * (n + 1)

@@ -127,9 +127,13 @@ def _by_example(df: DataFrame) -> DataFrame:
     return df.repartition(n, "ex_id")
 
 
-def _score_side(scores: DataFrame, t: float) -> DataFrame:
+def _score_side(scores: DataFrame, t: float, small: bool | None = None) -> DataFrame:
+    """The score table as the build side of the step join (broadcast when its
+    size, checked once per decoder run, is below the limit)."""
     sc = scores.select(F.col("prev_id").alias("_p"), "token_id", (F.col("logit") / F.lit(t)).alias("_z"))
-    return _maybe_broadcast(sc)
+    if small is None:
+        small = scores.count() <= MAX_BROADCAST_ROWS
+    return F.broadcast(sc) if small else sc
 
 
 class _StateLoop:
@@ -175,7 +179,8 @@ def decode_random(sources: DataFrame, scores: DataFrame, max_len: int = SAMPLE_M
     if top_n is not None:
         w = Window.partitionBy("prev_id").orderBy(F.col("logit").desc())
         sc = sc.withColumn("_r", F.rank().over(w)).filter(F.col("_r") <= top_n).drop("_r")
-    sc = _score_side(materialize(sc), 1.0)
+    sc = materialize(sc)
+    sc = _score_side(sc, 1.0, sc.count() <= MAX_BROADCAST_ROWS)
     st = _by_example(sources.select("ex_id", F.col(prefix).alias(out), F.lit(False).alias("_done")))
     loop = _StateLoop(materialize(st), checkpoint_every)
     for step in range(max_len):
@@ -196,7 +201,8 @@ def decode_random(sources: DataFrame, scores: DataFrame, max_len: int = SAMPLE_M
 
 
 def beam_step(beams: DataFrame, scores: DataFrame, step: int, beam_size: int, temperature: float,
-              diversity: float, mode: str = "reference", vocab_size: int | None = None) -> DataFrame:
+              diversity: float, mode: str = "reference", vocab_size: int | None = None,
+              small_scores: bool | None = None) -> DataFrame:
     """One D4 round (D3 + D5 + D6 + B5): expand live beams, carry ended ones,
     keep the best ``beam_size`` per example.
 
@@ -206,7 +212,7 @@ def beam_step(beams: DataFrame, scores: DataFrame, step: int, beam_size: int, te
     the stable order of the reference's sort."""
     t = max(float(temperature), 1e-5)
     k = 2 * beam_size if vocab_size is None else min(2 * beam_size, vocab_size - 1)
-    sc = _score_side(scores, t)
+    sc = _score_side(scores, t, small_scores)
     ended = (F.element_at("tokens", -1) == EOS_ID) & F.lit(step > 0)
     b = beams.withColumn("_ended", ended)
     if mode == "standard":
@@ -260,9 +266,11 @@ def decode_beam(sources: DataFrame, scores: DataFrame, max_len: int = SAMPLE_MAX
     scores = materialize(scores)
     beams = _by_example(sources.select("ex_id", F.lit(0).alias("beam_idx"), F.col(prefix).alias("tokens"),
                                        F.lit(0.0).alias("score")))
+    small = scores.count() <= MAX_BROADCAST_ROWS
     loop = _StateLoop(materialize(beams), checkpoint_every)
     for step in range(max_len - 1):
-        beams = loop.advance(beam_step(loop.state, scores, step, beam_size, temperature, diversity, mode))
+        beams = loop.advance(beam_step(loop.state, scores, step, beam_size, temperature, diversity, mode,
+                                       small_scores=small))
         if beams.filter(F.element_at("tokens", -1) != EOS_ID).limit(1).count() == 0:
             break
     beams = loop.finish()

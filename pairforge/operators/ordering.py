@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 # A broadcast side must stay below this many rows; beyond it the offsets are
 # joined with a shuffle instead.
@@ -92,10 +92,9 @@ def with_order_rank(df: DataFrame, order_cols, rank_col: str = "line_no",
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_cols)
-                .sortWithinPartitions(*order_cols)
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .checkpoint(eager=True))
+    ranged = materialize(df.repartitionByRange(n, *order_cols)
+                           .sortWithinPartitions(*order_cols)
+                           .withColumn("_mid", F.monotonically_increasing_id()))
     part = F.shiftrightunsigned("_mid", _LOCAL_BITS)
     counts = ranged.groupBy(part.alias("_b")).count().collect()
     offsets, _ = _offsets(spark, counts, "_b")

@@ -111,10 +111,11 @@ def _e_step(wc: DataFrame, logp: dict[str, float], max_len: int) -> dict[str, fl
 
     def run(batches):
         lp = bc.value
+        prob = {p: math.exp(v) for p, v in lp.items()}
         acc: dict[str, float] = {}
         for b in batches:
             for w, f in zip(b["word"].tolist(), b["freq"].tolist()):
-                expected_counts(w, lp, max_len, unk, float(f), acc)
+                expected_counts(w, lp, max_len, unk, float(f), acc, prob)
         if acc:
             yield pd.DataFrame({"piece": list(acc.keys()), "n": list(acc.values())})
 

@@ -15,28 +15,46 @@ _COMBINE = {"max": F.greatest, "sum": lambda a, b: a + b}
 _AGG = {"max": F.max, "sum": F.sum}
 
 
-def running(df: DataFrame, part_cols, order_col: str, value, out: str, fn: str = "max",
-            inclusive: bool = False, width: int = 1024) -> DataFrame:
-    """``out`` = fn(value) over rows of the same group with a smaller
-    (``inclusive``: or equal) ``order_col``.  ``order_col`` must be unique
-    within a group and integral.  Empty prefix gives null (sum: 0)."""
+def running_many(df: DataFrame, part_cols, order_col: str, specs, width: int = 1024) -> DataFrame:
+    """Several running aggregates in one blocked pass (one set of shuffles).
+
+    ``specs`` are ``(value, out, fn, inclusive)``: ``out`` = fn(value) over rows
+    of the same group with a smaller (``inclusive``: or equal) ``order_col``.
+    ``order_col`` must be unique within a group and integral.  An empty prefix
+    gives null (sum: 0)."""
     part_cols = list(part_cols)
-    v = F.col(value) if isinstance(value, str) else value
-    agg, comb = _AGG[fn], _COMBINE[fn]
-    blk = F.floor(F.col(order_col) / F.lit(width)).cast("long")
-    d = df.withColumn("_blk", blk).withColumn("_v", v)
-    frame = (Window.partitionBy(*part_cols, "_blk").orderBy(order_col)
-             .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
-    d = d.withColumn("_loc", agg("_v").over(frame))
-    blocks = d.groupBy(*part_cols, "_blk").agg(agg("_v").alias("_bv"))
+    d = df.withColumn("_blk", F.floor(F.col(order_col) / F.lit(width)).cast("long"))
+    win = Window.partitionBy(*part_cols, "_blk").orderBy(order_col)
     bw = Window.partitionBy(*part_cols).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_pre", agg("_bv").over(bw)).drop("_bv")
+    block_aggs, outs = [], []
+    for i, (value, out, fn, inclusive) in enumerate(specs):
+        v = F.col(value) if isinstance(value, str) else value
+        agg = _AGG[fn]
+        d = d.withColumn(f"_v{i}", v)
+        d = d.withColumn(f"_loc{i}", agg(f"_v{i}").over(
+            win.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)))
+        block_aggs.append(agg(f"_v{i}").alias(f"_bv{i}"))
+        outs.append((i, out, fn))
+    blocks = d.groupBy(*part_cols, "_blk").agg(*block_aggs)
+    for i, _, fn in outs:
+        blocks = blocks.withColumn(f"_pre{i}", _AGG[fn](f"_bv{i}").over(bw))
+    blocks = blocks.select(*part_cols, "_blk", *[f"_pre{i}" for i, _, _ in outs])
     d = d.join(blocks, [*part_cols, "_blk"])
-    pre, loc = F.col("_pre"), F.col("_loc")
-    res = (F.when(pre.isNull(), loc).when(loc.isNull(), pre).otherwise(comb(pre, loc)))
-    if fn == "sum":
-        res = F.coalesce(res, F.lit(0))
-    return d.withColumn(out, res).drop("_blk", "_v", "_loc", "_pre")
+    drop = ["_blk"]
+    for i, out, fn in outs:
+        pre, loc = F.col(f"_pre{i}"), F.col(f"_loc{i}")
+        res = F.when(pre.isNull(), loc).when(loc.isNull(), pre).otherwise(_COMBINE[fn](pre, loc))
+        if fn == "sum":
+            res = F.coalesce(res, F.lit(0))
+        d = d.withColumn(out, res)
+        drop += [f"_v{i}", f"_loc{i}", f"_pre{i}"]
+    return d.drop(*drop)
+
+
+def running(df: DataFrame, part_cols, order_col: str, value, out: str, fn: str = "max",
+            inclusive: bool = False, width: int = 1024) -> DataFrame:
+    """One running aggregate; see :func:`running_many`."""
+    return running_many(df, part_cols, order_col, [(value, out, fn, inclusive)], width)
 
 
 def group_row_number(df: DataFrame, part_cols, order_col: str, out: str,

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..constants import EARLY_STOP_PATIENCE, SAMPLE_EVERY, TOP_CHECKPOINTS
-from .scan import group_row_number, running
+from .scan import running, running_many
 
 
 def metric_log_from_events(events: DataFrame) -> DataFrame:
@@ -65,8 +65,8 @@ def early_stop(log: DataFrame, monitor: str, patience: int = EARLY_STOP_PATIENCE
     strictly better ``monitor`` value (max mode).  ``stop_check`` is null
     when the run never stops."""
     c = log.filter(F.col("name") == monitor).select("run_id", "step", "value")
-    c = group_row_number(c, ["run_id"], "step", "check_no")
-    c = running(c, ["run_id"], "step", "value", "prev_best", "max")
+    c = running_many(c, ["run_id"], "step", [(F.lit(1).cast("long"), "check_no", "sum", True),
+                                               ("value", "prev_best", "max", False)])
     improved = F.col("prev_best").isNull() | (F.col("value") > F.col("prev_best"))
     c = c.withColumn("_imp", F.when(improved, F.col("check_no")))
     c = running(c, ["run_id"], "step", "_imp", "last_best", "max", inclusive=True)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..constants import (BEAM_SIZE, BOS_ID, EOS_ID, LENGTH_ALPHA, NGRAM_SIZE, REPETITION_PENALTY,
                          SAMPLE_MAX_LEN)
 from ..functions.arrays import length_penalty, ngrams
-from ..session import ensure_checkpoint_dir, materialize
+from ..session import materialize
 
 MAX_BROADCAST_ROWS = 2_000_000
 

@@ -13,7 +13,7 @@ import hashlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from ..constants import EOS_ID, LENGTH_ALPHA, NGRAM_SIZE, REPETITION_PENALTY
 

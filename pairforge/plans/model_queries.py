@@ -14,7 +14,7 @@ from ..operators.scorer import decode_with_scorer, table_scorer
 from ..operators.vocab_learn import learn_vocab
 from ..session import scratch_path, spread
 from ..sources.tables import table
-from .queries import MONITOR, SEED, TRAIN_FRAC, _round, cleaned_pairs, encoded_pairs  # noqa: F401
+from .queries import SEED, TRAIN_FRAC, _round, cleaned_pairs, encoded_pairs
 
 _CACHE: dict = {}
 

@@ -57,3 +57,25 @@ def test_ensure_pairs(spark, tmp_path):
     assert len(calls) == 1 and os.path.isdir(path)
     with pytest.raises(ValueError):
         FS.ensure_pairs(spark, None, build)
+
+
+def test_tokenizer_corpus_file_and_line_guard(spark, tmp_path):
+    df = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c"), (3, "d"), (4, None)], "line_no long, t string")
+    out = str(tmp_path / "corpus")
+    FS.write_tokenizer_corpus(df, "t", out)
+    lines = [r.value for r in FS.read_lines(spark, out).orderBy("line_no").collect()]
+    assert lines == ["a\tb\tc", "d\tnan"]
+    bad = spark.createDataFrame([(0, "x\ny")], "line_no long, t string")
+    with pytest.raises(ValueError):
+        FS.write_text_lines(bad, "t", str(tmp_path / "bad"))
+
+
+def test_rename_preview_shape(spark):
+    df = spark.createDataFrame([("a", "b")], "en string, fr string")
+    assert FS.rename_pairs(df).columns == ["src", "tgt"]
+    assert FS.rename_pairs(df, by="name").columns == ["src", "tgt"]
+    with pytest.raises(ValueError):
+        FS.rename_pairs(df.withColumn("x", df.en))
+    d = spark.createDataFrame([(i, str(i), str(i)) for i in range(10)], "line_no long, src string, tgt string")
+    assert [r.line_no for r in FS.preview(d.repartition(3), 3).collect()] == [0, 1, 2]
+    assert FS.shape(d) == (10, 3)

@@ -146,22 +146,28 @@ class _StateLoop:
     def __init__(self, state: DataFrame, every: int = 4):
         self.state, self.every, self.n, self._cached = state, max(1, every or 1), 0, None
 
-    def advance(self, nxt: DataFrame) -> DataFrame:
+    def advance(self, nxt: DataFrame, live=None) -> int | None:
+        """Make ``nxt`` the state; with ``live`` (a boolean column) return how many
+        rows are still live, counted by the same job that computes the state."""
         from pyspark import StorageLevel
 
         self.n += 1
         old = self._cached
+        n_live = None
         if self.n % self.every == 0:
             nxt = materialize(nxt)
             self._cached = None
+            if live is not None:
+                n_live = nxt.filter(live).count()
         else:
             nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-            nxt.count()  # compute every partition once, before the old state is dropped
+            # one full pass computes every partition before the old state is dropped
+            n_live = nxt.agg(F.sum((live if live is not None else F.lit(True)).cast("long"))).first()[0] or 0
             self._cached = nxt
         if old is not None:
             old.unpersist()
         self.state = nxt
-        return nxt
+        return n_live
 
     def finish(self) -> DataFrame:
         return self.state
@@ -183,9 +189,10 @@ def decode_random(sources: DataFrame, scores: DataFrame, max_len: int = SAMPLE_M
     sc = _score_side(sc, 1.0, sc.count() <= MAX_BROADCAST_ROWS)
     st = _by_example(sources.select("ex_id", F.col(prefix).alias(out), F.lit(False).alias("_done")))
     loop = _StateLoop(materialize(st), checkpoint_every)
+    n_live = None
     for step in range(max_len):
         st = loop.state
-        if st.filter(~F.col("_done")).limit(1).count() == 0:
+        if n_live == 0 or (n_live is None and st.filter(~F.col("_done")).limit(1).count() == 0):
             break
         key = F.when(F.col("_done"), F.lit(None)).otherwise(F.element_at(out, -1))
         c = st.withColumn("_p", key).join(sc, "_p", "left")
@@ -193,9 +200,11 @@ def decode_random(sources: DataFrame, scores: DataFrame, max_len: int = SAMPLE_M
         w = Window.partitionBy("ex_id").orderBy(F.col("_g").desc_nulls_last(), F.col("token_id"))
         c = c.withColumn("_g", g).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
         nxt = F.coalesce(F.col("token_id"), F.lit(EOS_ID)).cast("int")
-        loop.advance(c.select("ex_id",
-                              F.when(F.col("_done"), F.col(out)).otherwise(F.concat(out, F.array(nxt))).alias(out),
-                              (F.col("_done") | (nxt == EOS_ID)).alias("_done")))
+        n_live = loop.advance(c.select("ex_id",
+                                       F.when(F.col("_done"), F.col(out)).otherwise(
+                                           F.concat(out, F.array(nxt))).alias(out),
+                                       (F.col("_done") | (nxt == EOS_ID)).alias("_done")),
+                              live=~F.col("_done"))
     st = loop.finish()
     return st.drop("_done")
 
@@ -214,12 +223,12 @@ def beam_step(beams: DataFrame, scores: DataFrame, step: int, beam_size: int, te
     k = 2 * beam_size if vocab_size is None else min(2 * beam_size, vocab_size - 1)
     sc = _score_side(scores, t, small_scores)
     ended = (F.element_at("tokens", -1) == EOS_ID) & F.lit(step > 0)
-    b = beams.withColumn("_ended", ended)
+    cols = {"_ended": ended, "_p": F.when(ended, F.lit(None)).otherwise(F.element_at("tokens", -1))}
     if mode == "standard":
-        b = b.withColumn("_pg", ngrams("tokens", NGRAM_SIZE))
+        cols["_pg"] = ngrams("tokens", NGRAM_SIZE)
     if diversity > 0:
-        b = b.withColumn("_all", F.flatten(F.collect_list("tokens").over(Window.partitionBy("ex_id"))))
-    c = b.withColumn("_p", F.when(F.col("_ended"), F.lit(None)).otherwise(F.element_at("tokens", -1)))
+        cols["_all"] = F.flatten(F.collect_list("tokens").over(Window.partitionBy("ex_id")))
+    c = beams.withColumns(cols)
     c = c.join(sc, "_p", "left").filter(F.col("_ended") | F.col("token_id").isNotNull())
     if diversity > 0:
         # occurrences of t in the other beams; array_remove is a native loop
@@ -269,9 +278,10 @@ def decode_beam(sources: DataFrame, scores: DataFrame, max_len: int = SAMPLE_MAX
     small = scores.count() <= MAX_BROADCAST_ROWS
     loop = _StateLoop(materialize(beams), checkpoint_every)
     for step in range(max_len - 1):
-        beams = loop.advance(beam_step(loop.state, scores, step, beam_size, temperature, diversity, mode,
-                                       small_scores=small))
-        if beams.filter(F.element_at("tokens", -1) != EOS_ID).limit(1).count() == 0:
+        n_live = loop.advance(beam_step(loop.state, scores, step, beam_size, temperature, diversity, mode,
+                                        small_scores=small),
+                              live=F.element_at("tokens", -1) != EOS_ID)
+        if n_live == 0:
             break
     beams = loop.finish()
     beams = beams.withColumn("done", F.element_at("tokens", -1) == EOS_ID)

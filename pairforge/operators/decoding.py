@@ -235,7 +235,8 @@ def beam_step(beams: DataFrame, scores: DataFrame, step: int, beam_size: int, te
         tok = F.col("token_id")
         n_all = F.size("_all") - F.size(F.array_remove("_all", tok))
         n_own = F.size("tokens") - F.size(F.array_remove("tokens", tok))
-        c = c.withColumn("_z", F.col("_z") - F.lit(diversity) * (n_all - n_own))
+        # drop the example's token list before the candidate sort (it is ~beam × length wide)
+        c = c.withColumn("_z", F.col("_z") - F.lit(diversity) * (n_all - n_own)).drop("_all")
     w = Window.partitionBy("ex_id", "beam_idx").orderBy(F.col("_z").desc(), F.col("token_id"))
     c = c.withColumn("cand", F.when(F.col("_ended"), F.lit(0)).otherwise(F.row_number().over(w)))
     c = c.filter(F.col("cand") <= k)

@@ -33,3 +33,12 @@ def test_accuracy_literal(spark):
     # micro average over rows, not a mean of per-row means
     df2 = spark.createDataFrame([([1], [1]), ([1, 1, 1], [2, 2, 1])], "p array<int>, y array<int>")
     assert abs(token_accuracy(df2, "p", "y").first().accuracy - 0.5) < 1e-12
+
+
+def test_token_stats_coverage(spark):
+    from pairforge.operators.metrics import token_stats
+    df = spark.createDataFrame([("en", [4, 5, 3]), ("en", [4, 4]), ("fr", [6] * 12)], "lang string, ids array<int>")
+    r = {x.lang: x for x in token_stats(df, "ids", ["lang"], 10, 8).collect()}
+    assert (r["en"].n_rows, r["en"].n_tokens, r["en"].max_tokens) == (2, 5, 3)
+    assert abs(r["en"].unk_share - 0.2) < 1e-12 and abs(r["en"].coverage - 3 / 8) < 1e-12
+    assert r["fr"].truncated_share == 1.0 and abs(r["fr"].coverage - 1 / 8) < 1e-12

@@ -73,11 +73,13 @@ def greedy_paths(scores: DataFrame, max_len: int) -> DataFrame:
                   .select(F.col("t").alias("prev_id"),
                           F.array(F.coalesce("next_id", F.lit(EOS_ID)).cast("int")).alias("path")))
     step = materialize(step)
+    # one row per token at every doubling: the broadcast decision is made once
+    small = step.count() <= MAX_BROADCAST_ROWS
     length, paths = 1, step
     while length < max_len:
         # double: path(t) ++ path(last(path(t)))
         ext = paths.select(F.col("prev_id").alias("_t"), F.col("path").alias("_ext"))
-        ext = _maybe_broadcast(ext)
+        ext = F.broadcast(ext) if small else ext
         paths = (paths.withColumn("_last", F.element_at("path", -1))
                       .join(ext, F.col("_last") == F.col("_t"))
                       .select("prev_id", F.concat("path", "_ext").alias("path")))

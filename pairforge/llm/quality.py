@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..sources.tables import table
+from .common import stage
 
 #: fixed values of the contract
 SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -35,6 +36,8 @@ RULES = {
 }
 #: a host is rejected when the shrunk failure rate of a rule is above this
 HOST_LIMIT = 0.5
+#: host tables up to this many rows are broadcast; larger ones are joined by a shuffle
+MAX_HOSTS = 200_000
 #: strength of the prior, in documents: at least, and if all hosts have one rate
 MIN_STRENGTH, MAX_STRENGTH = 1.0, 1e6
 
@@ -105,25 +108,23 @@ def host_verdicts(rules: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
     return h.select("host", "n_docs", *[f"rate_{k}" for k in RULES], bad.alias("host_rejected"))
 
 
-def quality(df: DataFrame, limit: float = HOST_LIMIT, **cols) -> DataFrame:
-    """Counts, base rule, host verdict and the final verdict of every document."""
-    rules = document_rules(df, **cols)
-    hosts = host_verdicts(rules, limit).select("host", "host_rejected")
+def verdicts(rules: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
+    """Base rule, host verdict and final verdict of every row of :func:`document_rules`.
+
+    A small table of hosts is broadcast, so that a host with many documents isn't
+    gathered; the way beyond ``MAX_HOSTS`` is a join whose skewed keys Spark splits."""
+    hosts = stage(host_verdicts(rules, limit).select("host", "host_rejected"), "hosts")
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
-    return (rules.withColumn("base_failed", base).join(hosts, "host")
+    return (rules.withColumn("base_failed", base)
+                 .join(F.broadcast(hosts) if hosts.count() <= MAX_HOSTS else hosts, "host")
                  .withColumn("kept", ~F.col("base_failed") & ~F.col("host_rejected")))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .common import stage
-    docs = table(spark, sf_dir, "documents")
     # the counts are written once: hosts and documents both read them
-    rules = stage(document_rules(docs), "op4-rules")
-    hosts = host_verdicts(rules).select("host", "host_rejected")
-    base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
-    return (rules.withColumn("base_failed", base).join(hosts, "host")
-                 .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                         (~F.col("base_failed") & ~F.col("host_rejected")).alias("kept")))
+    rules = stage(document_rules(table(spark, sf_dir, "documents")), "op4-rules")
+    return verdicts(rules).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                  "base_failed", "kept")
 
 
 OP4_SQL = r"""

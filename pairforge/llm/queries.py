@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import chat, quality, sharding
+from . import bpe, chat, langid, quality, sharding, toxicity
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
+    "op2_language_id": langid.op2_language_id,
     "op3_sharding": sharding.op3_sharding,
     "op4_quality_rules": quality.op4_quality_rules,
+    "op5_toxicity": toxicity.op5_toxicity,
+    "op7_bpe": bpe.op7_bpe,
 }
 
 SQL = {

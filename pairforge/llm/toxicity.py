@@ -32,9 +32,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..sources.tables import table
 from .common import CACHE_WORDS, crc32_mod, small_batches, spread_rows
 
-TRAIN_ROWS = 12_000
-VOTERS = 600
+TRAIN_ROWS = 8_000
+VOTERS = 300
 THRESHOLD = 0.7
+#: weight of an unlabelled row in the label model, and the correlation from which voters share a vote
+UNLABELLED, SAME = 0.2, 0.5
 STRIP = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789"
 #: beginnings of words that may become voters, by length
 STEMS = (4, 5, 6)
@@ -89,18 +91,19 @@ def fit_label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 12) ->
     Known labels stay fixed; the rest follow the model's posterior (the second result)."""
     known = labels >= 0
     base = (labels[known] == 1).mean() if known.any() else 0.0
+    trust = np.where(known, 1.0, UNLABELLED)
     q = np.where(known, labels == 1, base).astype(float)
     model = LabelModel(weight=np.ones(votes.shape[1]))
     for step in range(rounds):
-        n1, n0 = q.sum(), (1 - q).sum()
-        model.prior = float(np.clip(base if step == 0 else n1 / len(q), 1e-4, 1 - 1e-4))
-        model.rates = np.clip(np.stack([((1 - q) @ votes + 0.02) / (n0 + 1), (q @ votes + 0.02) / (n1 + 0.1)]), 1e-5, 1 - 1e-3)
+        w1, w0 = q * trust, (1 - q) * trust
+        model.prior = float(np.clip(base if step == 0 else w1.sum() / trust.sum(), 1e-4, 1 - 1e-4))
+        model.rates = np.clip(np.stack([(w0 @ votes + 0.02) / (w0.sum() + 1), (w1 @ votes + 0.02) / (w1.sum() + 0.1)]), 1e-5, 1 - 1e-3)
         if step in (0, rounds // 2):
             # correlation of votes given the class: residuals around each row's expected vote
             z = votes - np.outer(q, model.rates[1]) - np.outer(1 - q, model.rates[0])
             sd = np.sqrt((z * z).mean(axis=0)) + 1e-9
             model.correlation = np.clip((z.T @ z) / len(z) / np.outer(sd, sd), -1, 1)
-            model.weight = 1 / np.maximum(1, np.where(model.correlation > 0.2, model.correlation, 0).sum(axis=1))
+            model.weight = 1 / np.maximum(1, np.where(model.correlation > SAME, model.correlation, 0).sum(axis=1))
         post = model.posterior(votes)
         q = np.where(known, labels == 1, post)
     return model, q
@@ -121,39 +124,47 @@ class Classifier:
         return 1 / (1 + math.exp(-min(50, max(-50, z))))
 
 
-def fit_linear(votes: np.ndarray, target: np.ndarray, steps: int = 400, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels, by accelerated gradient steps (the last column: log of the number of votes)."""
-    x = np.hstack([votes, np.log1p(votes.sum(axis=1, keepdims=True))])
-    w, b = np.zeros(x.shape[1]), math.log(np.clip(target.mean(), 1e-4, 0.5))
-    vw, vb = np.zeros_like(w), 0.0
-    rate = 4.0 / max(1.0, (x * x).sum(axis=1).mean())
-    for _ in range(steps):
-        g = 1 / (1 + np.exp(-np.clip(x @ w + b, -50, 50))) - target
-        vw = 0.9 * vw - rate * (x.T @ g / len(x) + ridge * w)
-        vb = 0.9 * vb - rate * g.mean()
-        w, b = w + vw, b + vb
-    return w, float(b)
+def fit_linear(votes: np.ndarray, target: np.ndarray, rounds: int = 25, ridge: float = 0.05) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft labels, by damped Newton steps (the last weight: log of the number of votes)."""
+    x = np.hstack([votes, np.log1p(votes.sum(axis=1, keepdims=True)), np.ones((len(votes), 1))]).astype(float)
+    w = np.zeros(x.shape[1])
+    w[-1] = math.log(np.clip(target.mean(), 1e-4, 0.5))
+    penalty = np.append(np.full(x.shape[1] - 1, ridge), 1e-6)
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        h = np.maximum(p * (1 - p), 1e-6)
+        step = np.linalg.solve((x * h[:, None]).T @ x + np.diag(penalty), x.T @ (p - target) + penalty * w)
+        w = w - step * min(1.0, 4.0 / max(1e-9, np.abs(x @ step).max()))
+        if np.abs(step).max() < 1e-3:
+            break
+    return w[:-1], float(w[-1])
 
 
 def propose_voters(train: DataFrame, limit: int = VOTERS) -> list[str]:
     """Words and word beginnings of labelled texts, by log odds against the other class."""
-    def count(batches):
-        for b in batches:
-            c = Counter()
-            for text, y in zip(b["text"], b["toxic"]):
-                c.update((f, y) for f in {f for w in set(text.lower().split()) for f in features_of(w)})
-            yield pd.DataFrame([(f, n if y else 0, 0 if y else n) for (f, y), n in c.items()], columns=["f", "pos", "neg"])
+    def counter(only):
+        def count(batches):
+            for b in batches:
+                c = Counter()
+                for text in b["text"]:
+                    found = {f for w in set(text.lower().split()) for f in features_of(w)}
+                    c.update(found if only is None else found & only)
+                yield pd.DataFrame(c.items(), columns=["f", "n"])
+        return count
+
+    def counts(rows, only=None):
+        return (rows.select("text").mapInPandas(counter(only), "f string, n long")
+                    .groupBy("f").agg(F.sum("n").alias("n")))
 
     n = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(1):
         return []
     pos, neg = n[1], n.get(0, 0)
-    counts = (train.select("text", "toxic").mapInPandas(count, "f string, pos long, neg long")
-                   .groupBy("f").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
-    lift = (F.col("pos") / F.lit(pos)) / ((F.col("neg") + 0.5) / F.lit(neg + 1.0))
-    best = (counts.filter(F.col("pos") >= 2).withColumn("lift", lift).filter(F.col("lift") >= 8)
-                  .orderBy((F.log("lift") * F.col("pos")).desc(), "f").limit(limit))
-    return [r["f"] for r in best.select("f").collect()]  # at most ``limit`` rows
+    # both tables are bounded by the sample of labelled rows
+    hits = {r["f"]: r["n"] for r in counts(train.filter("toxic = 1")).filter("n >= 2").collect()}
+    misses = {r["f"]: r["n"] for r in counts(train.filter("toxic = 0"), set(hits)).collect()}
+    lift = {f: (k / pos) / ((misses.get(f, 0) + 0.5) / (neg + 1)) for f, k in hits.items()}
+    return sorted((f for f in hits if lift[f] >= 8), key=lambda f: (-math.log(lift[f]) * hits[f], f))[:limit]
 
 
 def vote_rows(df: DataFrame, voters: dict[str, int], extra: str = "") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, langid, quality, sharding, toxicity
+from . import bpe, chat, decontaminate, html_extract, langid, quality, sharding, toxicity
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
@@ -11,6 +11,8 @@ QUERIES = {
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_toxicity": toxicity.op5_toxicity,
     "op7_bpe": bpe.op7_bpe,
+    "op8_decontaminate": decontaminate.op8_decontaminate,
+    "op10_html_extract": html_extract.op10_html_extract,
 }
 
 SQL = {

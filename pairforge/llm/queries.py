@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, html_extract, langid, quality, sharding, toxicity
+from . import bpe, chat, decontaminate, html_extract, langid, quality, sharding, substring, toxicity
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_sharding": sharding.op3_sharding,
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op6_substring_dedup": substring.op6_substring_dedup,
     "op7_bpe": bpe.op7_bpe,
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op10_html_extract": html_extract.op10_html_extract,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, html_extract, langid, quality, sharding, substring, toxicity
+from . import bpe, chat, decontaminate, html_extract, jaccard, langid, quality, sharding, substring, toxicity
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_substring_dedup": substring.op6_substring_dedup,
     "op7_bpe": bpe.op7_bpe,
     "op8_decontaminate": decontaminate.op8_decontaminate,
+    "op9_ngram_jaccard": jaccard.op9_ngram_jaccard,
     "op10_html_extract": html_extract.op10_html_extract,
 }
 

@@ -338,3 +338,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     path = tokenizer_path()
     return digests(encode(table(spark, sf_dir, "documents"), path), path)
+
+
+def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Last pipeline stage: doc_id, n_tokens, ids of every text."""
+    small_batches(spark)
+    out = encode(docs, tokenizer_path())
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")

@@ -4,8 +4,8 @@ Over the pieces of a fixed public vocabulary every language has piece
 probabilities, learned by expectation-maximisation from labelled texts.  A word
 scores as the sum over all of its segmentations into pieces (forward algorithm
 in log space), a text as the product over its words, and the language with the
-largest posterior wins.  Bytes are pieces too, so that any character has a
-segmentation.
+largest posterior wins.  A character outside the vocabulary passes as its
+bytes, so that any text has a segmentation.
 
 Cases: null text and text without a letter give ``und`` with score 0; empty and
 very long texts and words are scored whole; rows with null ``lang`` are never
@@ -28,12 +28,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.tables import table
-from .common import CACHE_WORDS, LETTER, crc32_mod, small_batches, spread_rows, stage
+from .common import LETTER, crc32_mod, small_batches, spread_rows, stage
 
 #: labelled rows that the model is fitted on, at most about
 TRAIN_ROWS = 4000
 ROUNDS = 3
 SMOOTHING = 0.05
+#: words whose scores a process keeps
+MODEL_CACHE = 500_000
 #: fixed value: the space mark of the vocabulary
 SPACE_MARK = "▁"
 STRIP = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789"
@@ -58,31 +60,33 @@ class Pieces:
                  if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))]
         self.index = {p: 256 + i for i, p in enumerate(dict.fromkeys(names))}  # 0..255: bytes
         self.size = 256 + len(self.index)
-        self.prefixes = {p[:k] for p in self.index for k in range(1, len(p) + 1)}
         self.longest = max(map(len, self.index))
+        # piece number, or -1 for a beginning of longer pieces only
+        self.trie = {p[:k]: -1 for p in self.index for k in range(1, len(p))} | self.index
 
     def edges(self, words: list[str]):
-        """(word, start, end, piece) of every piece inside every word; a character's bytes are one edge each with their sum."""
-        index, prefixes, longest = self.index, self.prefixes, self.longest
-        w_, i_, j_, p_, bw, bi, bb = [], [], [], [], [], [], []
+        """(word, start, end, piece) of every piece inside every word, and (word, place, byte) of characters that are no piece."""
+        get, longest, wide = self.trie.get, self.longest, max(map(len, words)) + 1
+        code, piece, bw, bi, bb = [], [], [], [], []
         for w, s in enumerate(words):
             n = len(s)
             for i in range(n):
+                at = (w * wide + i) * wide
                 for j in range(i + 1, min(n, i + longest) + 1):
-                    sub = s[i:j]
-                    if sub not in prefixes:
+                    p = get(s[i:j])
+                    if p is None:
                         break
-                    p = index.get(sub)
-                    if p is not None:
-                        w_.append(w)
-                        i_.append(i)
-                        j_.append(j)
-                        p_.append(p)
-                for b in s[i].encode("utf-8", "surrogatepass"):
-                    bw.append(w)
-                    bi.append(i)
-                    bb.append(b)
-        return (np.array(x, np.int32) for x in (w_, i_, j_, p_, bw, bi, bb))
+                    if p >= 0:
+                        code.append(at + j)
+                        piece.append(p)
+                if s[i] not in self.index:
+                    for b in s[i].encode("utf-8", "surrogatepass"):
+                        bw.append(w)
+                        bi.append(i)
+                        bb.append(b)
+        code = np.array(code, np.int64)
+        start = code // wide
+        return start // wide, start % wide, code % wide, np.array(piece, np.int64), *(np.array(x, np.int64) for x in (bw, bi, bb))
 
 
 @dataclass
@@ -93,8 +97,25 @@ class Model:
     path: str
 
 
+class Scores:
+    """Word scores of one model that a Python process keeps from task to task."""
+
+    _now: Scores | None = None
+
+    def __init__(self, model: Model):
+        self.model, self.cache, self.table = model, {}, np.zeros((1024, len(model.langs)))
+
+    @classmethod
+    def of(cls, model: Model) -> Scores:
+        if cls._now is None or not (cls._now.model is model or (cls._now.model.langs == model.langs and np.array_equal(cls._now.model.logp, model.logp))):
+            cls._now = cls(model)
+        return cls._now
+
+
 def _lattice(pieces: Pieces, words: list[str]):
-    """Edges in steps: all edges of one step end at the same place and have one length."""
+    """Edges in steps: all edges of one step end at the same place and have one length.
+
+    A character that is no piece passes as its bytes (``single``); all others only as pieces."""
     w, i, j, p, bw, bi, bb = pieces.edges(words)
     n = max(map(len, words))
     order = np.lexsort((j - i, j))
@@ -104,7 +125,8 @@ def _lattice(pieces: Pieces, words: list[str]):
 
 
 def _byte_scores(logp, shape, bw, bi, bb):
-    out = np.zeros((*shape, logp.shape[1]))
+    out = np.full((*shape, logp.shape[1]), -np.inf)
+    out[bw, bi] = 0
     np.add.at(out, (bw, bi), logp[bb])
     return out
 
@@ -238,12 +260,12 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def run(batches):
         m = shared.value
         pieces, n_langs = Pieces.load(m.path), len(m.langs)
-        cache: dict[str, np.ndarray] = {}
-        table_ = np.zeros((1024, n_langs))
+        known = Scores.of(m)
+        cache, table_ = known.cache, known.table
         for b in batches:
             texts = [(t or "").lower() for t in b["text"]]
             words = [t.split() for t in texts]
-            if len(cache) > CACHE_WORDS:
+            if len(cache) > MODEL_CACHE:
                 cache.clear()
             new = [w for w in set(chain.from_iterable(words)) if w not in cache]
             cores = {w: core(w) for w in new}
@@ -251,7 +273,7 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             base = len(cache)
             need = base + len(todo) + len(new) + 1
             if need > len(table_):
-                table_ = np.concatenate([table_, np.zeros((max(need, len(table_)), n_langs))])
+                table_ = known.table = np.concatenate([table_, np.zeros((max(need, len(table_)), n_langs))])
             for g in by_length(todo):
                 got = forward(pieces, [todo[k] for k in g], m.logp)
                 for k, row in zip(g, got):

@@ -6,8 +6,9 @@ labelled and unlabelled texts and the correlation of voters given the class;
 correlated voters share their weight.  A linear classifier is trained on the
 posterior labels and scores every text.
 
-Lexicon voters are proposed by the labelled training rows (words and word
-beginnings far more frequent in toxic texts); pattern voters are fixed.
+Lexicon voters are fixed insults, and words and word beginnings that occur so
+often in so many more toxic training texts that chance is ruled out; pattern
+voters are fixed.
 
 Cases: null and empty texts get the classifier's score of no votes; texts of any
 length are scored whole; without labelled rows all scores are 0; a label other
@@ -27,7 +28,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..sources.tables import table
 from .common import CACHE_WORDS, crc32_mod, small_batches, spread_rows
@@ -35,11 +36,14 @@ from .common import CACHE_WORDS, crc32_mod, small_batches, spread_rows
 TRAIN_ROWS = 8_000
 VOTERS = 300
 THRESHOLD = 0.7
+#: false voters expected among the proposed ones, at most
+FALSE_VOTERS = 0.02
 #: weight of an unlabelled row in the label model, and the correlation from which voters share a vote
 UNLABELLED, SAME = 0.2, 0.5
 STRIP = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789"
-#: beginnings of words that may become voters, by length
-STEMS = (4, 5, 6)
+#: beginnings of words that may become voters, by length, and how often one must occur for a vote
+STEMS = (4, 5, 6, 7)
+TIMES = (1, 2, 3, 5)
 #: fixed pattern voters (name: pattern on the lower-cased text)
 PATTERNS = {
     "you_are": r"\byou(?:'re| are) (?:an? |such )",
@@ -60,11 +64,20 @@ _PATTERNS = {k: re.compile(v) for k, v in PATTERNS.items()}
 
 
 def features_of(word: str) -> tuple[str, ...]:
-    """Candidate voters that a raw word takes part in: the word and its beginnings."""
+    """What may be counted of a raw word: the word and its beginnings."""
     w = word.strip(STRIP)
     return (f"w:{w}", *(f"s:{w[:k]}" for k in STEMS if len(w) > k)) if w else ()
 
 
+def candidates(text: str) -> list[str]:
+    """Candidate voters ``feature#times`` that fire on a whole text."""
+    c = Counter()
+    for w, n in Counter(text.lower().split()).items():
+        for f in features_of(w):
+            c[f] += n
+    return [f"{f}#{k}" for f, n in c.items() for k in TIMES if n >= k]
+
+
 def patterns_of(text: str) -> list[str]:
     return [f"p:{k}" for k, p in _PATTERNS.items() if p.search(text)]
 
@@ -147,8 +160,7 @@ def propose_voters(train: DataFrame, limit: int = VOTERS) -> list[str]:
             for b in batches:
                 c = Counter()
                 for text in b["text"]:
-                    found = {f for w in set(text.lower().split()) for f in features_of(w)}
-                    c.update(found if only is None else found & only)
+                    c.update(f for f in candidates(text) if only is None or f in only)
                 yield pd.DataFrame(c.items(), columns=["f", "n"])
         return count
 
@@ -163,33 +175,55 @@ def propose_voters(train: DataFrame, limit: int = VOTERS) -> list[str]:
     # both tables are bounded by the sample of labelled rows
     hits = {r["f"]: r["n"] for r in counts(train.filter("toxic = 1")).filter("n >= 2").collect()}
     misses = {r["f"]: r["n"] for r in counts(train.filter("toxic = 0"), set(hits)).collect()}
-    lift = {f: (k / pos) / ((misses.get(f, 0) + 0.5) / (neg + 1)) for f, k in hits.items()}
-    return sorted((f for f in hits if lift[f] >= 8), key=lambda f: (-math.log(lift[f]) * hits[f], f))[:limit]
-
-
-def vote_rows(df: DataFrame, voters: dict[str, int], extra: str = "") -> DataFrame:
-    """All columns but the text, and ``votes`` array<int> (numbers of the voters that fire on the whole text)."""
+    base, floor = pos / (pos + neg), math.log(max(2, len(hits)) / FALSE_VOTERS)
+
+    def surprise(f):
+        """Exponent of the Chernoff bound on so many toxic rows among those that hold the feature."""
+        n = hits[f] + misses.get(f, 0)
+        share = hits[f] / n
+        rest = (1 - share) * math.log((1 - share) / (1 - base)) if 0 < share < 1 and base < 1 else 0.0
+        return n * (share * math.log(share / base) + rest) if share > base else 0.0
+
+    found = {f: x for f in hits if (x := surprise(f)) >= floor}
+    return sorted(found, key=lambda f: (-found[f], f))[:limit]
+
+
+def rules_of(voters: dict[str, int]) -> dict[str, list[tuple[int, int]]]:
+    """feature -> [(times, number of the voter)]."""
+    out: dict[str, list[tuple[int, int]]] = {}
+    for v, k in voters.items():
+        f, _, n = v.rpartition("#")
+        out.setdefault(f, []).append((int(n), k))
+    return out
+
+
+def fired(text: str | None, rules: dict[str, list[tuple[int, int]]], cache: dict[str, tuple]) -> list[int]:
+    """Numbers of the voters that fire on a whole text."""
+    text = (text or "").lower()
+    count: dict[str, int] = {}
+    for w, n in Counter(text.split()).items():
+        hit = cache.get(w)
+        if hit is None:
+            hit = cache[w] = tuple(f for f in features_of(w) if f in rules)
+        for f in hit:
+            count[f] = count.get(f, 0) + n
+    for f in patterns_of(text):
+        count[f] = 1
+    return sorted(k for f, n in count.items() if f in rules for times, k in rules[f] if n >= times)
+
+
+def vote_rows(df: DataFrame, voters: dict[str, int], out: str = "votes") -> DataFrame:
+    """All columns, with an array<int> column ``out`` instead of the text: numbers of the voters that fire on it."""
     keep = [c for c in df.columns if c != "text"]
-    schema = ", ".join(f"`{c}` {t}" for c, t in df.dtypes if c != "text") + ", votes array<int>"
+    schema = ", ".join(f"`{c}` {t}" for c, t in df.dtypes if c != "text") + f", {out} array<int>"
+    rules = rules_of(voters)
 
     def run(batches):
         cache: dict[str, tuple] = {}
         for b in batches:
             if len(cache) > CACHE_WORDS:
                 cache.clear()
-            out = []
-            for text in b["text"]:
-                text = (text or "").lower()
-                on = set()
-                for w in set(text.split()):
-                    hit = cache.get(w)
-                    if hit is None:
-                        hit = cache[w] = tuple(voters[f] for f in features_of(w) if f in voters)
-                    if hit:
-                        on.update(hit)
-                on.update(voters[p] for p in patterns_of(text) if p in voters)
-                out.append(sorted(on))
-            yield b[keep].assign(votes=out)
+            yield b[keep].assign(**{out: [fired(t, rules, cache) for t in b["text"]]})
 
     return df.mapInPandas(run, schema)
 
@@ -208,7 +242,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Classifie
     # the sampled labels are bounded by ``rows``, so they may be broadcast
     train = docs.join(F.broadcast(labels), "doc_id")
     names = propose_voters(train)
-    voters = {f: k for k, f in enumerate(dict.fromkeys([*names, *(f"w:{w}" for w in LEXICON), *(f"p:{k}" for k in PATTERNS)]))}
+    voters = {f: k for k, f in enumerate(dict.fromkeys([*names, *(f"w:{w}#1" for w in LEXICON), *(f"p:{k}#1" for k in PATTERNS)]))}
     if not names:
         return Classifier(voters, np.zeros(len(voters) + 1), 0.0, LabelModel(), empty=True)
     others = _sample(docs, rows, "others", docs.count())
@@ -226,15 +260,24 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Classifie
 def score(df: DataFrame, classifier: Classifier, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score, predicted of every whole text."""
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    shared = df.sparkSession.sparkContext.broadcast(classifier)  # a few hundred voters
+    out = spread_rows(rows).withColumn("score", score_of(F.col("text"), classifier, df.sparkSession))
+    return out.select("doc_id", "score", (F.col("score") >= F.lit(threshold)).cast("int").alias("predicted"))
+
+
+def score_of(text: Column, classifier: Classifier, spark: SparkSession) -> Column:
+    """Score of a whole text as a column expression; other columns stay as they are."""
+    shared = spark.sparkContext.broadcast(classifier)  # a few hundred voters
+    rules = rules_of(classifier.voters)
+    cache: dict[str, tuple] = {}
 
     @F.pandas_udf("double")
-    def of(votes: pd.Series) -> pd.Series:
+    def of(texts: pd.Series) -> pd.Series:
         c = shared.value
-        return votes.map(lambda on: c.score(on.tolist())).astype(float)
+        if len(cache) > CACHE_WORDS:
+            cache.clear()
+        return pd.Series([c.score(fired(t, rules, cache)) for t in texts], dtype=float)
 
-    out = vote_rows(spread_rows(rows), classifier.voters).withColumn("score", of("votes"))
-    return out.select("doc_id", "score", (F.col("score") >= F.lit(threshold)).cast("int").alias("predicted"))
+    return of(text)
 
 
 def learn(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Classifier:
@@ -254,13 +297,4 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Pipeline stage: rows whose text is predicted toxic go; the columns stay."""
     small_batches(spark)
     classifier = learn(spark, docs, sf_dir)
-    cols = docs.columns
-    shared = spark.sparkContext.broadcast(classifier)
-    voted = vote_rows(spread_rows(docs.withColumn("_text", F.col("text"))), classifier.voters)
-
-    @F.pandas_udf("boolean")
-    def keep(votes: pd.Series) -> pd.Series:
-        c = shared.value
-        return votes.map(lambda on: c.score(on.tolist()) < THRESHOLD).astype(bool)
-
-    return voted.filter(keep("votes")).withColumnRenamed("_text", "text").select(*cols)
+    return spread_rows(docs).filter(score_of(F.col("text"), classifier, spark) < F.lit(THRESHOLD))

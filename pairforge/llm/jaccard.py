@@ -275,7 +275,7 @@ def verify(cluster_sets: DataFrame, t: Threshold) -> DataFrame:
     d = d.withColumn("g", F.when(F.col("nb") == 1, F.pmod(F.xxhash64("root"), F.lit(n_groups))).otherwise(F.xxhash64("root", "i", "j")))
     d = d.select("g", "root", "i", "j", "blk", "h", "w", "set").repartition(shuffle_parts(cluster_sets.sparkSession), "g").sortWithinPartitions("g", "root", "i", "j")
 
-    def one(part):
+    def one(part, across):
         names = np.array([r[1] for r in part], np.int64)
         weights = np.array([r[2] for r in part], np.int64)
         sets = [np.frombuffer(r[3], np.uint64) for r in part]
@@ -285,7 +285,7 @@ def verify(cluster_sets: DataFrame, t: Threshold) -> DataFrame:
         link = t.linked(sizes[:, None], sizes[None, :], o)
         np.fill_diagonal(link, False)
         count = link
-        if len(set(blk.tolist())) > 1:  # pairs inside a block belong to the block's own task
+        if across:  # pairs inside a block belong to the block's own task
             count = link & (blk[:, None] != blk[None, :])
         return names, least_linked(names, link), count @ weights
 
@@ -297,13 +297,13 @@ def verify(cluster_sets: DataFrame, t: Threshold) -> DataFrame:
             for root, i, j, blk, h, w, s in zip(*cols):
                 if (root, i, j) != now:
                     if len(held) > 1:
-                        out.append(one(held))
+                        out.append(one(held, now[1] != now[2]))
                     held, now = [], (root, i, j)
                 held.append((blk, h, w, s))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*out)], names=["h", "low", "links"])
         if len(held) > 1:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in one(held)], names=["h", "low", "links"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in one(held, now[1] != now[2])], names=["h", "low", "links"])
 
     return d.mapInArrow(run, "h long, low long, links long")
 

@@ -31,6 +31,7 @@ import hashlib
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -323,7 +324,6 @@ def cut_text(text: str, pos, cnt) -> str:
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: repeated words leave the text (``n_chars`` follows); texts that lose all words go."""
-    import pandas as pd
     small_batches(spark)
     cols = docs.columns
     rows = _with_ranges(docs, "doc_id", "text")

@@ -243,7 +243,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Classifie
     train = docs.join(F.broadcast(labels), "doc_id")
     names = propose_voters(train)
     voters = {f: k for k, f in enumerate(dict.fromkeys([*names, *(f"w:{w}#1" for w in LEXICON), *(f"p:{k}#1" for k in PATTERNS)]))}
-    if not names:
+    if not train.filter("toxic = 1").limit(1).count():
         return Classifier(voters, np.zeros(len(voters) + 1), 0.0, LabelModel(), empty=True)
     others = _sample(docs, rows, "others", docs.count())
     known = vote_rows(train, voters).select("toxic", "votes").toPandas()

@@ -46,7 +46,7 @@ def init_prefix(df: DataFrame, src: str = "src_ids", prefix: str | None = None)
     """Default prefix ``[bos]``; an empty source is an error."""
     bad = df.filter((F.col(src).isNull()) | (F.size(src) == 0)).limit(1).count()
     if bad:
-        raise ValueError("Empty input tensor")
+        raise ValueError(f"column {src} has null or empty sources")
     p = F.col(prefix) if prefix else F.array(F.lit(BOS_ID))
     return df.withColumn("prefix", p)
 
@@ -61,9 +61,9 @@ def best_next(scores: DataFrame, temperature: float = 1.0) -> DataFrame:
         F.max_by("token_id", F.struct(F.col("logit"), -F.col("token_id"))).alias("next_id"))
 
 
-def greedy_paths(scores: DataFrame, max_len: int) -> DataFrame:
+def greedy_paths(scores: DataFrame, max_len: int, cut: bool = True) -> DataFrame:
     """(prev_id, path): the greedy continuation of ``max_len`` tokens from each
-    token, cut after the first eos.  A token without successors emits eos."""
+    token, with ``cut`` up to the first eos.  A token without successors emits eos."""
     nxt = best_next(scores)
     tokens = (scores.select(F.col("prev_id").alias("t"))
                     .union(scores.select(F.col("token_id").alias("t")))
@@ -85,7 +85,8 @@ def greedy_paths(scores: DataFrame, max_len: int) -> DataFrame:
                       .select("prev_id", F.concat("path", "_ext").alias("path")))
         length *= 2
         paths = materialize(paths)
-    return paths.select("prev_id", _cut_at_eos(F.slice("path", 1, max_len)).alias("path"))
+    path = F.slice("path", 1, max_len)
+    return paths.select("prev_id", (_cut_at_eos(path) if cut else path).alias("path"))
 
 
 def _cut_at_eos(arr):
@@ -97,22 +98,23 @@ def decode_greedy(sources: DataFrame, scores: DataFrame, max_len: int = SAMPLE_M
                   mode: str = "per_row", prefix: str = "prefix", out: str = "tokens") -> DataFrame:
     """Append the argmax token up to ``max_len`` times.
 
-    ``per_row``: each row stops at its own first eos.  ``reference``: rows
-    keep extending until every row has emitted eos (an ended row emits eos
-    again), i.e. rows are eos-padded to the longest continuation."""
-    paths = greedy_paths(scores, max_len).withColumnRenamed("prev_id", "_t")
+    ``per_row``: each row stops at its own first eos.  ``reference``: every row
+    keeps appending its argmax (an ended row too, by the successors of eos) until
+    all rows emit eos in the same step, or ``max_len`` tokens."""
+    if mode not in ("per_row", "reference"):
+        raise ValueError(f"unknown mode {mode}")
+    paths = greedy_paths(scores, max_len, cut=mode == "per_row").withColumnRenamed("prev_id", "_t")
     paths = _maybe_broadcast(paths)
     d = (sources.withColumn("_t", F.element_at(prefix, -1))
                 .join(paths, "_t", "left")
-                .withColumn(out, F.concat(prefix, F.coalesce("path", F.array(F.lit(EOS_ID)))))
-                .drop("_t", "path"))
+                .withColumn("path", F.coalesce("path", F.array_repeat(F.lit(EOS_ID), 1 if mode == "per_row" else max_len))))
     if mode == "reference":
-        m = d.agg(F.max(F.size(out) - F.size(prefix))).first()[0] or 0
-        d = d.withColumn(out, F.concat(out, F.array_repeat(
-            F.lit(EOS_ID), F.greatest(F.lit(m) - (F.size(out) - F.size(prefix)), F.lit(0)))))
-    elif mode != "per_row":
-        raise ValueError(f"unknown mode {mode}")
-    return d
+        # steps in which some row emits another token: at most max_len numbers
+        running = {r[0] for r in d.select(F.posexplode("path").alias("step", "t")).filter(F.col("t") != EOS_ID)
+                   .select("step").distinct().collect()}
+        steps = next((s + 1 for s in range(max_len) if s not in running), max_len)
+        d = d.withColumn("path", F.slice("path", 1, steps))
+    return d.withColumn(out, F.concat(prefix, "path")).drop("_t", "path")
 
 
 def uniform_hash(seed, *cols):
@@ -231,7 +233,11 @@ def beam_step(beams: DataFrame, scores: DataFrame, step: int, beam_size: int, te
     if diversity > 0:
         cols["_all"] = F.flatten(F.collect_list("tokens").over(Window.partitionBy("ex_id")))
     c = beams.withColumns(cols)
-    c = c.join(sc, "_p", "left").filter(F.col("_ended") | F.col("token_id").isNotNull())
+    c = c.join(sc, "_p", "left")
+    # a beam without successors emits eos with logit 0, as the other decoders do: no source is lost
+    stuck = ~F.col("_ended") & F.col("token_id").isNull()
+    c = c.withColumns({"_z": F.when(stuck, F.lit(0.0)).otherwise(F.col("_z")),
+                       "token_id": F.when(stuck, F.lit(EOS_ID)).otherwise(F.col("token_id"))})
     if diversity > 0:
         # occurrences of t in the other beams; array_remove is a native loop
         tok = F.col("token_id")
@@ -295,5 +301,5 @@ def decode(sources: DataFrame, scores: DataFrame, strategy: str = "greedy", **kw
     """Dispatch by strategy name."""
     fns = {"greedy": decode_greedy, "random": decode_random, "beam": decode_beam}
     if strategy not in fns:
-        raise ValueError(f"Invalid sampling strategy: {strategy}")
+        raise ValueError(f"unknown decoding strategy {strategy!r}; known: {', '.join(fns)}")
     return fns[strategy](sources, scores, **kw)

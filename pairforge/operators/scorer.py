@@ -10,6 +10,7 @@ scores whole batches, never single rows.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -17,15 +18,25 @@ from pyspark.sql import DataFrame
 
 from ..constants import EOS_ID, LENGTH_ALPHA, NGRAM_SIZE, REPETITION_PENALTY
 
-MAX_TABLE_ROWS = 5_000_000
 _SCORERS: dict = {}
 
 
-def table_scorer(scores: DataFrame):
-    """A scorer factory over a ``scores(prev_id, token_id, logit)`` table (size-checked)."""
+def worker_scorer(key: str, make_scorer):
+    """The scorer of one decoding run, built once per Python worker process.
+
+    A module-level function: the cache is the worker's own and outlives a task."""
+    if key not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[key] = make_scorer()
+    return _SCORERS[key]
+
+
+def table_scorer(scores: DataFrame, max_rows: int = 5_000_000):
+    """A scorer factory over a ``scores(prev_id, token_id, logit)`` table of at most ``max_rows`` rows
+    (it is held by every worker)."""
     n = scores.count()
-    if n > MAX_TABLE_ROWS:
-        raise ValueError(f"score table of {n} rows is above {MAX_TABLE_ROWS}")
+    if n > max_rows:
+        raise ValueError(f"score table of {n} rows is above max_rows={max_rows}; use the table-form decoders")
     pdf = scores.select("prev_id", "token_id", "logit").toPandas()
     v = int(max(pdf["token_id"].max(), pdf["prev_id"].max(), EOS_ID)) + 1
     by_prev = {int(p): (g["token_id"].to_numpy(np.int64), g["logit"].to_numpy(np.float64))
@@ -118,6 +129,8 @@ def _beam_batch(score, srcs, seqs, ex_ids, max_len, beam_size=5, temperature=1.0
                     cands.append((sc, b, 0, tok))
                     continue
                 z = logits[row[(e, b)]].copy()
+                if not np.isfinite(z).any():
+                    z[EOS_ID] = 0.0  # no successor: the beam ends
                 if diversity > 0:
                     for ob, (otok, _) in enumerate(bl):
                         if ob != b:
@@ -142,26 +155,29 @@ _STRATEGIES = {"greedy": _greedy_batch, "random": _random_batch, "beam": _beam_b
 
 def decode_with_scorer(sources: DataFrame, make_scorer, strategy: str = "greedy",
                        max_len: int = 30, src: str = "x_src", prefix: str = "prefix",
-                       out: str = "tokens", **options) -> DataFrame:
+                       out: str = "tokens", rows_per_call: int = 256, **options) -> DataFrame:
     """Decode ``sources(ex_id, src, prefix)`` with a batch scorer.
 
+    At most ``rows_per_call`` sources (times the beam) are scored at once, which
+    bounds the logits of a call; no result depends on it.
+
     ``greedy`` and ``random`` stop each row at its own eos (a row without any
     possible token emits eos); ``beam`` returns the best beam.  Options are
     those of the table-form decoders (``top_n``, ``temperature``, ``seed``,
     ``beam_size``, ``diversity``)."""
     if strategy not in _STRATEGIES:
-        raise ValueError(f"Invalid sampling strategy: {strategy}")
+        raise ValueError(f"unknown decoding strategy {strategy!r}; known: {', '.join(_STRATEGIES)}")
     run_batch = _STRATEGIES[strategy]
-    key = id(make_scorer)
+    key = uuid.uuid4().hex
 
     def run(batches):
-        score = _SCORERS.get(key)
-        if score is None:
-            score = _SCORERS.setdefault(key, make_scorer())
-        for b in batches:
-            srcs = [list(x) for x in b[src]]
-            seqs = [list(x) for x in b[prefix]]
-            res = run_batch(score, srcs, seqs, b["ex_id"].tolist(), max_len, **options)
-            yield pd.DataFrame({"ex_id": b["ex_id"], out: res})
+        score = worker_scorer(key, make_scorer)
+        for whole in batches:
+            for a in range(0, len(whole), rows_per_call):
+                b = whole.iloc[a: a + rows_per_call]
+                srcs = [list(x) for x in b[src]]
+                seqs = [list(x) for x in b[prefix]]
+                res = run_batch(score, srcs, seqs, b["ex_id"].tolist(), max_len, **options)
+                yield pd.DataFrame({"ex_id": b["ex_id"], out: res})
 
     return sources.select("ex_id", src, prefix).mapInPandas(run, f"ex_id long, {out} array<int>")

@@ -21,6 +21,7 @@ _CACHE: dict = {}
 
 def _cached(spark, key, build):
     """Learned tables are written once per session to the shared checkpoint folder."""
+    key = (spark.sparkContext.applicationId, *key)
     path = _CACHE.get(key)
     if path is None:
         path = scratch_path(spark, "_".join(str(k).strip("/").replace("/", "_") for k in key))

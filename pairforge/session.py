@@ -40,8 +40,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder.
 
     On a cluster this is ``spark.checkpoint.dir`` as configured for the
-    session.  Only when nothing is configured (local tests) a folder of our
-    own is created.
+    session; without it a cluster run is refused.  Only a local session gets a
+    folder of our own.
     """
     sc = spark.sparkContext
     ship_package(spark)
@@ -55,6 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             conf_dir = None
     if not conf_dir:
+        master = sc.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir is not set: a folder shared by all executors of {master} is needed")
         conf_dir = tempfile.mkdtemp(prefix="pairforge-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()

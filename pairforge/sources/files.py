@@ -48,14 +48,17 @@ def write_pairs_csv(df: DataFrame, path: str, names=("en", "fr"), cols=("src", "
                     order: str = "line_no") -> None:
     """Header row, no index, ``"`` quoting with doubled quotes, no trimming."""
     out = df.orderBy(order).select(*[F.col(c).alias(n) for c, n in zip(cols, names)])
-    _csv_options(out.write).csv(path)
+    _csv_options(out.write).option("lineSep", "\n").csv(path)
 
 
-def read_pairs_csv(spark: SparkSession, path: str, names=("en", "fr")) -> DataFrame:
+def read_pairs_csv(spark: SparkSession, path: str, names=("en", "fr"), multi_line: bool = True) -> DataFrame:
     """S3 + P1: the pair CSV back as ``(line_no, src, tgt)``; pandas NA strings
-    become null.  The schema is explicit, never inferred."""
+    become null.  The schema is explicit, never inferred.
+
+    ``multi_line`` reads quoted line breaks as part of a value (a file is then
+    one task); without it files are split, and the values must hold none."""
     schema = ", ".join(f"`{n}` string" for n in names)
-    raw = _csv_options(spark.read.schema(schema)).csv(path)
+    raw = _csv_options(spark.read.schema(schema)).option("multiLine", multi_line).option("lineSep", "\n").csv(path)
     d = with_line_no(raw)
     return d.select("line_no", na_to_null(names[0]).alias("src"), na_to_null(names[1]).alias("tgt"))
 
@@ -76,11 +79,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def ensure_pairs(spark: SparkSession, path: str | None, builder) -> DataFrame:
-    """Read the stored pair table, or build, store (Parquet) and read it."""
+    """Read the stored pair table, or build, store (Parquet) and read it.
+
+    A store without its ``_SUCCESS`` mark is half-written and built anew."""
     if not path:
         raise ValueError("data path not specified")
-    if not path_exists(spark, path):
-        builder().write.parquet(path)
+    if not path_exists(spark, path.rstrip("/") + "/_SUCCESS"):
+        # nothing there, or a write that never finished
+        builder().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 

@@ -1,12 +1,14 @@
 """Structured Streaming twins of the batch jobs (ST1, ST2).
 
-Both write through ``foreachBatch`` into a Parquet folder in the shared
-checkpoint area, with a streaming checkpoint next to it, so a restarted
-query resumes where it stopped.
+Both write through ``foreachBatch`` into a Parquet folder, one folder per
+micro-batch, with a streaming checkpoint next to it: a batch that is tried
+again replaces its folder, and a query restarted on a given path goes on
+where it stopped.
 """
 
 from __future__ import annotations
 
+import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,42 +17,61 @@ from ..functions.text import clean_text
 from ..session import scratch_path
 
 
-def parquet_stream(spark: SparkSession, folder: str, name: str, schema) -> DataFrame:
-    """A file stream over ``folder/name.parquet`` (one file per trigger)."""
-    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-                 .option("maxFilesPerTrigger", 1).parquet(folder))
+def is_folder(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
+def parquet_stream(spark: SparkSession, folder: str, name: str, schema, files_per_trigger: int = 1) -> DataFrame:
+    """A file stream over the table ``folder/name.parquet``: a folder of part files, or one file."""
+    r = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+    path = os.path.join(folder, f"{name}.parquet")
+    if is_folder(spark, path):
+        return r.parquet(path)
+    return r.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
 
 
 def encode_stream(sdf: DataFrame, text_col: str, encoder, key_col: str, clean: bool = True,
                   stop_word: str = "quit") -> DataFrame:
     """ST1: stateless stream: drop ``quit`` lines → cleanup (P3) → ``encoder``."""
-    d = sdf.filter(F.lower(F.col(text_col)) != F.lit(stop_word))
+    d = sdf.filter(~F.lower(F.col(text_col)).eqNullSafe(F.lit(stop_word)))  # null text stays
     if clean:
         d = d.withColumn(text_col, clean_text(text_col))
     return encoder(d.select(key_col, text_col))
 
 
-def run_to_table(sdf: DataFrame, name: str, output_mode: str = "append") -> str:
-    """Run a stream until its input is consumed; every micro-batch is appended
-    with its ``batch_id``.  Returns the output folder."""
+def run_to_table(sdf: DataFrame, name: str, output_mode: str = "append", out: str | None = None,
+                 dropped: list | None = None) -> str:
+    """Run a stream until its input is consumed; returns the output folder.
+
+    Every micro-batch writes ``batch_id=N`` anew, so a batch that is tried again
+    leaves no duplicates.  With a given ``out`` a later call goes on where this
+    one ended.  ``dropped`` gets the number of rows older than the watermark."""
     spark = sdf.sparkSession
-    out = scratch_path(spark, name)
+    out = out or scratch_path(spark, name)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(out)
+        batch.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
 
     q = (sdf.writeStream.outputMode(output_mode).foreachBatch(sink)
             .option("checkpointLocation", os.path.join(out + "_checkpoint"))
             .trigger(availableNow=True).start())
     q.awaitTermination()
+    if dropped is not None:
+        dropped.append(sum(s.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress
+                           for s in json.loads(p.json if isinstance(p.json, str) else json.dumps(p))["stateOperators"]))
     return out
 
 
-def epoch_metrics_stream(events: DataFrame, watermark: str = "1 day") -> DataFrame:
-    """ST2: A7 on a stream, in update mode.  The watermark on ``ts`` bounds the
-    state: a (run, epoch) group is dropped once the watermark passes its day."""
-    d = (events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
-               .select(F.col("user_id").alias("run_id"),
+def epoch_metrics_stream(events: DataFrame, watermark: str | None = None) -> DataFrame:
+    """ST2: A7 on a stream, in update mode.
+
+    Without a watermark no event is ever late: files may come in any order and
+    the state holds one row per (run, day, name).  A ``watermark`` on ``ts`` bounds
+    the state, and events older than it are dropped (``run_to_table`` counts them)."""
+    d = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    d = d.withWatermark("ts", watermark) if watermark else d
+    d = (d.select(F.col("user_id").alias("run_id"),
                        F.window("ts", "1 day").alias("w"),
                        F.col("event_type").alias("name"),
                        F.col("value").cast("double").alias("value"),

@@ -95,3 +95,35 @@ def test_scorer_form_random_and_beam_equal_table_form(spark):
         a = {r.ex_id: r.tokens for r in D.decode_beam(src, _scores(spark), 6, beam_size=3, diversity=div).collect()}
         b = {r.ex_id: r.tokens for r in decode_with_scorer(src, sc, "beam", 6, beam_size=3, diversity=div).collect()}
         assert a == b
+
+
+def test_beams_without_successors_end_and_no_source_is_lost(spark):
+    # source 2 has no successor at step 0; source 3 loses its beams later
+    rows = [*SCORES, (8, 10, 0.0)]
+    scores = spark.createDataFrame(rows, "prev_id int, token_id int, logit double")
+    src = spark.createDataFrame([(0, [9], [1]), (2, [9], [7]), (3, [9], [8])], "ex_id long, x_src array<int>, prefix array<int>")
+    for div in (0.0, 0.3):
+        a = {r.ex_id: r.tokens for r in D.decode_beam(src, scores, 6, beam_size=3, diversity=div).collect()}
+        b = {r.ex_id: r.tokens for r in decode_with_scorer(src, table_scorer(scores), "beam", 6, beam_size=3, diversity=div).collect()}
+        assert a == b and set(a) == {0, 2, 3} and a[2] == [7, 2] and a[3] == [8, 10, 2]
+
+
+def test_scorer_is_built_once_per_worker(spark, tmp_path):
+    made = str(tmp_path)
+
+    def make():
+        import os
+        import uuid
+        open(os.path.join(made, f"{os.getpid()}-{uuid.uuid4().hex}"), "w").close()
+        return lambda src, pre: [[0.0, 0.0, 1.0]] * len(pre)
+
+    def scorer():
+        import numpy as np
+        f = make()
+        return lambda src, pre: np.array(f(src, pre))
+
+    src = spark.range(64).selectExpr("id as ex_id", "array(9) as x_src", "array(1) as prefix").repartition(16)
+    assert decode_with_scorer(src, scorer, "greedy", 3, rows_per_call=2).count() == 64
+    import os
+    pids = [f.split("-")[0] for f in os.listdir(made)]
+    assert len(pids) == len(set(pids))

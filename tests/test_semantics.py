@@ -32,6 +32,14 @@ def test_q6_greedy_reference_mode_pads_with_eos(spark):
     assert ref == {0: [1, 2, 2], 1: [5, 6, 2]}
 
 
+def test_reference_mode_goes_on_behind_eos(spark):
+    rows = [(1, 2, 0.0), (2, 9, 0.0), (9, 2, 0.0), (5, 6, 0.0), (6, 2, 0.0)]
+    scores = spark.createDataFrame(rows, "prev_id int, token_id int, logit double")
+    src = spark.createDataFrame([(0, [1]), (1, [5])], "ex_id long, prefix array<int>")
+    ref = {r.ex_id: r.tokens for r in D.decode_greedy(src, scores, 6, mode="reference").collect()}
+    assert ref == {0: [1, 2, 9, 2, 9, 2, 9], 1: [5, 6, 2, 9, 2, 9, 2]}
+
+
 def test_bleu_and_batches_invariant_under_repartitioning(spark):
     words = ["a", "b", "c", "d", "e"]
     rows = [(i, [words[(i + k) % 5] for k in range(i % 6 + 1)], [words[(2 * i + k) % 5] for k in range(i % 4 + 1)])

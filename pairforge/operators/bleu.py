@@ -1,9 +1,8 @@
 """Sentence BLEU (A5) and its mean.
 
-Clipped n-gram counts are a grouped count, so BLEU is computed as one
-explode and two aggregations: (key, n, gram) → clipped count, then per key.
-Both aggregations are algebraic, so a single huge pair is split across
-tasks by its grams and combined map-side; no row is ever gathered.
+A row's score needs nothing from other rows: the n-grams of both sides are
+sorted together and folded once, which counts every gram's clipped matches.
+No shuffle, and everything stays JVM-side.
 """
 
 from __future__ import annotations
@@ -20,9 +19,20 @@ def _grams(tokens, n: int):
         F.array().cast("array<string>"))
 
 
-def _tag(grams, n: int, side: int):
-    return F.transform(grams, lambda g: F.struct(F.lit(n).alias("n"), g.alias("g"),
-                                                 F.lit(side).alias("side")))
+def _clipped(hyp, ref):
+    """Σ over distinct grams of min(count in hyp, count in ref)."""
+    def tag(grams, side):
+        return F.transform(grams, lambda g: F.struct(g.alias("g"), F.lit(side).alias("side")))
+
+    def step(acc, x):
+        same = acc["g"].eqNullSafe(x["g"])
+        h = F.when(same, acc["h"]).otherwise(F.lit(0)) + F.when(x["side"] == 1, 1).otherwise(0)
+        r = F.when(same, acc["r"]).otherwise(F.lit(0)) + F.when(x["side"] == 2, 1).otherwise(0)
+        before = F.when(same, F.least(acc["h"], acc["r"])).otherwise(F.lit(0))
+        return F.struct(x["g"].alias("g"), h.alias("h"), r.alias("r"), (acc["m"] + F.least(h, r) - before).alias("m"))
+
+    zero = F.struct(F.lit(None).cast("string").alias("g"), F.lit(0).alias("h"), F.lit(0).alias("r"), F.lit(0).alias("m"))
+    return F.aggregate(F.array_sort(F.concat(tag(hyp, 1), tag(ref, 2))), zero, step, lambda a: a["m"])
 
 
 def sentence_bleu(df: DataFrame, ref_col: str, hyp_col: str, keys, out: str = "bleu",
@@ -35,19 +45,8 @@ def sentence_bleu(df: DataFrame, ref_col: str, hyp_col: str, keys, out: str = "b
     """
     keys = list(keys)
     ref, hyp = F.col(ref_col), F.col(hyp_col)
-    parts = [F.array(F.struct(F.lit(0).alias("n"), F.lit("").alias("g"), F.lit(0).alias("side")))]
-    for n in range(1, max_n + 1):
-        parts.append(_tag(_grams(hyp, n), n, 1))
-        parts.append(_tag(_grams(ref, n), n, 2))
-    ex = df.select(*keys, F.size(hyp).alias("_lh"), F.size(ref).alias("_lr"),
-                   F.explode(F.concat(*parts)).alias("_e"))
-    per_gram = (ex.groupBy(*keys, "_lh", "_lr", F.col("_e.n").alias("n"), F.col("_e.g").alias("g"))
-                  .agg(F.sum((F.col("_e.side") == 1).cast("long")).alias("ch"),
-                       F.sum((F.col("_e.side") == 2).cast("long")).alias("cr")))
-    clipped = F.least("ch", "cr")
-    per_row = per_gram.groupBy(*keys, "_lh", "_lr").agg(
-        *[F.sum(F.when(F.col("n") == n, clipped).otherwise(0)).alias(f"_m{n}")
-          for n in range(1, max_n + 1)])
+    per_row = df.select(*keys, F.size(hyp).cast("long").alias("_lh"), F.size(ref).cast("long").alias("_lr"),
+                        *[_clipped(_grams(hyp, n), _grams(ref, n)).alias(f"_m{n}") for n in range(1, max_n + 1)])
     lh, lr = F.col("_lh").cast("double"), F.col("_lr").cast("double")
     logp = None
     for n in range(1, max_n + 1):

@@ -7,6 +7,7 @@ broadcast dict for encoding, as a literal array for decoding.
 
 from __future__ import annotations
 
+import re
 import uuid
 from functools import lru_cache
 
@@ -52,6 +53,7 @@ def encode(df: DataFrame, col: str, vocab: DataFrame, out: str = "ids", normaliz
     spark = df.sparkSession
     table, unk_score, max_len = _piece_table(collect_vocab(vocab))
     bc = spark.sparkContext.broadcast((uuid.uuid4().hex, table, unk_score, max_len))
+    pattern = cut_pattern(table)
 
     @F.pandas_udf("array<int>")
     def _encode(texts: pd.Series) -> pd.Series:
@@ -62,7 +64,7 @@ def encode(df: DataFrame, col: str, vocab: DataFrame, out: str = "ids", normaliz
                 return []
             s = nmt_nfkc(t) if normalize else t
             ids: list[int] = []
-            for w in split_words(s):
+            for w in split_words(s, pattern):
                 wi = word_ids(w)
                 # unknown runs merge across word joins too (one lattice per text)
                 if wi and ids and ids[-1] == UNK_ID and wi[0] == UNK_ID:
@@ -92,26 +94,20 @@ def _word_encoder(bc):
     return fn
 
 
-def _is_digit(ch: str) -> bool:
-    return "0" <= ch <= "9"
+def cut_pattern(pieces) -> str:
+    """Where a text may be cut before the search for its best path: at word marks
+    and around digits, unless some piece reaches across such a cut."""
+    w = WORD_BOUNDARY
+    if any(w in p[1:] for p in pieces):
+        return "(?s).+"
+    if any(len(p) > 1 and any("0" <= c <= "9" for c in p) for p in pieces):
+        return f"{w}[^{w}]*|[^{w}]+"
+    return f"{w}[^{w}0-9]*|[0-9]|[^{w}0-9]+"
 
 
-def split_words(s: str) -> list[str]:
-    """Words of a normalized text: ``▁``-prefixed runs; every digit alone."""
-    out, cur = [], []
-    for ch in s:
-        if ch == WORD_BOUNDARY or _is_digit(ch):
-            if cur:
-                out.append("".join(cur))
-            cur = [ch]
-            if _is_digit(ch):
-                out.append(ch)
-                cur = []
-        else:
-            cur.append(ch)
-    if cur:
-        out.append("".join(cur))
-    return out
+def split_words(s: str, pattern: str | None = None) -> list[str]:
+    """Words of a normalized text: ``▁``-prefixed runs; by default every digit alone."""
+    return re.findall(pattern or cut_pattern(()), s)
 
 
 def surface_array(rows) -> list[str]:

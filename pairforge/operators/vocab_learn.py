@@ -21,6 +21,7 @@ driver; the corpus never does.
 
 from __future__ import annotations
 
+import itertools
 import logging
 import math
 import time
@@ -188,24 +189,29 @@ def _prune_loss(spark, logp: dict[str, float], vfreq: dict[str, float], required
 
 
 def learn_vocab(df: DataFrame, col: str, vocab_size: int = VOCAB_SIZE, normalize: bool = True,
-                seed_factor: int = 10, max_rounds: int = 12, hard_limit: bool = False) -> DataFrame:
+                seed_factor: int = 10, hard_limit: bool = False, coverage: float = CHAR_COVERAGE,
+                max_piece_len: int = MAX_PIECE_LEN, shrink: float = SHRINK) -> DataFrame:
     """A unigram vocabulary ``(id INT, piece STRING, score DOUBLE)`` for ``col``.
 
+    ``seed_factor``, ``coverage``, ``max_piece_len`` and ``shrink`` are the trainer's
+    options.  Rounds go on until the target size is met: each one drops at least
+    one piece, or there is nothing left that may be dropped.
+
     With ``hard_limit`` an error is raised when the corpus cannot fill
     ``vocab_size`` pieces; otherwise the vocabulary is smaller."""
     spark = df.sparkSession
     desired = vocab_size - len(SPECIAL_PIECES)
     t0 = time.time()
     wc = word_counts(df, col, normalize)
-    required = _required_chars(wc, CHAR_COVERAGE)
-    freqs = _seed_pieces(wc, seed_factor * vocab_size, MAX_PIECE_LEN)
+    required = _required_chars(wc, coverage)
+    freqs = _seed_pieces(wc, seed_factor * vocab_size, max_piece_len)
     freqs.update({c: max(n, freqs.get(c, 0.0)) for c, n in required.items()})
     logp = _normalize_logp(freqs)
     log.info("seeds: %d pieces, %d required chars, %.1fs", len(logp), len(required), time.time() - t0)
-    for rnd in range(max_rounds):
+    for rnd in itertools.count():
         t1 = time.time()
         for _ in range(SUB_ITERS):
-            exp = _e_step(wc, logp, MAX_PIECE_LEN)
+            exp = _e_step(wc, logp, max_piece_len)
             kept = {p: n for p, n in exp.items() if n >= MIN_EXPECTED or p in required}
             for c in required:
                 kept.setdefault(c, MIN_EXPECTED)
@@ -213,12 +219,14 @@ def learn_vocab(df: DataFrame, col: str, vocab_size: int = VOCAB_SIZE, normalize
         log.info("round %d: EM → %d pieces, %.1fs", rnd, len(logp), time.time() - t1)
         if len(logp) <= desired * FINAL_SLACK:
             break
-        vfreq = _viterbi_freq(wc, logp, MAX_PIECE_LEN)
-        loss = _prune_loss(spark, logp, vfreq, set(required), MAX_PIECE_LEN)
-        target = max(desired, int(SHRINK * len(logp)))
+        vfreq = _viterbi_freq(wc, logp, max_piece_len)
+        loss = _prune_loss(spark, logp, vfreq, set(required), max_piece_len)
+        target = max(desired, int(shrink * len(logp)))
         n_keep = max(0, target - len([p for p in logp if p in required or len(p) == 1]))
         ranked = sorted(loss.items(), key=lambda kv: (-kv[1], kv[0]))[:n_keep]
         keep = {p for p, _ in ranked} | {p for p in logp if p in required or len(p) == 1}
+        if len(keep) == len(logp):
+            break
         logp = {p: s for p, s in logp.items() if p in keep}
         log.info("round %d: pruned → %d pieces, %.1fs", rnd, len(logp), time.time() - t1)
     if hard_limit and len(logp) < desired:

@@ -37,9 +37,20 @@ def q_pairs_csv_roundtrip(spark, sf_dir):
 
 
 def q_ensure_pairs(spark, sf_dir):
-    """Load-or-build of the pair table (built on the first call)."""
+    """Load-or-build of the pair table: the first call builds, the second one loads."""
     path = scratch_path(spark, "pairs_store")
-    return FS.ensure_pairs(spark, path, lambda: conversation_pairs(spark, sf_dir))
+    FS.ensure_pairs(spark, path, lambda: conversation_pairs(spark, sf_dir))
+
+    def never():
+        raise AssertionError("a finished store is loaded, not built")
+    return FS.ensure_pairs(spark, path, never)
+
+
+def q_pairs_csv_raw(spark, sf_dir):
+    """S2 + S3 on raw texts: quoted line breaks survive the round trip."""
+    path = scratch_path(spark, "pairs_csv_raw")
+    FS.write_pairs_csv(conversation_pairs(spark, sf_dir), path)
+    return FS.read_pairs_csv(spark, path)
 
 
 def q_preview(spark, sf_dir):
@@ -79,6 +90,7 @@ REGISTRY = {
     "aligned_text": q_aligned_text,
     "pairs_csv_roundtrip": q_pairs_csv_roundtrip,
     "ensure_pairs": q_ensure_pairs,
+    "pairs_csv_raw": q_pairs_csv_raw,
     "preview": q_preview,
     "vocab_roundtrip": q_vocab_roundtrip,
     "stream_encode": q_stream_encode,

@@ -11,6 +11,7 @@ from ..functions.text import clean_text
 from ..operators import decoding as D
 from ..operators import tokenizer as TK
 from ..operators.scorer import decode_with_scorer, table_scorer
+from ..operators.translate import source_scorer, translate
 from ..operators.vocab_learn import learn_vocab
 from ..session import scratch_path, spread
 from ..sources.tables import table
@@ -156,15 +157,12 @@ def q_decode_random(spark, sf_dir):
 
 
 def q_translate(spark, sf_dir):
-    """Cleaned source text → ids → beam over document-token bigrams → text."""
+    """Cleaned source text → ids → beam from [bos], the whole source scored at every step → text."""
     v = document_vocab(spark, sf_dir)
-    enc_docs = _encoded_documents(spark, sf_dir)
-    scores = D.bigram_scores(enc_docs, "ids")
-    p = TK.encode(cleaned_pairs(spark, sf_dir), "src", v, "src_ids")
-    s = p.select(F.col("line_no").alias("ex_id"),
-                 F.concat(F.array(F.lit(BOS_ID)), F.slice("src_ids", 1, 1)).alias("prefix"))
-    r = D.decode(s, scores, "beam", max_len=SAMPLE_MAX_LEN, beam_size=4)
-    return TK.decode(r, "tokens", v, "translation").select("ex_id", "translation")
+    scores = D.bigram_scores(_encoded_documents(spark, sf_dir), "ids")
+    r = translate(cleaned_pairs(spark, sf_dir), v, v, source_scorer(scores), "beam", clean=False,
+                  max_len=SAMPLE_MAX_LEN, beam_size=4)
+    return r.select(F.col("line_no").alias("ex_id"), "translation")
 
 
 def q_sample_report(spark, sf_dir):

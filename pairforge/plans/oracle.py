@@ -123,9 +123,16 @@ def _corpus_sql() -> dict[str, str]:
         "min(CASE WHEN check_no - last_best >= 2 THEN step END) AS stop_step, max(value) AS best_value, "
         "count(*) AS n_checks FROM i GROUP BY run_id")
     q["sample_cadence"] = f"WITH {EVENTS_LOG} SELECT run_id, step, name FROM mlog WHERE step % 50 = 0"
+    holed = (f"WITH {PAIRS}, holed AS (SELECT line_no, CASE WHEN line_no % 7 <> 0 THEN src END AS src, "
+             "CASE WHEN line_no % 11 = 0 THEN 'NA' ELSE tgt END AS tgt FROM pairs)")
     q["corpus_lines"] = (
-        f"WITH {PAIRS} SELECT CAST(floor(line_no / 3) AS BIGINT) AS group_id, "
-        "string_agg(coalesce(src, 'nan'), chr(9) ORDER BY line_no) AS line FROM pairs GROUP BY 1")
+        f"{holed} SELECT CAST(floor(line_no / 3) AS BIGINT) AS group_id, "
+        "string_agg(coalesce(src, 'nan'), chr(9) ORDER BY line_no) AS line FROM holed GROUP BY 1")
+    na = ", ".join("'" + x.replace("'", "''") + "'" for x in NA_STRINGS)
+    q["missing_pairs"] = (f"{holed} SELECT src, tgt FROM holed WHERE src IS NOT NULL AND tgt IS NOT NULL "
+                          f"AND src NOT IN ({na}) AND tgt NOT IN ({na})")
+    q["stringified_pairs"] = f"{holed} SELECT line_no, coalesce(src, 'nan') AS src FROM holed"
+    q["head_pairs_cut"] = f"WITH {PAIRS} SELECT line_no, src, tgt FROM pairs WHERE line_no < 50"
     q["head_pairs"] = f"WITH {PAIRS} SELECT line_no, src, tgt FROM pairs WHERE line_no < 2007723"
     q["length_penalty"] = (
         f"WITH {CLEAN_PAIRS}, s AS (SELECT line_no, len({words('tgt')}) AS step FROM clean_pairs) "
@@ -241,6 +248,7 @@ def _io_sql() -> dict[str, str]:
     aligned = f"WITH {PAIRS}, al AS (SELECT line_no, {_flat_strip('src')} AS src, {_flat_strip('tgt')} AS tgt FROM pairs)"
     q["aligned_text"] = f"{aligned} SELECT * FROM al"
     q["pairs_csv_roundtrip"] = f"{aligned} SELECT line_no, {_na('src')} AS src, {_na('tgt')} AS tgt FROM al"
+    q["pairs_csv_raw"] = f"WITH {PAIRS} SELECT line_no, {_na('src')} AS src, {_na('tgt')} AS tgt FROM pairs"
     q["ensure_pairs"] = f"WITH {PAIRS} SELECT line_no, src, tgt FROM pairs"
     q["preview"] = f"WITH {PAIRS} SELECT line_no, src, tgt FROM pairs ORDER BY line_no LIMIT 5"
     q["stream_epoch_metrics"] = _corpus_sql()["epoch_metrics"]

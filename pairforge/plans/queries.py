@@ -18,6 +18,7 @@ from ..operators import split as S
 from ..operators import training_log as TL
 from ..operators.bleu import sentence_bleu
 from ..session import spread
+from ..sources.files import rename_pairs, tokenizer_corpus
 from ..sources.tables import conversation_pairs, table
 
 R = 6
@@ -221,11 +222,33 @@ def q_sample_cadence(spark, sf_dir):
 
 
 def q_corpus_lines(spark, sf_dir):
-    """Three consecutive raw source texts per line, TAB-joined, null → nan."""
-    p = B.file_order_rank(conversation_pairs(spark, sf_dir), "line_no", "pos")
-    g = (p.groupBy(F.floor(F.col("pos") / 3).cast("long").alias("group_id"))
-          .agg(F.array_sort(F.collect_list(F.struct("pos", stringify_nulls("src").alias("t")))).alias("_r")))
-    return g.select("group_id", F.array_join(F.transform("_r", lambda s: s["t"]), "\t").alias("line"))
+    """Three consecutive raw source texts per line, TAB-joined, null → nan (every seventh text is made null)."""
+    p = B.file_order_rank(_holed_pairs(spark, sf_dir), "line_no", "pos")
+    return tokenizer_corpus(p, "src", 3, "pos")
+
+
+def _holed_pairs(spark, sf_dir):
+    """The pair table with missing values: ``src`` null at line numbers divisible by 7, ``tgt`` "NA" at those divisible by 11."""
+    p = conversation_pairs(spark, sf_dir)
+    return p.withColumns({"src": F.when(F.col("line_no") % 7 != 0, F.col("src")),
+                          "tgt": F.when(F.col("line_no") % 11 == 0, F.lit("NA")).otherwise(F.col("tgt"))})
+
+
+def q_missing_pairs(spark, sf_dir):
+    """F1 + P1: rows with a missing side (null or a pandas NA string) go; renamed by position."""
+    p = rename_pairs(_holed_pairs(spark, sf_dir).select(F.col("src").alias("en"), F.col("tgt").alias("fr")), "position")
+    return drop_missing(p, ["src", "tgt"], na_values=True)
+
+
+def q_stringified_pairs(spark, sf_dir):
+    """P4 + P1 by name: null becomes the text nan."""
+    p = _holed_pairs(spark, sf_dir).select("line_no", F.col("src").alias("en"), F.col("tgt").alias("fr"))
+    return rename_pairs(p, "name").select("line_no", stringify_nulls("src").alias("src"))
+
+
+def q_head_pairs_cut(spark, sf_dir):
+    """F2 with a limit that cuts: the first 50 rows in file order."""
+    return S.head_rows(conversation_pairs(spark, sf_dir), 50)
 
 
 def q_head_pairs(spark, sf_dir):
@@ -313,6 +336,9 @@ _CORPUS_QUERIES = {
     "sample_cadence": q_sample_cadence,
     "corpus_lines": q_corpus_lines,
     "head_pairs": q_head_pairs,
+    "head_pairs_cut": q_head_pairs_cut,
+    "missing_pairs": q_missing_pairs,
+    "stringified_pairs": q_stringified_pairs,
     "length_penalty": q_length_penalty,
     "top_tokens": q_top_tokens,
     "row_counts": q_row_counts,

@@ -79,3 +79,49 @@ def test_rename_preview_shape(spark):
     d = spark.createDataFrame([(i, str(i), str(i)) for i in range(10)], "line_no long, src string, tgt string")
     assert [r.line_no for r in FS.preview(d.repartition(3), 3).collect()] == [0, 1, 2]
     assert FS.shape(d) == (10, 3)
+
+
+def test_pair_csv_keeps_line_breaks(spark, tmp_path):
+    rows = [(0, "one\ntwo\"", "un\r\ndeux"), (1, "a,b", " pad "), (2, "NA", "x")]
+    p = str(tmp_path / "csv")
+    FS.write_pairs_csv(spark.createDataFrame(rows, "line_no long, src string, tgt string"), p)
+    got = [tuple(r) for r in FS.read_pairs_csv(spark, p).orderBy("line_no").collect()]
+    assert got == [rows[0], rows[1], (2, None, "x")]
+
+
+def test_half_written_store_is_built_anew(spark, tmp_path):
+    p = str(tmp_path / "store")
+    FS.ensure_pairs(spark, p, lambda: spark.range(3))
+    (tmp_path / "store" / "_SUCCESS").unlink()
+    assert FS.ensure_pairs(spark, p, lambda: spark.range(5)).count() == 5
+    assert FS.ensure_pairs(spark, p, lambda: spark.range(9)).count() == 5
+
+
+def test_cluster_without_shared_folder_is_refused(monkeypatch):
+    from pairforge import session as SE
+
+    class Conf:
+        def get(self, k, d=None):
+            return d
+
+    class Context:
+        master, applicationId = "spark://host:7077", "app"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(k):
+                raise KeyError(k)
+
+    monkeypatch.setattr(SE, "ship_package", lambda s: None)
+    import pytest
+    with pytest.raises(ValueError, match="shared"):
+        SE.ensure_checkpoint_dir(Session())

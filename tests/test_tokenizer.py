@@ -93,3 +93,12 @@ def test_expected_counts_prob_equals_log_space():
         z2 = _expected_counts_log(w, pieces, 4, -25.0, 2.0, a2)
         assert math.isclose(z1, z2, rel_tol=1e-9)
         assert a1.keys() == a2.keys() and all(math.isclose(a1[k], a2[k], rel_tol=1e-9) for k in a1)
+
+
+def test_pieces_across_digits_and_word_marks_are_found(spark):
+    base = [(0, "<pad>", 0.0), (1, "<s>", 0.0), (2, "</s>", 0.0), (3, "<unk>", 0.0)]
+    digits = spark.createDataFrame([*base, (4, "▁12", -1.0), (5, "▁", -3.0), (6, "1", -4.0), (7, "2", -4.0)], "id int, piece string, score double")
+    df = spark.createDataFrame([("12",), ("12 12",)], "t string")
+    assert [r.ids for r in TK.encode(df, "t", digits, "ids").collect()] == [[4], [4, 4]]
+    marks = spark.createDataFrame([*base, (4, "▁a▁b", -1.0), (5, "▁a", -3.0), (6, "▁b", -4.0)], "id int, piece string, score double")
+    assert TK.encode(spark.createDataFrame([("a b a",)], "t string"), "t", marks, "ids").first().ids == [4, 5]

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..constants import SPECIAL_PIECES, VOCAB_SIZE, WORD_BOUNDARY
 from ..functions.lattice import best_path, expected_counts
 from ..functions.normalize import normalize_nmt_nfkc
+from .ordering import with_order_rank
 from ..session import ensure_checkpoint_dir, materialize, spread
 
 # --- Fixed values: trainer settings (public unigram trainer defaults) -------
@@ -94,9 +95,22 @@ def _seed_pieces(wc: DataFrame, n_seeds: int, max_len: int) -> dict[str, float]:
            .select(F.explode(subs).alias("piece"), "freq")
            .groupBy("piece").agg(F.sum("freq").alias("n"))
            .filter(F.col("n") >= 2))
-    top = (s.withColumn("score", F.col("n") * F.length("piece"))
-             .orderBy(F.col("score").desc(), "piece").limit(n_seeds).collect())
-    return {r["piece"]: float(r["n"]) for r in top}
+    # a histogram of scores finds the range that holds the cut; only that range is ranked
+    s = materialize(s.withColumns({"score": F.col("n") * F.length("piece"),
+                                   "band": F.floor(F.log2(F.col("n") * F.length("piece")) * 16).cast("int")}))
+    bands = sorted(((r["band"], r["k"]) for r in s.groupBy("band").agg(F.count(F.lit(1)).alias("k")).collect()), reverse=True)
+    above, cut = 0, None
+    for band, k in bands:
+        if above + k > n_seeds:
+            cut = band
+            break
+        above += k
+    top = s if cut is None else s.filter(F.col("band") > cut)
+    rows = top.select("piece", "n").collect()
+    if cut is not None:
+        edge = with_order_rank(s.filter(F.col("band") == cut).select((-F.col("score")).alias("neg"), "piece", "n"), ["neg", "piece"], "rank")
+        rows += edge.filter(F.col("rank") < n_seeds - above).select("piece", "n").collect()
+    return {r["piece"]: float(r["n"]) for r in rows}  # at most n_seeds rows
 
 
 def _normalize_logp(freqs: dict[str, float]) -> dict[str, float]:

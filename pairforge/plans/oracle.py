@@ -190,23 +190,25 @@ def _beam_round(prev: str, step: int, name: str) -> str:
     lp = f"(pow(6.0 + {step}, 0.6) / pow(6.0, 0.6))"
     live = f"{prev}" if step == 0 else f"(SELECT * FROM {prev} WHERE tokens[-1] <> 2)"
     div = ""
-    zexpr = "s.logit"
+    zexpr = "b.logit"
     if step > 0:
         div = f"""
 {name}_occ AS (SELECT ex_id, beam_idx, unnest(tokens) AS token_id FROM {prev}),
 {name}_tot AS (SELECT ex_id, token_id, count(*) AS n_all FROM {name}_occ GROUP BY ex_id, token_id),
 {name}_own AS (SELECT ex_id, beam_idx, token_id, count(*) AS n_own FROM {name}_occ GROUP BY ex_id, beam_idx, token_id),"""
-        zexpr = "s.logit - 0.1 * (coalesce(t.n_all, 0) - coalesce(o.n_own, 0))"
+        zexpr = "b.logit - 0.1 * (coalesce(t.n_all, 0) - coalesce(o.n_own, 0))"
     joins = "" if step == 0 else (
-        f" LEFT JOIN {name}_tot t ON t.ex_id = b.ex_id AND t.token_id = s.token_id"
-        f" LEFT JOIN {name}_own o ON o.ex_id = b.ex_id AND o.beam_idx = b.beam_idx AND o.token_id = s.token_id")
+        f" LEFT JOIN {name}_tot t ON t.ex_id = b.ex_id AND t.token_id = b.token_id"
+        f" LEFT JOIN {name}_own o ON o.ex_id = b.ex_id AND o.beam_idx = b.beam_idx AND o.token_id = b.token_id")
     rep = ("1.0" if step == 0 else
            f"(CASE WHEN len(list_intersect({ngram_list('nt')}, {ngram_list('tokens')})) > 0 THEN 0.5 ELSE 1.0 END)")
     carried = "" if step == 0 else (
         f" UNION ALL SELECT ex_id, beam_idx AS parent, 0 AS cand, tokens, score FROM {prev} WHERE tokens[-1] = 2")
     return f"""{div}
-{name}_c AS (SELECT b.ex_id, b.beam_idx AS parent, s.token_id, {zexpr} AS z, b.score, b.tokens
-             FROM {live} b JOIN scores s ON s.prev_id = b.tokens[-1]{joins}),
+{name}_s AS (SELECT b.*, coalesce(s.token_id, 2) AS token_id, coalesce(s.logit, 0.0) AS logit
+             FROM {live} b LEFT JOIN scores s ON s.prev_id = b.tokens[-1]),
+{name}_c AS (SELECT b.ex_id, b.beam_idx AS parent, b.token_id, {zexpr} AS z, b.score, b.tokens
+             FROM {name}_s b{joins}),
 {name}_r AS (SELECT *, row_number() OVER (PARTITION BY ex_id, parent ORDER BY z DESC, token_id) AS cand
              FROM {name}_c),
 {name}_k AS (SELECT ex_id, parent, cand, tokens, list_append(tokens, token_id) AS nt, score, z
@@ -226,10 +228,29 @@ def _decoding_sql() -> dict[str, str]:
         "g2 AS (SELECT g.ex_id, g.tokens, len(g.tokens) - len(d.prefix) AS k FROM greedy g JOIN dsrc d USING (ex_id)), "
         "m AS (SELECT max(k) AS mk FROM g2) "
         "SELECT ex_id, list_concat(tokens, list_transform(range(greatest(mk - k, 0)), lambda i: 2)) AS tokens FROM g2, m")
+    q["decode_random"] = f"""WITH RECURSIVE {_SCORES}, {_SOURCES},
+top AS (SELECT prev_id, token_id, logit FROM scores QUALIFY rank() OVER (PARTITION BY prev_id ORDER BY logit DESC) <= 5),
+cl AS (SELECT prev_id, list({{'t': token_id, 'z': logit}}) AS cand FROM top GROUP BY prev_id),
+rnd(ex_id, step, seq, done) AS (
+  SELECT ex_id, 0, prefix, false FROM dsrc
+  UNION ALL
+  SELECT ex_id, step + 1, list_append(seq, nx), nx = 2 FROM (
+    SELECT w.ex_id, w.step, w.seq, coalesce(list_sort(list_transform(c.cand, lambda x: {{
+        'g': ln(-ln((CAST('0x' || substr(md5('42:' || w.ex_id || ':' || w.step || ':' || x.t), 1, 13) AS BIGINT) + 0.5)
+                    / 4503599627370496.0)) - x.z, 't': x.t}}))[1].t, 2) AS nx
+    FROM rnd w LEFT JOIN cl c ON c.prev_id = w.seq[-1] WHERE NOT w.done AND w.step < 30))
+SELECT ex_id, seq AS tokens FROM rnd WHERE done OR step = 30"""
+    q["decode_random_scorer"] = q["decode_random"]
     init = "b0 AS (SELECT ex_id, 0 AS beam_idx, prefix AS tokens, 0.0 AS score FROM dsrc)"
     q["beam_two_steps"] = (
         f"WITH {_SCORES}, {_SOURCES}, {init}, {_beam_round('b0', 0, 'b1')}, {_beam_round('b1', 1, 'b2')} "
         "SELECT ex_id, beam_idx, tokens, round(score, 6) AS score FROM b2")
+    # 29 rounds; a finished beam is carried, so later rounds change nothing once all have ended
+    rounds = ", ".join(_beam_round(f"b{k}", k, f"b{k + 1}") for k in range(29))
+    text = f"WITH {_SCORES}, {_SOURCES}, {init}, {rounds} ".replace(" AS (", " AS MATERIALIZED (")
+    best = "FROM b29 WHERE beam_idx = 0"
+    q["decode_beam"] = f"{text} SELECT ex_id, tokens, round(score, 6) AS score, tokens[-1] = 2 AS done {best}"
+    q["decode_beam_scorer"] = f"{text} SELECT ex_id, tokens {best}"
     return q
 
 

@@ -95,15 +95,18 @@ def host_verdicts(rules: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
     """host, n_docs, the shrunk rate of each rule, host_rejected."""
     hosts = rules.groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"),
                                       *[F.sum(F.when(r(), 1).otherwise(0)).alias(f"f_{k}") for k, r in RULES.items()])
+    # one row: mean and spread of the hosts' rates
     prior = hosts.agg(*[c for k in RULES for c in (
         (F.sum(f"f_{k}") / F.sum("n_docs")).alias(f"m_{k}"),
-        F.var_pop(F.col(f"f_{k}") / F.col("n_docs")).alias(f"v_{k}"))])
-    h = hosts.join(F.broadcast(prior))  # one row
+        F.var_pop(F.col(f"f_{k}") / F.col("n_docs")).alias(f"v_{k}"))]).first()
+    h = hosts
     for k in RULES:
-        m, v = F.col(f"m_{k}"), F.col(f"v_{k}")
-        s = F.when(v <= 0, F.lit(MAX_STRENGTH)).otherwise(
-            F.least(F.lit(MAX_STRENGTH), F.greatest(F.lit(MIN_STRENGTH), m * (1 - m) / v - 1)))
-        h = h.withColumn(f"rate_{k}", (F.col(f"f_{k}") + m * s) / (F.col("n_docs") + s))
+        m, v = prior[f"m_{k}"], prior[f"v_{k}"]
+        if v is None:  # no documents
+            m, s = 0.0, MAX_STRENGTH
+        else:
+            s = MAX_STRENGTH if v <= 0 else min(MAX_STRENGTH, max(MIN_STRENGTH, m * (1 - m) / v - 1))
+        h = h.withColumn(f"rate_{k}", (F.col(f"f_{k}") + F.lit(m * s)) / (F.col("n_docs") + F.lit(s)))
     bad = F.greatest(*[F.col(f"rate_{k}") for k in RULES]) > F.lit(limit)
     return h.select("host", "n_docs", *[f"rate_{k}" for k in RULES], bad.alias("host_rejected"))
 

@@ -365,3 +365,20 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     # repeated rows of one id and text: one stays
     full = rows.filter("n_shingles > 0").dropDuplicates(["_id", "_th"])
     return full.unionByName(rows.filter("n_shingles = 0")).select(*cols)
+
+
+OP9_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 2], ' ') AS g
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM o JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * o >= 90 * (a.n + b.n - o)),
+r(doc_id, root) AS (SELECT doc_id, doc_id FROM w UNION SELECT e.y, r.root FROM r JOIN e ON e.x = r.doc_id),
+l AS (SELECT x, count(*) AS k FROM e GROUP BY x)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c.root AS component_id, coalesce(l.k, 0) AS n_links
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN l ON l.x = w.doc_id
+JOIN (SELECT doc_id, min(root) AS root FROM r GROUP BY doc_id) c ON c.doc_id = w.doc_id
+"""

@@ -20,4 +20,6 @@ QUERIES = {
 SQL = {
     "op1_chat_format": chat.OP1_SQL,
     "op4_quality_rules": quality.OP4_SQL,
+    "op6_substring_dedup": substring.OP6_SQL,
+    "op9_ngram_jaccard": jaccard.OP9_SQL,
 }

@@ -214,6 +214,11 @@ def window_groups(keyed: DataFrame, text_col: str) -> DataFrame:
                 sums = Hashes(names)
                 sym, first, count, place = file_windows(names, sep, starts, sums)
                 sig = combine(sums.of(first, first + count + WINDOW - 1), (place - first).astype(np.uint64), 5)
+                # one word over and over files each window under its own occurrence: equal neighbours are one row
+                follows = (sym[1:] == sym[:-1]) & (sig[1:] == sig[:-1]) & (first[1:] == first[:-1] + count[:-1])
+                head = np.flatnonzero(np.append(True, ~follows))[: len(first)]
+                count = np.add.reduceat(count, head) if len(head) else count
+                sym, sig, first = sym[head], sig[head], first[head]
                 k = np.searchsorted(starts, first)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(as_signed(sym)), pa.array(as_signed(sig)), pa.array(ids[owner[k]]), pa.array(th[owner[k]]),
@@ -250,19 +255,21 @@ def single_windows(keyed: DataFrame, needs: DataFrame, text_col: str) -> DataFra
 
 def repeated_ranges(keyed: DataFrame, text_col: str) -> DataFrame:
     """(id, th, ranges array<struct<pos, cnt>>): windows whose words start in a text with a smaller id."""
+    # what a join reads beside the rows is written first: Spark can then split a skewed key
     groups = stage(window_groups(keyed, text_col), "sub-groups")
-    shared = (groups.groupBy("sym").agg(F.min("id").alias("a"), F.max("id").alias("b"))
-                    .filter("a < b").select("sym"))
+    shared = stage(groups.groupBy("sym").agg(F.min("id").alias("a"), F.max("id").alias("b"))
+                         .filter("a < b").select("sym"), "sub-keys")
     groups = stage(groups.join(shared, "sym"), "sub-shared")
-    first = groups.groupBy("sym", "sig").agg(F.min("id").alias("first"))
-    several = first.groupBy("sym").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("sym", F.lit(True).alias("several"))
+    first = stage(groups.groupBy("sym", "sig").agg(F.min("id").alias("first")), "sub-first")
+    several = stage(first.groupBy("sym").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("sym", F.lit(True).alias("several")), "sub-several")
     marked = stage(groups.join(first, ["sym", "sig"]).join(several, "sym", "left"), "sub-marked")
     whole = marked.filter("first < id").select("id", "th", "pos", "cnt")
     needs = (marked.filter("first = id and several").groupBy("id", "th")
                    .agg(F.collect_list(F.struct("sym", "pos", "cnt")).alias("need")))
     windows = stage(single_windows(keyed, needs, text_col), "sub-windows")
-    least = windows.groupBy("sym", "win").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
-    single = (windows.join(least.select("sym", "win", "first"), ["sym", "win"]).filter("first < id")
+    least = stage(windows.groupBy("sym", "win").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+                         .filter("first < last").select("sym", "win", "first"), "sub-least")
+    single = (windows.join(least, ["sym", "win"]).filter("first < id")
                      .select("id", "th", "pos", F.lit(1).alias("cnt")))
     return stage(whole.unionByName(single).groupBy("id", "th").agg(F.collect_set(F.struct("pos", "cnt")).alias("ranges")), "sub-ranges")
 
@@ -310,6 +317,21 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed_words(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+OP6_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS g
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w)),
+f AS (SELECT g, min(doc_id) AS low FROM win GROUP BY g),
+gone AS (SELECT DISTINCT doc_id, p FROM (SELECT win.doc_id, unnest(range(i, i + 50)) AS p FROM win JOIN f ON f.g = win.g WHERE low < win.doc_id)),
+word AS (SELECT doc_id, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS p FROM w),
+kept AS (SELECT word.doc_id, string_agg(x, ' ' ORDER BY word.p) AS t FROM word LEFT JOIN gone ON gone.doc_id = word.doc_id AND gone.p = word.p
+         WHERE gone.p IS NULL GROUP BY word.doc_id),
+n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT w.doc_id, len(w.ws)::BIGINT AS n_words, coalesce(n.n, 0)::BIGINT AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN kept ON kept.doc_id = w.doc_id
+"""
+
+
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 

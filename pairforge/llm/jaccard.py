@@ -8,10 +8,11 @@ sets of sizes a and b link when ``den * overlap >= num * union``.
   threshold allows); linked sets share one.
 * Heavy sets: inverted lists are scanned.  A linked pair differs in at most D
   shingles, so of D + 1 hash classes of shingles at least one holds the same
-  shingles in both.  The lists are keyed by the content of a class, with D from
-  the size class of the smaller set; a set files under its own size class and
-  under the one below that may hold smaller partners.  A set with an empty class
-  files under a second hashing too, where the same holds.
+  shingles in both; a few classes more make up for empty ones.  The lists are
+  keyed by the content of a class, with D from the size class of the smaller
+  set; a set files under its own size class and under the one below that may
+  hold smaller partners.  A set with no more than D classes that aren't empty
+  files under another hashing too, where the same holds.
 * The boundary is where enumerating costs more than filing and scanning.  Heavy
   sets small enough to have light partners enumerate too.
 
@@ -35,7 +36,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from itertools import combinations
-from math import comb
+from math import comb, exp
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,7 @@ from .components import components
 LIST_COST = 4
 #: sets and shingles of a block of a cluster
 BLOCK_SETS, BLOCK_SHINGLES = 512, 400_000
-#: list entries that one reducing group sorts at a time, about (16 bytes each)
+#: list entries that one reducing group sorts at a time, about (8 bytes each when shuffled)
 GROUP_ROWS = 500_000
 NO_ID = (1 << 63) - 1
 MAX_SALTS = 6
@@ -92,6 +93,11 @@ class Threshold:
         """Most shingles that two linked sets don't share, the smaller one of at most this size."""
         return (smaller + self.partner(smaller)) * (self.den - self.num) // (self.den + self.num)
 
+    def n_parts(self, first: int, last: int) -> tuple[int, int]:
+        """Hash classes of shingles for smaller sets of sizes first to last, and how many must hold some shingle."""
+        need = self.differences(last) + 1
+        return need + int(2 * need * exp(-first / need)) + 1, need
+
     def boundary(self) -> int:
         """Largest size up to which enumerating costs no more than filing in lists."""
         n = 1
@@ -117,7 +123,7 @@ def _light_keys(s: np.ndarray, t: Threshold, boundary: int) -> np.ndarray:
     return np.concatenate(keys) if keys else np.empty(0, np.uint64)
 
 
-def _heavy_keys(s: np.ndarray, size_class: int, n_parts: int) -> np.ndarray:
+def _heavy_keys(s: np.ndarray, size_class: int, n_parts: int, need: int) -> np.ndarray:
     m, keys = mix(s), []
     for salt in range(MAX_SALTS):
         with np.errstate(over="ignore"):
@@ -128,7 +134,7 @@ def _heavy_keys(s: np.ndarray, size_class: int, n_parts: int) -> np.ndarray:
         last = salt == MAX_SALTS - 1
         at = np.arange(n_parts) if last else np.flatnonzero(full)
         keys.append(combine(sums[at], np.uint64(size_class * 64 + salt) * np.uint64(1 << 32) + at.astype(np.uint64), 53))
-        if full.all():
+        if full.sum() >= need:
             break
     return np.concatenate(keys)
 
@@ -139,9 +145,9 @@ def keys_of(s: np.ndarray, t: Threshold, boundary: int, firsts: list[int]) -> np
         out.append(_light_keys(s, t, boundary))
     if n > boundary:
         c = int(np.searchsorted(firsts, n, "right")) - 1
-        out.append(_heavy_keys(s, c, t.differences(firsts[c + 1] - 1) + 1))
+        out.append(_heavy_keys(s, c, *t.n_parts(firsts[c], firsts[c + 1] - 1)))
         if c and t.least(n) < firsts[c]:
-            out.append(_heavy_keys(s, c - 1, t.differences(firsts[c] - 1) + 1))
+            out.append(_heavy_keys(s, c - 1, *t.n_parts(firsts[c - 1], firsts[c] - 1)))
     return np.unique(np.concatenate(out)) if out else np.empty(0, np.uint64)
 
 
@@ -150,6 +156,24 @@ def _prepared(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select("*", F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64(text).alias("_th"))
 
 
+def pack(key: np.ndarray, own: np.ndarray) -> bytes:
+    """List entries sorted by owner: owners, keys of each, 40 bits of each key.
+
+    Forty bits of a key inside one group: a chance collision only adds a pair to verify."""
+    first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+    count = np.diff(np.append(first, len(own))).astype(np.uint32)
+    return b"".join((np.uint32(len(first)).tobytes(), own[first].tobytes(), count.tobytes(),
+                     key.astype(np.uint32).tobytes(), (key >> np.uint64(32)).astype(np.uint8).tobytes()))
+
+
+def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    m = int(np.frombuffer(blob, np.uint32, 1)[0])
+    own, count = np.frombuffer(blob, np.uint64, m, 4), np.frombuffer(blob, np.uint32, m, 4 + 8 * m)
+    n, at = int(count.sum()), 4 + 12 * m
+    low, high = np.frombuffer(blob, np.uint32, n, at), np.frombuffer(blob, np.uint8, n, at + 4 * n)
+    return low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32)), np.repeat(own, count)
+
+
 def file_sets(rows: DataFrame, text_col: str, n: int, t: Threshold, n_groups: int) -> DataFrame:
     """Documents (id, th, n, h) and edges (h, low) between nodes that share a key, as rows of two kinds."""
     def file(batches):
@@ -171,13 +195,13 @@ def file_sets(rows: DataFrame, text_col: str, n: int, t: Threshold, n_groups: in
             if keys:
                 key, own = np.concatenate(keys), np.concatenate(owner)
                 group = (key >> np.uint64(40)).astype(np.int64) % n_groups
-                order = np.lexsort((own, key, group))
+                order = np.lexsort((key, own, group))
                 key, own, group = key[order], own[order], group[order]
                 new = np.append(True, (key[1:] != key[:-1]) | (own[1:] != own[:-1]))
                 key, own, group = key[new], own[new], group[new]
                 cuts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
                 ends = np.append(cuts[1:], len(group))
-                blobs = [np.concatenate((key[a:e], own[a:e])).tobytes() for a, e in zip(cuts, ends)]
+                blobs = [pack(key[x:y], own[x:y]) for x, y in zip(cuts, ends)]
                 m = len(blobs)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(group[cuts], pa.int32()), *(pa.nulls(m, x) for x in (pa.int64(), pa.int64(), pa.int32(), pa.int64())),
@@ -185,8 +209,7 @@ def file_sets(rows: DataFrame, text_col: str, n: int, t: Threshold, n_groups: in
 
     def scan(batches):
         def edges(blobs):
-            key = np.concatenate([x[: len(x) // 2] for x in blobs])
-            own = np.concatenate([x[len(x) // 2:] for x in blobs])
+            key, own = (np.concatenate(x) for x in zip(*map(unpack, blobs)))
             order = np.lexsort((own, key))
             key, own = key[order], own[order]
             new = np.append(True, (key[1:] != key[:-1]) | (own[1:] != own[:-1]))
@@ -212,7 +235,7 @@ def file_sets(rows: DataFrame, text_col: str, n: int, t: Threshold, n_groups: in
                     yield edges(held)
                     held = []
                 group = g
-                held.append(np.frombuffer(x.as_py(), np.uint64))
+                held.append(x.as_py())
         if held:
             yield edges(held)
 
@@ -318,7 +341,8 @@ def link_documents(df: DataFrame, n: int, t: Threshold, id_col: str = "doc_id",
                                                           F.count(F.lit(1)).alias("w")), "nj-classes")
     clusters = components(filed.filter("low is not null").select(F.col("h").alias("a"), F.col("low").alias("b")))
     wanted = clusters.join(classes, clusters["node"] == classes["h"]).select("root", "h", "w", F.col("one.id").alias("_id"), F.col("one.th").alias("_th"))
-    texts = rows.select("_id", "_th", F.col(text_col).alias("t")).join(wanted, ["_id", "_th"])
+    # repeated rows give one set (no shuffle: the join has dealt them by the same keys)
+    texts = rows.select("_id", "_th", F.col(text_col).alias("t")).join(wanted, ["_id", "_th"]).dropDuplicates(["_id", "_th"])
 
     def to_set(batches):
         for b in batches:
@@ -327,7 +351,7 @@ def link_documents(df: DataFrame, n: int, t: Threshold, id_col: str = "doc_id",
                                               pa.array([s.tobytes() for s in sets], pa.binary())], names=["root", "h", "w", "n", "set"])
 
     sets = texts.select("root", "h", "w", "t").mapInArrow(to_set, "root long, h long, w long, n int, set binary")
-    sets = stage(sets.dropDuplicates(["h"]), "nj-sets")  # repeated rows give one set
+    sets = stage(sets, "nj-sets")
     links = stage(verify(sets, t), "nj-links")
     joined = components(links.filter("h <> low").select(F.col("h").alias("a"), F.col("low").alias("b")))
     counts = links.groupBy("h").agg(F.sum("links").alias("links"))

@@ -18,16 +18,27 @@ BATCH_ROWS = 400
 #: word, so clearing the cache never changes a result)
 CACHE_WORDS = 200_000
 
+#: Spark removes the shuffle files of a query when it ends
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _HASHES: dict[bytes, int] = {}
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a table in the shared checkpoint folder and read it back.
 
-    Cuts lineage: a lost executor costs at most the current step."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    Cuts lineage: a lost executor costs at most the current step.  The shuffle files
+    of the step go as soon as it is written, so a job of many steps holds the
+    disk of its largest one."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:

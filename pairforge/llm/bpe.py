@@ -201,9 +201,12 @@ class Bpe:
     def parts(self, text: str, size: int) -> Iterator[tuple[int, int, list[str] | None, bytes | None]]:
         """A long text as (special id or -1, glue, pre-tokens, bytes of a stretch).
 
-        glue 1: the stretch goes on in the next part; 2: it ends here."""
+        glue 1: the stretch goes on in the next part; 2: it ends here.
+        A text without pre-tokens and special tokens is one part without pre-tokens."""
+        empty = True
         for words, special in self.pretokens(text):
             held, n = [], 0
+            empty = empty and not words and special is None
             for w in words:
                 if len(w) > size:
                     if held:
@@ -223,6 +226,8 @@ class Bpe:
                 yield -1, 0, held, None
             if special is not None:
                 yield special, 0, None, None
+        if empty:
+            yield -1, 0, [], None
 
 
 def _lists(rows: list[np.ndarray]) -> pa.Array:

@@ -177,3 +177,12 @@ def test_bpe_cases_and_long_texts_in_parts(spark, library):
     assert bpe.encode(df.limit(0), bpe.tokenizer_path()).count() == 0
     back = bpe.decode(bpe.encode(df, bpe.tokenizer_path()), bpe.tokenizer_path()).collect()
     assert all(r.decoded == library.decode(list(r.ids), skip_special_tokens=False) for r in back)
+
+
+def test_bpe_keeps_long_texts_without_pretokens(spark):
+    texts = [" " * 50, "\n\t " * 30, " " * 20, " " * 50, " " * 70 + "a"]
+    df = spark.createDataFrame([(i % 3, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    path = bpe.tokenizer_path()
+    small, large = (sorted((r.doc_id, list(r.ids)) for r in bpe.encode(df, path, part=p).collect()) for p in (40, 65536))
+    assert small == large and [i for i, x in small if not x] == [0, 0, 1, 2]
+    assert sorted(r.n_tokens for r in bpe.digests(bpe.encode(df, path, part=40), path).collect()) == [0, 0, 0, 0, 1]

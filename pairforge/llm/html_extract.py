@@ -10,6 +10,7 @@ labelled pages (:mod:`html_pages`).
 Cases: null, empty and tag-free html have the empty text or the text itself as
 one run; broken markup (unclosed or stray tags, unclosed quotes and comments) is
 read leniently; pages of any length and depth are read whole (no recursion);
+elements with a ``hidden`` attribute or style are judged like others;
 repeated rows give repeated results; an empty table gives an empty result; other
 columns are ignored.
 """
@@ -30,13 +31,13 @@ from .common import small_batches, spread_rows
 # fixed values: classes of HTML elements
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp noframes".split())
-DROPPED = set("script style textarea title head noscript template svg math iframe object select button option canvas "
-              "audio video datalist dialog xmp noframes input label fieldset legend".split())
+# no text that a page shows (code, metadata, what stands in for media) or a form control; all other elements are judged by the model
+DROPPED = set("script style textarea title head noscript template iframe select button option canvas audio video datalist noframes".split())
 BLOCK = set("address article aside blockquote body center dd details dir div dl dt fieldset figcaption figure footer form "
             "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table caption "
-            "thead tbody tfoot tr td th ul head title script style noscript template svg math iframe object select button "
+            "thead tbody tfoot tr td th ul head title script style noscript template svg iframe object select button "
             "option textarea canvas audio video dialog xmp noframes".split())
-CLOSES_P = BLOCK - set("html body head title script style noscript template svg math iframe object select button option "
+CLOSES_P = BLOCK - set("html body head title script style noscript template svg iframe object select button option "
                        "textarea canvas audio video caption thead tbody tfoot tr td th".split())
 IMPLIED = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
            "option": ("option",), "tbody": ("thead", "tbody", "tr", "td", "th"), "tfoot": ("tbody", "tr", "td", "th")}
@@ -45,7 +46,9 @@ FENCE = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"
 P_FENCE = {"table", "td", "th", "caption", "button", "object", "template", "html"}
 
 MARKUP = re.compile(r"<!--(?:.*?--!?>|>|.*\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
-ATTR = re.compile(r"""(class|id|role|hidden|style|itemprop|aria-label)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+# an attribute with its value; an unclosed quote goes on to the end of the tag
+ATTR = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s>]+)))?""")
+HINTED = {"class", "id", "role", "itemprop", "aria-label"}
 
 #: words of class, id, role and the like, by what they hint at
 HINTS = {
@@ -71,7 +74,7 @@ def hints_of(attrs: str) -> list[str]:
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "hidden" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             found.add("hidden")
-        elif name != "style":
+        elif name in HINTED:
             value = _CAMEL.sub(r"\1 \2", value).lower()
             found.update(_HINT[w] for w in _SPLIT.split(value) if w in _HINT)
     return sorted(found)
@@ -173,13 +176,15 @@ class Page:
             if tag in BLOCK:
                 flush()
                 hints = hints_of(attrs) if attrs and not attrs.isspace() else []
-                block = self._add(block, tag, hints, self.gone[block] or tag in DROPPED or "hidden" in hints)
+                block = self._add(block, tag, hints, self.gone[block] or tag in DROPPED)
             if attrs.endswith("/") and tag in ("svg", "math", "iframe"):
                 continue
             stack.append((tag, block))
             in_link += tag == "a"
             if tag in RAW:
                 e = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(s, at)
+                if tag == "xmp":  # shown as it stands
+                    run.append(s[at:e.start() if e else n])
                 at = e.end() if e else n
                 flush()
                 stack.pop()
@@ -209,7 +214,7 @@ def features(page: Page) -> tuple[list[list[str]], list[str]]:
     p_main = [False] * n  # below an article or main element or hint, with no other hint in between
     for k in range(1, n):
         p = page.parent[k]
-        tag, hints = page.tag[p], page.hints[p]
+        tag, hints = page.tag[p], [h for h in page.hints[p] if h != "hidden"]
         p_main[k] = tag in ("article", "main") or "main" in hints and len(hints) == 1 or (
             p_main[p] and not hints and tag not in ("nav", "aside", "footer", "form"))
     for k in range(n):
@@ -232,7 +237,7 @@ def features(page: Page) -> tuple[list[list[str]], list[str]]:
                 f.append("under main")
             f += [f"mean={bucket(c / max(1, runs[k]), (15, 40, 80, 200))}", f"runs={bucket(runs[k], (1, 3, 8))}",
                   f"tag={tag},links={density}", f"stops={bucket(stops[k] / max(1, runs[k]), (0.5, 2))}", f"h1={heads[k] > 0}"]
-            bad = [h for h in hints if h != "main"]
+            bad = [h for h in hints if h not in ("main", "hidden")]
             kinds.append("hinted" if bad else "main" if "main" in hints or tag in ("article", "main")
                          else tag if tag in ("nav", "header", "footer", "aside", "form", "ul", "ol", "table", "section", "div", "p")
                          else "heading" if tag in ("h1", "h2", "h3", "h4", "h5", "h6") else "block")

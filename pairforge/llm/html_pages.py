@@ -15,6 +15,8 @@ import re
 from .html_extract import Model, Page, train
 
 PAGES = 500
+#: further pages with hidden elements and elements that pages rarely have
+RARE = 60
 _SYLLABLES = "an ta ri mo el su ne ka do vi lo pe ra ti ma en or is ul che der ung tion que ment ado".split()
 
 
@@ -163,6 +165,28 @@ class _Writer:
         return (f"<!DOCTYPE html><html><head><title>{self.words(2, 6)}</title><style>p{{margin:0}}</style></head><body>"
                 + "".join(before) + middle + "".join(after) + foot + "</body></html>")
 
+    def rare_page(self):
+        """A page with hidden parts and rare elements, in the content as well as outside of it."""
+        r = self.r
+        hide = lambda m, p: m[0] + (self.one(" hidden", ' style="display:none"', ' style="visibility: hidden"') if r.random() < p else "")
+
+        def wrapped(m):
+            if r.random() > 0.25:
+                return m[0]
+            plain = re.sub("<[^>]*>", "", m[1])
+            return self.one(f"<dialog>{m[0]}</dialog>", f"<object>{m[0]}</object>", f"<fieldset><legend>{self.words(1, 3)}</legend>{m[0]}</fieldset>",
+                            f"<svg><text>{plain}</text></svg>", f"<xmp>{plain}</xmp>", f"<div hidden>{m[0]}</div>", f"<p hidden>{m[1]}</p>")
+
+        out = re.sub(r"<p>((?:[^<]|<a [^>]*>|</a>|</?b>)*)</p>", wrapped, self.page())
+        out = re.sub(r'<\w+ data-y="0"', lambda m: hide(m, 0.3), out)
+        out = re.sub(r'<\w+ data-y="1"|<body', lambda m: hide(m, 0.15), out)
+        if r.random() < 0.5:
+            dialog = f'<dialog data-y="0"{self.one("", self.cls("popup", "modal", "cookie-notice"))}>{self.one(self.notice(), f"<p>{self.prose(1, 2)}</p>")}</dialog>'
+            out = re.sub(self.one("(?<=<body>)|(?=</body>)", "(?=</body>)"), lambda m: dialog, out, count=1)
+        if r.random() < 0.3:
+            out = re.sub(r'(<nav data-y="0"[^>]*>)', lambda m: f"{m[1]}<svg><desc>{self.words(1, 3)}</desc></svg>", out)
+        return out
+
 
 _LABEL = re.compile(r' data-y="([01])"')
 
@@ -200,6 +224,7 @@ def _marks(source: str) -> list[int | None]:
 
 @functools.lru_cache(1)
 def default_model(n: int = PAGES, seed: int = 7) -> Model:
-    """Trained on ``n`` labelled pages (a fixed number, whatever the corpus)."""
+    """Trained on ``n`` labelled pages and ``RARE`` rare ones (fixed numbers, whatever the corpus)."""
     pages = [labelled_page(_Writer(seed * 10_000 + k).page()) for k in range(n)]
+    pages += [labelled_page(_Writer(seed * 20_000 + k).rare_page()) for k in range(RARE)]
     return train([p for p, _ in pages], [y for _, y in pages])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pairforge.llm import bpe, decontaminate as D, jaccard as J, substring as S, toxicity
-from pairforge.llm.html_extract import Forest, Page, extract
+from pairforge.llm.html_extract import Forest, Page, extract, hints_of
 from pairforge.llm.html_pages import _LABEL, _Writer, default_model, labelled_page
 from pairforge.sources.tables import table
 
@@ -120,3 +120,28 @@ def test_filtering_stages_keep_rows_of_odd_kinds(spark, sf):
         n = {J.jaccard_stage: 5}.get(f, 6)
         assert out.columns == docs.columns and out.count() == n, f
         assert f(spark, docs.limit(0), sf).count() == 0
+
+
+STORY = "<h1>A title</h1><p>Some text here, and more of it.</p>"
+
+
+@pytest.mark.parametrize("attrs, want", [
+    (' aria-hidden="false" data-nav="hidden"', []), (' title="a hidden gem" data-class=nav', []), (" data-x='class=\"nav\"' href=a/hidden", []),
+    (" hidden", ["hidden"]), (" CLASS=nav hidden=''", ["hidden", "nav"]), (' style="display: none"', ["hidden"]), (' title="a hidden class=nav', []),
+])
+def test_hints_come_from_whole_attributes(attrs, want):
+    assert hints_of(attrs) == want
+
+
+@pytest.mark.parametrize("source, more", [
+    (f'<body data-nav="hidden"><article aria-hidden="false">{STORY}</article>', ""),
+    (f'<body style="visibility:hidden"><article>{STORY}</article>', ""),
+    (f"<article>{STORY}<div hidden><p>A section of the story, folded.</p></div></article>", "\nA section of the story, folded."),
+    (f"<article>{STORY}<p>We see that <math><mi>x</mi> = <mn>2</mn></math> holds, as said.</p></article>", "\nWe see that x = 2 holds, as said."),
+    (f"<article>{STORY}<svg><text>Figure text in words.</text></svg><object><p>An object text, shown.</p></object></article>",
+     "\nFigure text in words.\nAn object text, shown."),
+    (f"<article>{STORY}<dialog open><p>A dialog in the story, said.</p></dialog><xmp>a <b> c, shown.</xmp></article>", "\nA dialog in the story, said.\na <b> c, shown."),
+    (f'<div hidden class="cookie-notice"><p>We use cookies, accept them.</p></div><article>{STORY}</article><dialog><p>Subscribe to our letter.</p></dialog>', ""),
+])
+def test_hidden_and_rare_elements_are_judged_by_the_model(source, more):
+    assert default_model().texts([source]) == ["A title\nSome text here, and more of it." + more]

@@ -13,8 +13,8 @@ learned from but predicted; ties fall to the first language in sorted order;
 without any labelled row every text is ``und``; an empty table gives an empty
 result; other columns are ignored.
 
-Bounds: the model is fitted on at most about ``TRAIN_ROWS`` labelled rows, a hash
-sample of ids; prediction covers every row and every word.
+The model is fitted on every labelled row, as counts of distinct words by language;
+prediction covers every row and every word.
 """
 
 from __future__ import annotations
@@ -30,14 +30,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..sources.tables import table
 from .common import LETTER, crc32_mod, small_batches, spread_rows, stage
 
-#: labelled rows that the model is fitted on, at most about
-TRAIN_ROWS = 4000
 ROUNDS = 3
 SMOOTHING = 0.05
 #: words whose scores a process keeps
 MODEL_CACHE = 500_000
 #: fixed value: the space mark of the vocabulary
 SPACE_MARK = "▁"
+#: words that a task takes into one step of the fit
+FIT_WORDS = 20_000
 STRIP = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789"
 UND = "und"
 
@@ -216,24 +216,34 @@ def count_words(train: DataFrame) -> DataFrame:
                  .groupBy("lang", "word").agg(F.sum("n").alias("n")))
 
 
-def fit(spark: SparkSession, train: DataFrame, path: str, train_rows: int = TRAIN_ROWS, rounds: int = ROUNDS) -> Model:
-    """``doc_id, lang, text`` (no nulls) -> model; a hash sample of about ``train_rows`` rows is used."""
+def _joined(batches, rows: int = FIT_WORDS):
+    """Batches put together to about ``rows`` rows."""
+    held = []
+    for b in batches:
+        held.append(b)
+        if sum(map(len, held)) >= rows:
+            yield pd.concat(held)
+            held = []
+    if held:
+        yield pd.concat(held)
+
+
+def fit(spark: SparkSession, train: DataFrame, path: str, rounds: int = ROUNDS) -> Model:
+    """``doc_id, lang, text`` (no nulls) -> model of all rows."""
     per_lang = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     langs, total = sorted(per_lang), sum(per_lang.values())
     size = Pieces.load(path).size
     logp = np.full((size, len(langs)), -np.log(size))
     if not langs:
         return Model([], np.zeros(0), logp, path)
-    share = min(1.0, train_rows / total)
-    sample = train.filter(F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    words = stage(count_words(spread_rows(sample)), "langid-words")
+    words = spread_rows(stage(count_words(spread_rows(train)), "langid-words"))
     for _ in range(rounds):
         now = logp
 
         def e_step(batches):
             pieces = Pieces.load(path)
             out = np.zeros_like(now)
-            for b in batches:
+            for b in _joined(batches):
                 for k, lang in enumerate(langs):
                     one = b[b["lang"] == lang]
                     ws, ns = one["word"].tolist(), one["n"].to_numpy(float)

@@ -186,3 +186,16 @@ def test_bpe_keeps_long_texts_without_pretokens(spark):
     small, large = (sorted((r.doc_id, list(r.ids)) for r in bpe.encode(df, path, part=p).collect()) for p in (40, 65536))
     assert small == large and [i for i, x in small if not x] == [0, 0, 1, 2]
     assert sorted(r.n_tokens for r in bpe.digests(bpe.encode(df, path, part=40), path).collect()) == [0, 0, 0, 0, 1]
+
+
+def test_rare_languages_are_learned_from_all_their_rows(spark):
+    many = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("aa").alias("lang"), F.lit("the house is big").alias("text"))
+    # ids that a hash sample of 4,000 rows would pass over
+    missed = spark.range(20_000, 20_100).filter(F.pmod(F.xxhash64(F.lit("langid"), F.col("id")), F.lit(1 << 20)) > 300_000).limit(2)
+    few = missed.select(F.col("id").alias("doc_id"), F.lit("bb").alias("lang"), F.repeat(F.lit("zorgo plinth "), 400).alias("text"))
+    model = langid.fit(spark, many.unionByName(few), langid.vocabulary_path())
+    score = langid.forward(langid.Pieces.load(model.path), ["▁zorgo", "▁plinth", "▁house"], model.logp)
+    assert model.langs == ["aa", "bb"] and (score[:2, 1] > -8).all() and score[2, 1] < -10
+    # every row counts, not a share of them
+    words = {(r["lang"], r["word"]): r["n"] for r in langid.count_words(many.unionByName(few)).collect()}
+    assert words["aa", "▁house"] == 20_000 and words["bb", "▁zorgo"] == 800

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, html_extract, jaccard, langid, pieces, quality, sharding, substring, toxicity
+from . import bpe, chat, decontaminate, html_extract, jaccard, langid, pieces, quality, sharding, substring, toxicity, whitening
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_ngram_jaccard": jaccard.op9_ngram_jaccard,
     "op10_html_extract": html_extract.op10_html_extract,
+    "op11_embedding_whitening": whitening.op11_embedding_whitening,
     "op13_sentencepiece": pieces.op13_sentencepiece,
 }
 

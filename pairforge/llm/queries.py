@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, html_extract, jaccard, langid, pieces, quality, sharding, substring, toxicity, whitening
+from . import bpe, chat, decontaminate, html_extract, jaccard, langid, periodic, pieces, quality, sharding, substring, toxicity, whitening
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_ngram_jaccard": jaccard.op9_ngram_jaccard,
     "op10_html_extract": html_extract.op10_html_extract,
     "op11_embedding_whitening": whitening.op11_embedding_whitening,
+    "op12_periodic_runs": periodic.op12_periodic_runs,
     "op13_sentencepiece": pieces.op13_sentencepiece,
 }
 
@@ -24,4 +25,5 @@ SQL = {
     "op4_quality_rules": quality.OP4_SQL,
     "op6_substring_dedup": substring.OP6_SQL,
     "op9_ngram_jaccard": jaccard.OP9_SQL,
+    "op12_periodic_runs": periodic.OP12_SQL,
 }

@@ -142,3 +142,18 @@ def length_penalty(step, alpha: float = 0.6) -> Column:
     """``((6 + step) ** alpha) / (6 ** alpha)``."""
     s = _c(step) if not isinstance(step, (int, float)) else F.lit(step)
     return F.pow(F.lit(6.0) + s, F.lit(alpha)) / F.lit(6.0 ** alpha)
+
+
+def first_above(arr, x, most: int = 1 << 30) -> Column:
+    """Index (from 0) of the first entry of a sorted array above ``x``, by bisection; the array's size if none is."""
+    arr, x = _c(arr), _c(x)
+    start = F.struct(F.lit(0).alias("lo"), F.size(arr).alias("hi"))
+
+    def halve(s, _):
+        mid = F.floor((s.lo + s.hi) / 2).cast("int")
+        up = F.get(arr, mid) <= x
+        return F.when(s.lo >= s.hi, s).otherwise(
+            F.struct(F.when(up, mid + 1).otherwise(s.lo).alias("lo"), F.when(up, s.hi).otherwise(mid).alias("hi")))
+
+    rounds = F.array(*[F.lit(k) for k in range(most.bit_length())])
+    return F.aggregate(rounds, start, halve, lambda s: s.lo)

@@ -7,22 +7,27 @@ follow).  Sources are rows ``(ex_id, prefix ARRAY<INT>)``.
 * Greedy decoding depends only on the last token, so it is solved on the
   bounded ``prev_id → best next`` table by path doubling (log2(max_len)
   joins) and applied to all sources with one join.
-* Random and beam decoding keep per-source state; each step is a join of
-  the live beams with the score table on the last token, a window per
-  source, and a union with the finished beams.  The state is checkpointed
-  to the shared checkpoint folder every ``checkpoint_every`` steps.
+* Random decoding keeps cumulative weights per ``prev_id``; a step draws one
+  uniform number per source and finds its token by bisection, so the state stays
+  one row per source.
+* Beam decoding keeps one sorted list of successors per ``prev_id``, cut to the
+  length that any step can need; a step looks the list up, picks the candidates
+  inside the row and emits at most ``2 × beam`` rows per beam.
+* The state is checkpointed to the shared checkpoint folder every
+  ``checkpoint_every`` steps.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..constants import (BEAM_SIZE, BOS_ID, EOS_ID, LENGTH_ALPHA, NGRAM_SIZE, REPETITION_PENALTY,
+from ..constants import (BEAM_SIZE, BOS_ID, EOS_ID, LENGTH_ALPHA, NGRAM_SIZE, PAD_ID, REPETITION_PENALTY,
                          SAMPLE_MAX_LEN)
-from ..functions.arrays import length_penalty, ngrams
-from ..session import materialize
+from ..functions.arrays import first_above, length_penalty, ngrams
+from ..session import fits_broadcast, materialize
 
-MAX_BROADCAST_ROWS = 2_000_000
+#: successors whose cumulative weights lie in one array
+DRAW_BLOCK = 256
 
 
 def bigram_scores(df: DataFrame, ids: str) -> DataFrame:
@@ -52,7 +57,7 @@ def init_prefix(df: DataFrame, src: str = "src_ids", prefix: str | None = None)
 
 
 def _maybe_broadcast(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= MAX_BROADCAST_ROWS else df
+    return F.broadcast(df) if fits_broadcast(df) else df
 
 
 def best_next(scores: DataFrame, temperature: float = 1.0) -> DataFrame:
@@ -73,13 +78,11 @@ def greedy_paths(scores: DataFrame, max_len: int, cut: bool = True) -> DataFrame
                   .select(F.col("t").alias("prev_id"),
                           F.array(F.coalesce("next_id", F.lit(EOS_ID)).cast("int")).alias("path")))
     step = materialize(step)
-    # one row per token at every doubling: the broadcast decision is made once
-    small = step.count() <= MAX_BROADCAST_ROWS
     length, paths = 1, step
     while length < max_len:
         # double: path(t) ++ path(last(path(t)))
         ext = paths.select(F.col("prev_id").alias("_t"), F.col("path").alias("_ext"))
-        ext = F.broadcast(ext) if small else ext
+        ext = _maybe_broadcast(ext)
         paths = (paths.withColumn("_last", F.element_at("path", -1))
                       .join(ext, F.col("_last") == F.col("_t"))
                       .select("prev_id", F.concat("path", "_ext").alias("path")))
@@ -131,13 +134,47 @@ def _by_example(df: DataFrame) -> DataFrame:
     return df.repartition(n, "ex_id")
 
 
-def _score_side(scores: DataFrame, t: float, small: bool | None = None) -> DataFrame:
-    """The score table as the build side of the step join (broadcast when its
-    size, checked once per decoder run, is below the limit)."""
-    sc = scores.select(F.col("prev_id").alias("_p"), "token_id", (F.col("logit") / F.lit(t)).alias("_z"))
-    if small is None:
-        small = scores.count() <= MAX_BROADCAST_ROWS
-    return F.broadcast(sc) if small else sc
+def _last_token(tokens, ended):
+    """The join key of a state row: its last token.  Ended rows match no token and
+    are dealt out evenly by negative keys, so they never meet in one task."""
+    return F.when(ended, (-1 - F.pmod(F.xxhash64("ex_id"), F.lit(1 << 30))).cast("int")).otherwise(F.element_at(tokens, -1))
+
+
+def successor_lists(scores: DataFrame, temperature: float = 1.0, keep: int | None = None) -> DataFrame:
+    """(prev_id, succ): the successors of every token as one list of (minus logit / t, token id),
+    best first, ties by token id; with ``keep`` only its first entries."""
+    t = max(float(temperature), 1e-5)
+    z = scores.select("prev_id", (-(F.col("logit") / F.lit(t))).alias("nz"), F.col("token_id").cast("int"))
+    if keep is not None:
+        w = Window.partitionBy("prev_id").orderBy("nz", "token_id")
+        z = z.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= keep)
+    return z.groupBy("prev_id").agg(F.sort_array(F.collect_list(F.struct("nz", "token_id"))).alias("succ"))
+
+
+def draw_tables(scores: DataFrame, top_n: int | None = None, temperature: float = 1.0,
+                block: int = DRAW_BLOCK) -> tuple[DataFrame, DataFrame]:
+    """Cumulative softmax weights of the successors of every token, best first (ties by token id).
+
+    Returns ``tops(prev_id, total, ends)``, with the cumulative weight at the end of every
+    block of ``block`` successors, and ``blocks(prev_id, block, cum, drawn)``.  ``top_n``
+    keeps the n best and what ties with the last of them."""
+    t = max(float(temperature), 1e-5)
+    z = scores.select("prev_id", "token_id", (F.col("logit") / F.lit(t)).alias("z"))
+    w = Window.partitionBy("prev_id").orderBy(F.col("z").desc(), "token_id")
+    if top_n is not None:
+        best = Window.partitionBy("prev_id").orderBy(F.col("z").desc())
+        z = z.withColumn("_r", F.rank().over(best)).filter(F.col("_r") <= top_n)
+    z = z.withColumn("_w", F.exp(F.col("z") - F.max("z").over(Window.partitionBy("prev_id"))))
+    z = z.select("prev_id", "token_id", F.sum("_w").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum"),
+                 F.row_number().over(w).alias("_n"))
+    blocks = materialize(
+        z.groupBy("prev_id", F.floor((F.col("_n") - 1) / F.lit(block)).cast("int").alias("block"))
+         .agg(F.sort_array(F.collect_list(F.struct("_n", "cum", "token_id"))).alias("_l"))
+         .select("prev_id", "block", F.col("_l.cum").alias("cum"), F.col("_l.token_id").cast("array<int>").alias("drawn")))
+    tops = (blocks.groupBy("prev_id")
+                  .agg(F.sort_array(F.collect_list(F.struct("block", F.element_at("cum", -1).alias("end")))).alias("_e"))
+                  .select("prev_id", F.col("_e.end").alias("ends"), F.element_at("_e.end", -1).alias("total")))
+    return tops, blocks
 
 
 class _StateLoop:
@@ -178,117 +215,116 @@ class _StateLoop:
 
 
 def decode_random(sources: DataFrame, scores: DataFrame, max_len: int = SAMPLE_MAX_LEN,
-                  top_n: int | None = None, temperature: float = 1.0, seed: int = 0,
+                  top_n: int | None = None, temperature: float = 1.0, seed: int = 0, mode: str = "per_row",
                   prefix: str = "prefix", out: str = "tokens", checkpoint_every: int = 4) -> DataFrame:
     """Per step, logits / t → top-n mask → one draw from the softmax.
 
-    The draw is Gumbel-max: ``argmax(logit/t − ln(−ln u))`` with ``u`` a hash
-    of (seed, example, step, token).  Rows stop at their own eos."""
-    t = max(float(temperature), 1e-5)
-    sc = scores.select("prev_id", "token_id", (F.col("logit") / F.lit(t)).alias("logit"))
-    if top_n is not None:
-        w = Window.partitionBy("prev_id").orderBy(F.col("logit").desc())
-        sc = sc.withColumn("_r", F.rank().over(w)).filter(F.col("_r") <= top_n).drop("_r")
-    sc = materialize(sc)
-    sc = _score_side(sc, 1.0, sc.count() <= MAX_BROADCAST_ROWS)
-    st = _by_example(sources.select("ex_id", F.col(prefix).alias(out), F.lit(False).alias("_done")))
+    The draw inverts the cumulative weights (``draw_tables``) at a uniform number hashed
+    from (seed, example, step): the block is found by bisection, then the token in it.
+    ``per_row``: each row stops at its own first eos.  ``reference``: every row keeps
+    drawing until all rows draw eos in the same step, or ``max_len`` tokens."""
+    if mode not in ("per_row", "reference"):
+        raise ValueError(f"unknown mode {mode}")
+    tops, blocks = draw_tables(scores, top_n, temperature)
+    tops, blocks = (_maybe_broadcast(d.withColumnRenamed("prev_id", "_p")) for d in (tops, blocks))
+    st = sources.select("ex_id", F.col(prefix).cast("array<int>").alias(out), F.lit(False).alias("_done"))
     loop = _StateLoop(materialize(st), checkpoint_every)
-    n_live = None
     for step in range(max_len):
-        st = loop.state
-        if n_live == 0 or (n_live is None and st.filter(~F.col("_done")).limit(1).count() == 0):
+        c = loop.state.withColumn("_p", _last_token(out, F.col("_done"))).join(tops, "_p", "left")
+        c = c.withColumn("_x", uniform_hash(seed, F.col("ex_id"), F.lit(step)) * F.col("total"))
+        # rounding may put the number at the total itself: the last block, the last token
+        c = c.withColumn("block", F.least(first_above("ends", "_x"), F.size("ends") - 1)).join(blocks, ["_p", "block"], "left")
+        nxt = F.coalesce(F.get("drawn", F.least(first_above("cum", "_x", DRAW_BLOCK), F.size("cum") - 1)), F.lit(EOS_ID))
+        n_live = loop.advance(
+            c.withColumn("_t", nxt)
+             .select("ex_id", F.when(F.col("_done"), F.col(out)).otherwise(F.concat(out, F.array("_t"))).alias(out),
+                     (F.col("_done") | ((F.col("_t") == EOS_ID) & F.lit(mode == "per_row"))).alias("_done")),
+            live=(~F.col("_done")) if mode == "per_row" else F.element_at(out, -1) != EOS_ID)
+        if not n_live:
             break
-        key = F.when(F.col("_done"), F.lit(None)).otherwise(F.element_at(out, -1))
-        c = st.withColumn("_p", key).join(sc, "_p", "left")
-        g = F.col("_z") - F.log(-F.log(uniform_hash(seed, F.col("ex_id"), F.lit(step), F.col("token_id"))))
-        w = Window.partitionBy("ex_id").orderBy(F.col("_g").desc_nulls_last(), F.col("token_id"))
-        c = c.withColumn("_g", g).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
-        nxt = F.coalesce(F.col("token_id"), F.lit(EOS_ID)).cast("int")
-        n_live = loop.advance(c.select("ex_id",
-                                       F.when(F.col("_done"), F.col(out)).otherwise(
-                                           F.concat(out, F.array(nxt))).alias(out),
-                                       (F.col("_done") | (nxt == EOS_ID)).alias("_done")),
-                              live=~F.col("_done"))
-    st = loop.finish()
-    return st.drop("_done")
-
-
-def beam_step(beams: DataFrame, scores: DataFrame, step: int, beam_size: int, temperature: float,
-              diversity: float, mode: str = "reference", vocab_size: int | None = None,
-              small_scores: bool | None = None) -> DataFrame:
+    return loop.finish().drop("_done")
+
+
+def beam_step(beams: DataFrame, scores: DataFrame, step: int, beam_size: int, temperature: float = 1.0,
+              diversity: float = 0.0, mode: str = "reference", vocab_size: int | None = None) -> DataFrame:
     """One D4 round (D3 + D5 + D6 + B5): expand live beams, carry ended ones,
     keep the best ``beam_size`` per example.
 
-    Ended beams pass the left join without a match and are carried with
-    their score; candidates of a beam are ordered by adjusted logit (ties →
-    lower token id) and the final order is (score desc, parent, candidate),
-    the stable order of the reference's sort."""
-    t = max(float(temperature), 1e-5)
-    k = 2 * beam_size if vocab_size is None else min(2 * beam_size, vocab_size - 1)
-    sc = _score_side(scores, t, small_scores)
-    ended = (F.element_at("tokens", -1) == EOS_ID) & F.lit(step > 0)
-    cols = {"_ended": ended, "_p": F.when(ended, F.lit(None)).otherwise(F.element_at("tokens", -1))}
-    if mode == "standard":
-        cols["_pg"] = ngrams("tokens", NGRAM_SIZE)
+    ``scores`` is the score table, or its ``successor_lists`` (of the same
+    temperature, long enough for this step).  A beam reads the first k entries of
+    its list; with a diversity penalty as many more as the example's beams hold
+    distinct tokens, because only those can fall behind.  Candidates of a beam are
+    ordered by adjusted logit (ties → lower token id); the final order is (score
+    desc, parent, candidate), the stable order of the reference's sort."""
+    if mode not in ("reference", "standard"):
+        raise ValueError(f"unknown mode {mode}")
+    k = candidates_per_beam(beam_size, vocab_size)
+    succ = scores if "succ" in scores.columns else _maybe_broadcast(materialize(successor_lists(scores, temperature)))
+    cols = {"_ended": (F.element_at("tokens", -1) == EOS_ID) & F.lit(step > 0)}
     if diversity > 0:
         cols["_all"] = F.flatten(F.collect_list("tokens").over(Window.partitionBy("ex_id")))
-    c = beams.withColumns(cols)
-    c = c.join(sc, "_p", "left")
+    c = beams.withColumns(cols).withColumn("_p", _last_token("tokens", F.col("_ended")))
+    c = c.join(succ.withColumnRenamed("prev_id", "_p"), "_p", "left")
     # a beam without successors emits eos with logit 0, as the other decoders do: no source is lost
-    stuck = ~F.col("_ended") & F.col("token_id").isNull()
-    c = c.withColumns({"_z": F.when(stuck, F.lit(0.0)).otherwise(F.col("_z")),
-                       "token_id": F.when(stuck, F.lit(EOS_ID)).otherwise(F.col("token_id"))})
+    end = F.array(F.struct(F.lit(0.0).alias("nz"), F.lit(EOS_ID).alias("token_id")))
+    held = F.coalesce("succ", end)
     if diversity > 0:
-        # occurrences of t in the other beams; array_remove is a native loop
-        tok = F.col("token_id")
-        n_all = F.size("_all") - F.size(F.array_remove("_all", tok))
-        n_own = F.size("tokens") - F.size(F.array_remove("tokens", tok))
-        # drop the example's token list before the candidate sort (it is ~beam × length wide)
-        c = c.withColumn("_z", F.col("_z") - F.lit(diversity) * (n_all - n_own)).drop("_all")
-    w = Window.partitionBy("ex_id", "beam_idx").orderBy(F.col("_z").desc(), F.col("token_id"))
-    c = c.withColumn("cand", F.when(F.col("_ended"), F.lit(0)).otherwise(F.row_number().over(w)))
-    c = c.filter(F.col("cand") <= k)
-    new = F.concat("tokens", F.array(F.col("token_id").cast("int")))
-    lp = length_penalty(F.lit(step), LENGTH_ALPHA)
+        def behind(s):
+            # occurrences in the other beams; array_remove is a native loop
+            n_all = F.size("_all") - F.size(F.array_remove("_all", s.token_id))
+            n_own = F.size("tokens") - F.size(F.array_remove("tokens", s.token_id))
+            return F.struct((s.nz + F.lit(diversity) * (n_all - n_own)).alias("nz"), s.token_id.alias("token_id"))
+        head = F.slice(held, F.lit(1), F.lit(k) + F.size(F.array_distinct("_all")))
+        cand = F.slice(F.sort_array(F.transform(head, behind)), 1, k)
+    else:
+        cand = F.slice(held, 1, k)
+    cand = F.when(F.col("_ended"), end).otherwise(cand)
+    c = c.select("ex_id", "beam_idx", "tokens", "score", "_ended", F.posexplode(cand).alias("_i", "_c"))
+    z, token = -F.col("_c.nz"), F.col("_c.token_id")
+    new = F.concat("tokens", F.array(token))
     if mode == "reference":
         # The candidate's n-grams contain all of its parent's, and the parent's
         # own set is tested, so the penalty fires exactly when the parent holds
         # an n-gram (from step 1 on; the sets start empty).
-        rep = F.when(F.lit(step > 0) & (F.size("tokens") >= NGRAM_SIZE), F.lit(REPETITION_PENALTY)) \
-               .otherwise(F.lit(1.0))
-        score = (F.col("score") + F.col("_z")) / lp * rep
-    elif mode == "standard":
+        rep = F.when(F.lit(step > 0) & (F.size("tokens") >= NGRAM_SIZE), F.lit(REPETITION_PENALTY)).otherwise(F.lit(1.0))
+        score = (F.col("score") + z) / length_penalty(F.lit(step), LENGTH_ALPHA) * rep
+    else:
         # penalty only for a new repeat: the candidate's last n-gram already in the parent
         last = F.slice(new, -NGRAM_SIZE, NGRAM_SIZE)
-        rep = F.when((F.size(new) >= NGRAM_SIZE) & F.array_contains(F.col("_pg"), last),
+        rep = F.when((F.size(new) >= NGRAM_SIZE) & F.array_contains(ngrams("tokens", NGRAM_SIZE), last),
                      F.lit(REPETITION_PENALTY)).otherwise(F.lit(1.0))
-        score = F.col("score") + F.col("_z") + F.log(rep)
-    else:
-        raise ValueError(f"unknown mode {mode}")
-    c = c.select("ex_id", F.col("beam_idx").alias("parent"), "cand",
+        score = F.col("score") + z + F.log(rep)
+    c = c.select("ex_id", F.col("beam_idx").alias("parent"), F.when(F.col("_ended"), F.lit(0)).otherwise(F.col("_i") + 1).alias("cand"),
                  F.when(F.col("_ended"), F.col("tokens")).otherwise(new).alias("tokens"),
                  F.when(F.col("_ended"), F.col("score")).otherwise(score).alias("score"))
-    w2 = Window.partitionBy("ex_id").orderBy(F.col("score").desc(), "parent", "cand")
-    return (c.withColumn("beam_idx", F.row_number().over(w2) - 1)
-             .filter(F.col("beam_idx") < beam_size)
-             .select("ex_id", F.col("beam_idx").cast("int"), "tokens", "score"))
+    w = Window.partitionBy("ex_id").orderBy(F.col("score").desc(), "parent", "cand")
+    return (c.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= beam_size)
+             .select("ex_id", (F.col("_r") - 1).cast("int").alias("beam_idx"), "tokens", "score"))
+
+
+def candidates_per_beam(beam_size: int, vocab_size: int | None = None) -> int:
+    """Successors that a beam may be followed by: twice the beam, below the vocabulary size."""
+    return 2 * beam_size if vocab_size is None else min(2 * beam_size, vocab_size - 1)
 
 
 def decode_beam(sources: DataFrame, scores: DataFrame, max_len: int = SAMPLE_MAX_LEN,
                 beam_size: int = BEAM_SIZE, temperature: float = 1.0, diversity: float = 0.0,
                 mode: str = "reference", prefix: str = "prefix", checkpoint_every: int = 4,
-                all_beams: bool = False) -> DataFrame:
+                all_beams: bool = False, vocab_size: int | None = None) -> DataFrame:
     """Beam search for every source; returns the best beam per ``ex_id``
     (or every final beam with ``all_beams``).  Stops early when every beam of
     every example has ended."""
-    scores = materialize(scores)
-    beams = _by_example(sources.select("ex_id", F.lit(0).alias("beam_idx"), F.col(prefix).alias("tokens"),
-                                       F.lit(0.0).alias("score")))
-    small = scores.count() <= MAX_BROADCAST_ROWS
+    sources = materialize(sources.select("ex_id", F.col(prefix).cast("array<int>").alias("tokens")))
+    keep = candidates_per_beam(beam_size, vocab_size)
+    if diversity > 0:
+        # no step can read further: tokens that the other beams hold
+        longest = sources.agg(F.max(F.size("tokens"))).first()[0] or 0
+        keep += beam_size * (longest + max_len)
+    succ = _maybe_broadcast(materialize(successor_lists(scores, temperature, keep)))
+    beams = _by_example(sources.select("ex_id", F.lit(0).alias("beam_idx"), "tokens", F.lit(0.0).alias("score")))
     loop = _StateLoop(materialize(beams), checkpoint_every)
     for step in range(max_len - 1):
-        n_live = loop.advance(beam_step(loop.state, scores, step, beam_size, temperature, diversity, mode,
-                                        small_scores=small),
+        n_live = loop.advance(beam_step(loop.state, succ, step, beam_size, temperature, diversity, mode, vocab_size),
                               live=F.element_at("tokens", -1) != EOS_ID)
         if n_live == 0:
             break
@@ -303,3 +339,10 @@ def decode(sources: DataFrame, scores: DataFrame, strategy: str = "greedy", **kw
     if strategy not in fns:
         raise ValueError(f"unknown decoding strategy {strategy!r}; known: {', '.join(fns)}")
     return fns[strategy](sources, scores, **kw)
+
+
+def pad_outputs(df: DataFrame, col: str = "tokens", pad_id: int = PAD_ID) -> DataFrame:
+    """Pad the id lists of a result to its longest row."""
+    df = materialize(df)
+    width = df.agg(F.max(F.size(col))).first()[0] or 0
+    return df.withColumn(col, F.concat(col, F.array_repeat(F.lit(pad_id), F.lit(width) - F.size(col))))

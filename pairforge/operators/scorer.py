@@ -1,22 +1,27 @@
 """Decoding with a user batch scorer.
 
-``make_scorer()`` returns ``score(src_ids, prefixes) -> ndarray[B, V]`` (next-
-token logits; ``-inf`` = impossible).  Sources are decoded per partition by
-``mapInPandas``: the scorer is built once per Python worker and called once
-per step for the still-running rows of an Arrow batch, so a neural model
-scores whole batches, never single rows.
+``make_scorer()`` returns ``score(src_ids, prefixes)``, the next-token logits of
+every prefix: an ``ndarray[B, V]`` (``-inf`` = impossible), or ``Sparse`` rows that
+list the possible tokens only, so that memory doesn't grow with the vocabulary.
+Sources are decoded per partition by ``mapInPandas``: the scorer is built once per
+Python worker and called once per step for the still-running rows of an Arrow
+batch, so a neural model scores whole batches, never single rows.
 """
 
 from __future__ import annotations
 
 import hashlib
 import uuid
+from collections import Counter
+from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
 from ..constants import EOS_ID, LENGTH_ALPHA, NGRAM_SIZE, REPETITION_PENALTY
+from .decoding import candidates_per_beam
 
 _SCORERS: dict = {}
 
@@ -31,36 +36,52 @@ def worker_scorer(key: str, make_scorer):
     return _SCORERS[key]
 
 
+class Sparse(NamedTuple):
+    """Logits of a batch: row r has ``tokens[offsets[r]:offsets[r + 1]]`` (ascending) and their logits."""
+    offsets: np.ndarray
+    tokens: np.ndarray
+    logits: np.ndarray
+
+    @staticmethod
+    def of(rows: list[tuple[np.ndarray, np.ndarray]]) -> Sparse:
+        offsets = np.zeros(len(rows) + 1, np.int64)
+        np.cumsum([len(t) for t, _ in rows], out=offsets[1:])
+        if not rows:
+            return Sparse(offsets, np.empty(0, np.int64), np.empty(0))
+        return Sparse(offsets, np.concatenate([t for t, _ in rows]), np.concatenate([z for _, z in rows]))
+
+
+def rows_of(logits) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(token ids ascending, logits) of the possible tokens of every row, dense or sparse."""
+    if isinstance(logits, Sparse):
+        for a, b in zip(logits.offsets[:-1], logits.offsets[1:]):
+            yield logits.tokens[a:b], logits.logits[a:b]
+    else:
+        for z in np.asarray(logits):
+            at = np.flatnonzero(np.isfinite(z))
+            yield at, z[at]
+
+
 def table_scorer(scores: DataFrame, max_rows: int = 5_000_000):
-    """A scorer factory over a ``scores(prev_id, token_id, logit)`` table of at most ``max_rows`` rows
+    """A sparse scorer factory over a ``scores(prev_id, token_id, logit)`` table of at most ``max_rows`` rows
     (it is held by every worker)."""
     n = scores.count()
     if n > max_rows:
         raise ValueError(f"score table of {n} rows is above max_rows={max_rows}; use the table-form decoders")
-    pdf = scores.select("prev_id", "token_id", "logit").toPandas()
-    v = int(max(pdf["token_id"].max(), pdf["prev_id"].max(), EOS_ID)) + 1
+    pdf = scores.select("prev_id", "token_id", "logit").toPandas().sort_values(["prev_id", "token_id"])
     by_prev = {int(p): (g["token_id"].to_numpy(np.int64), g["logit"].to_numpy(np.float64))
                for p, g in pdf.groupby("prev_id")}
+    none = (np.empty(0, np.int64), np.empty(0))
 
     def make():
-        def score(src, prefixes):
-            out = np.full((len(prefixes), v), -np.inf)
-            for r, pre in enumerate(prefixes):
-                e = by_prev.get(int(pre[-1]))
-                if e is not None:
-                    out[r, e[0]] = e[1]
-            return out
-        return score
+        return lambda src, prefixes: Sparse.of([by_prev.get(int(pre[-1]), none) for pre in prefixes])
     return make
 
 
-def _uniform(seed, ex_id, step, tokens) -> np.ndarray:
-    """Same hashed uniforms as the table form (md5 of ``seed:ex:step:token``)."""
-    out = np.empty(len(tokens))
-    for k, t in enumerate(tokens):
-        h = hashlib.md5(f"{seed}:{ex_id}:{step}:{t}".encode()).hexdigest()
-        out[k] = (int(h[:13], 16) + 0.5) / float(16 ** 13)
-    return out
+def _uniform(seed, ex_id, step) -> float:
+    """Same hashed uniform as the table form (md5 of ``seed:ex:step``)."""
+    h = hashlib.md5(f"{seed}:{ex_id}:{step}".encode()).hexdigest()
+    return (int(h[:13], 16) + 0.5) / float(16 ** 13)
 
 
 def _greedy_batch(score, srcs, seqs, ex_ids, max_len, **_):
@@ -68,13 +89,10 @@ def _greedy_batch(score, srcs, seqs, ex_ids, max_len, **_):
     for _ in range(max_len):
         if not live:
             break
-        logits = score([srcs[i] for i in live], [seqs[i] for i in live])
-        best = np.argmax(logits, axis=1)
-        ok = np.isfinite(logits[np.arange(len(live)), best])
-        nxt = np.where(ok, best, EOS_ID)
         still = []
-        for i, t in zip(live, nxt.tolist()):
-            seqs[i].append(int(t))
+        for i, (tokens, z) in zip(live, rows_of(score([srcs[i] for i in live], [seqs[i] for i in live]))):
+            t = int(tokens[np.argmax(z)]) if len(z) else EOS_ID
+            seqs[i].append(t)
             if t != EOS_ID:
                 still.append(i)
         live = still
@@ -87,22 +105,18 @@ def _random_batch(score, srcs, seqs, ex_ids, max_len, top_n=None, temperature=1.
     for step in range(max_len):
         if not live:
             break
-        logits = score([srcs[i] for i in live], [seqs[i] for i in live]) / t
         still = []
-        for r, i in enumerate(live):
-            z = logits[r]
-            cand = np.flatnonzero(np.isfinite(z))
-            if len(cand) == 0:
-                nxt = EOS_ID
-            else:
-                zc = z[cand]
-                if top_n is not None and len(cand) > top_n:
-                    thr = np.sort(zc)[::-1][top_n - 1]
-                    keep = zc >= thr
-                    cand, zc = cand[keep], zc[keep]
-                g = zc - np.log(-np.log(_uniform(seed, ex_ids[i], step, cand.tolist())))
-                best = np.flatnonzero(g == g.max())
-                nxt = int(cand[best].min())
+        for i, (tokens, z) in zip(live, rows_of(score([srcs[i] for i in live], [seqs[i] for i in live]))):
+            nxt = EOS_ID
+            if len(z):
+                z = z / t
+                if top_n is not None and len(z) > top_n:
+                    keep = z >= np.sort(z)[::-1][top_n - 1]
+                    tokens, z = tokens[keep], z[keep]
+                best = np.lexsort((tokens, -z))
+                cum = np.cumsum(np.exp(z[best] - z.max()))
+                at = np.searchsorted(cum, _uniform(seed, ex_ids[i], step) * cum[-1], side="right")
+                nxt = int(tokens[best[min(at, len(best) - 1)]])
             seqs[i].append(nxt)
             if nxt != EOS_ID:
                 still.append(i)
@@ -110,38 +124,38 @@ def _random_batch(score, srcs, seqs, ex_ids, max_len, top_n=None, temperature=1.
     return seqs
 
 
-def _beam_batch(score, srcs, seqs, ex_ids, max_len, beam_size=5, temperature=1.0, diversity=0.0, **_):
+def _beam_batch(score, srcs, seqs, ex_ids, max_len, beam_size=5, temperature=1.0, diversity=0.0, vocab_size=None, **_):
     """Beam search with the reference scoring (see decoding.beam_step)."""
     t = max(float(temperature), 1e-5)
-    k = 2 * beam_size
+    k = candidates_per_beam(beam_size, vocab_size)
     beams = [[(list(p), 0.0)] for p in seqs]
     for step in range(max_len - 1):
         lp = ((6.0 + step) ** LENGTH_ALPHA) / (6.0 ** LENGTH_ALPHA)
         jobs = [(e, b) for e, bl in enumerate(beams) for b, (tok, _) in enumerate(bl)
                 if not (tok[-1] == EOS_ID and step > 0)]
-        logits = score([srcs[e] for e, _ in jobs], [beams[e][b][0] for e, b in jobs]) / t if jobs else None
-        row = {jb: r for r, jb in enumerate(jobs)}
+        found = dict(zip(jobs, rows_of(score([srcs[e] for e, _ in jobs], [beams[e][b][0] for e, b in jobs])))) if jobs else {}
         new_beams = []
         for e, bl in enumerate(beams):
             cands = []
+            held = Counter(x for tok, _ in bl for x in tok) if diversity > 0 else Counter()
             for b, (tok, sc) in enumerate(bl):
-                if (e, b) not in row:
+                if (e, b) not in found:
                     cands.append((sc, b, 0, tok))
                     continue
-                z = logits[row[(e, b)]].copy()
-                if not np.isfinite(z).any():
-                    z[EOS_ID] = 0.0  # no successor: the beam ends
+                tokens, z = found[e, b]
+                if not len(z):
+                    tokens, z = np.array([EOS_ID]), np.zeros(1)  # no successor: the beam ends
+                z = z / t
                 if diversity > 0:
-                    for ob, (otok, _) in enumerate(bl):
-                        if ob != b:
-                            for x in otok:
-                                if 0 <= x < len(z):
-                                    z[x] -= diversity
-                fin = np.flatnonzero(np.isfinite(z))
-                order = fin[np.lexsort((fin, -z[fin]))][:k]
+                    others = held - Counter(tok)
+                    ids = np.array(sorted(others), np.int64)
+                    at = np.searchsorted(tokens, ids)
+                    hit = (at < len(tokens)) & (tokens[np.minimum(at, len(tokens) - 1)] == ids)
+                    z[at[hit]] -= diversity * np.array([others[x] for x in ids[hit].tolist()])
+                order = np.lexsort((tokens, -z))[:k]
                 rep = REPETITION_PENALTY if (step > 0 and len(tok) >= NGRAM_SIZE) else 1.0
-                for c, tkn in enumerate(order.tolist(), start=1):
-                    cands.append(((sc + z[tkn]) / lp * rep, b, c, tok + [int(tkn)]))
+                for c, o in enumerate(order.tolist(), start=1):
+                    cands.append(((sc + z[o]) / lp * rep, b, c, tok + [int(tokens[o])]))
             cands.sort(key=lambda x: (-x[0], x[1], x[2]))
             new_beams.append([(tok, sc) for sc, _, _, tok in cands[:beam_size]])
         beams = new_beams
@@ -164,7 +178,7 @@ def decode_with_scorer(sources: DataFrame, make_scorer, strategy: str = "greedy"
     ``greedy`` and ``random`` stop each row at its own eos (a row without any
     possible token emits eos); ``beam`` returns the best beam.  Options are
     those of the table-form decoders (``top_n``, ``temperature``, ``seed``,
-    ``beam_size``, ``diversity``)."""
+    ``beam_size``, ``diversity``, ``vocab_size``)."""
     if strategy not in _STRATEGIES:
         raise ValueError(f"unknown decoding strategy {strategy!r}; known: {', '.join(_STRATEGIES)}")
     run_batch = _STRATEGIES[strategy]

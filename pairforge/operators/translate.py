@@ -6,6 +6,7 @@ step, so any word of it can change the result.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from ..constants import BOS_ID, EOS_ID, SAMPLE_MAX_LEN
@@ -16,7 +17,7 @@ from .scorer import decode_with_scorer, table_scorer
 
 
 def source_scorer(scores: DataFrame, bonus: float = 1.0, max_rows: int = 5_000_000):
-    """A scorer that reads the source: bigram logits, plus ``bonus`` for each
+    """A sparse scorer that reads the source: bigram logits, plus ``bonus`` for each
     possible token that the source holds and the prefix doesn't hold yet."""
     base = table_scorer(scores, max_rows)
 
@@ -26,8 +27,9 @@ def source_scorer(scores: DataFrame, bonus: float = 1.0, max_rows: int = 5_000_0
         def score(srcs, prefixes):
             z = inner(srcs, prefixes)
             for r, (src, pre) in enumerate(zip(srcs, prefixes)):
-                todo = [t for t in set(src) - set(pre) if t < z.shape[1] and t != EOS_ID]
-                z[r, todo] += bonus
+                todo = np.array(sorted(set(src) - set(pre) - {EOS_ID}), np.int64)
+                a, b = z.offsets[r], z.offsets[r + 1]
+                z.logits[a:b] += bonus * np.isin(z.tokens[a:b], todo)
             return z
         return score
     return make

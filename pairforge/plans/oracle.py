@@ -230,14 +230,15 @@ def _decoding_sql() -> dict[str, str]:
         "SELECT ex_id, list_concat(tokens, list_transform(range(greatest(mk - k, 0)), lambda i: 2)) AS tokens FROM g2, m")
     q["decode_random"] = f"""WITH RECURSIVE {_SCORES}, {_SOURCES},
 top AS (SELECT prev_id, token_id, logit FROM scores QUALIFY rank() OVER (PARTITION BY prev_id ORDER BY logit DESC) <= 5),
-cl AS (SELECT prev_id, list({{'t': token_id, 'z': logit}}) AS cand FROM top GROUP BY prev_id),
+wt AS (SELECT prev_id, token_id, logit, exp(logit - max(logit) OVER (PARTITION BY prev_id)) AS w FROM top),
+cum AS (SELECT prev_id, token_id, sum(w) OVER (PARTITION BY prev_id ORDER BY logit DESC, token_id ROWS UNBOUNDED PRECEDING) AS c FROM wt),
+cl AS (SELECT prev_id, list({{'c': c, 't': token_id}} ORDER BY c, token_id) AS cand, max(c) AS total FROM cum GROUP BY prev_id),
 rnd(ex_id, step, seq, done) AS (
   SELECT ex_id, 0, prefix, false FROM dsrc
   UNION ALL
   SELECT ex_id, step + 1, list_append(seq, nx), nx = 2 FROM (
-    SELECT w.ex_id, w.step, w.seq, coalesce(list_sort(list_transform(c.cand, lambda x: {{
-        'g': ln(-ln((CAST('0x' || substr(md5('42:' || w.ex_id || ':' || w.step || ':' || x.t), 1, 13) AS BIGINT) + 0.5)
-                    / 4503599627370496.0)) - x.z, 't': x.t}}))[1].t, 2) AS nx
+    SELECT w.ex_id, w.step, w.seq, coalesce(list_filter(c.cand, lambda x: x.c >
+        (CAST('0x' || substr(md5('42:' || w.ex_id || ':' || w.step), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0 * c.total)[1].t, 2) AS nx
     FROM rnd w LEFT JOIN cl c ON c.prev_id = w.seq[-1] WHERE NOT w.done AND w.step < 30))
 SELECT ex_id, seq AS tokens FROM rnd WHERE done OR step = 30"""
     q["decode_random_scorer"] = q["decode_random"]

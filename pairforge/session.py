@@ -99,6 +99,33 @@ def materialize(df):
     return out
 
 
+#: a table that every task holds may have this many bytes
+BROADCAST_BYTES = 128 << 20
+
+
+def _bytes_of(col, t):
+    """Size of a value in memory, about."""
+    from pyspark.sql import functions as F, types as T
+
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(col), F.lit(0)) + 16
+    if isinstance(t, T.ArrayType):
+        if isinstance(t.elementType, (T.StringType, T.BinaryType, T.ArrayType)):
+            return F.aggregate(F.coalesce(col, F.array().cast(t)), F.lit(16).cast("long"),
+                               lambda n, x: n + _bytes_of(x, t.elementType).cast("long"))
+        fields = len(t.elementType.fields) + 1 if isinstance(t.elementType, T.StructType) else 1
+        return F.greatest(F.size(col), F.lit(0)) * (8 * fields) + 16
+    return F.lit(16)
+
+
+def fits_broadcast(df, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether a table is small enough to be broadcast: its bytes are added up by a job."""
+    from pyspark.sql import functions as F
+
+    rows = sum((_bytes_of(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(16)).cast("long")
+    return (df.agg(F.sum(rows)).first()[0] or 0) <= limit
+
+
 _SHIPPED: set = set()
 
 

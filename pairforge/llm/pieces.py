@@ -9,7 +9,8 @@ Two neighbouring characters that stand next to one another in no piece are never
 merged, whatever surrounds them.  Where the pieces allow it (checked when a model is
 loaded), a text is therefore cut before a space that follows another character and
 around line feeds; every stretch has an agenda of its own and equal words share their
-result (a bounded cache of a pure function).
+result (a bounded cache of a pure function).  New words of a portion of texts are merged
+side by side, one merge of each in a step; long stretches have a heap as agenda.
 
 ``disagreements`` encodes and decodes the same rows with the sentencepiece library in
 Arrow batches and returns the rows that differ.
@@ -27,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from collections.abc import Iterator
 from itertools import groupby
 
 import numpy as np
@@ -41,9 +43,11 @@ SPACE = "▁"
 #: fixed value: what an unknown piece decodes to
 UNKNOWN = " ⁇ "
 #: stretches of more characters aren't kept in the cache
-CACHED_CHARS = 64
-#: symbols up to which the agenda of a stretch is a plain list
-SHORT = 48
+CACHED_CHARS = 48
+#: stretches that are merged together
+TOGETHER = 20_000
+#: texts of about so many characters are encoded together (a longer one alone)
+CHARS = 2_000_000
 #: rank of a pair that makes no piece
 NONE = 1 << 60
 #: words with the spaces before them, and spaces at the end
@@ -102,7 +106,8 @@ class Pieces:
         self.symbol = dict(self.ids)
         for c in sorted({c for p in inner for c in p}):
             self.symbol.setdefault(c, len(self.spell) + len(self.symbol))
-        self.width = 1 + max(self.symbol.values(), default=0)
+        #: no symbol has the last number below the width, so keys with an unknown symbol (-1) are no keys
+        self.width = 2 + max(self.symbol.values(), default=0)
         #: rank of the merge of two symbols (equal scores have equal ranks), and the symbol that it makes
         self.rank: dict[int, int] = {}
         self.made: dict[int, int] = {}
@@ -114,32 +119,23 @@ class Pieces:
                     self.rank[left * self.width + right] = order[self.scores[p]]
                     self.made[left * self.width + right] = self.symbol[p]
         self.text = {i: p for p, i in self.symbol.items()}
-        #: ids of words behind a space, and of words at the start of a line
-        self.after_space: dict[str, bytes] = {}
-        self.at_start: dict[str, bytes] = {}
+        # the same as arrays: symbol by code point, merges by sorted key
+        self.by_code = np.full(0x110000, -1, np.int64)
+        for p, i in self.symbol.items():
+            if len(p) == 1:
+                self.by_code[ord(p)] = i
+        self.keys = np.array(sorted(self.rank), np.int64)
+        self.key_rank = np.array([*(self.rank[k] for k in self.keys.tolist()), NONE], np.int64)
+        self.key_made = np.array([*(self.made[k] for k in self.keys.tolist()), -1], np.int64)
+        #: ids of words (see ``words``) and of other stretches
+        self.known: dict[str, bytes] = {}
+        self.odd: dict[str, bytes] = {}
 
     # -- encoding ------------------------------------------------------------
     def merge(self, sym: list) -> list:
-        """Symbols (numbers, or characters of no piece) after all merges, best score first, leftmost first."""
-        if len(sym) > SHORT:
-            return self._merge_heap(sym)
-        rank, made, width = self.rank.get, self.made, self.width
-        agenda = [NONE if a.__class__ is str or b.__class__ is str else rank(a * width + b, NONE) for a, b in zip(sym, sym[1:])]
-        while agenda and (best := min(agenda)) != NONE:
-            i = agenda.index(best)
-            new = made[sym[i] * width + sym[i + 1]]
-            sym[i: i + 2] = [new]
-            del agenda[i]
-            if i:
-                a = sym[i - 1]
-                agenda[i - 1] = NONE if a.__class__ is str else rank(a * width + new, NONE)
-            if i < len(agenda):
-                b = sym[i + 1]
-                agenda[i] = NONE if b.__class__ is str else rank(new * width + b, NONE)
-        return sym
-
-    def _merge_heap(self, sym: list) -> list:
-        """The same with a heap as agenda, for long stretches; pairs that have changed since are passed over."""
+        """Symbols (numbers, or characters of no piece) after all merges, best score first, leftmost first.
+
+        The agenda is a heap; pairs that have changed since they entered are passed over."""
         rank, made, width, n = self.rank, self.made, self.width, len(sym)
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
         heap: list = []
@@ -175,44 +171,97 @@ class Pieces:
                 out.append(self.unknown)
         return np.array(out, np.int32).tobytes()
 
-    def look_up(self, words: list[str], known: dict[str, bytes], before: str) -> bytes:
-        """Ids of words that all stand behind ``before``; a bounded cache spares repeated work."""
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            if len(known) > CACHE_WORDS:
+    def pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Number of the merge of every two symbols; the last number if there is none."""
+        key = a * self.width + b
+        at = np.searchsorted(self.keys, key)
+        at[at == len(self.keys)] = 0
+        return np.where(self.keys[at] == key, at, len(self.keys)) if len(self.keys) else np.zeros(len(key), np.int64)
+
+    def stretches(self, texts: list[str]) -> list[bytes]:
+        """Ids of many short stretches at once: a row of a matrix is the agenda of a stretch."""
+        n = np.array(list(map(len, texts)))
+        cols = np.arange(int(n.max()))
+        sym = np.full((len(texts), len(cols)), -1, np.int64)
+        sym[cols < n[:, None]] = self.by_code[np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)]
+        none = len(self.keys)
+        agenda = np.full(sym.shape, none)
+        agenda[:, :-1] = self.pairs(sym[:, :-1].ravel(), sym[:, 1:].ravel()).reshape(len(texts), -1)
+        done, rows = sym.copy(), np.arange(len(texts))
+        while True:
+            rank = self.key_rank[agenda]
+            at = rank.argmin(axis=1)  # the leftmost of the best
+            live = rank[np.arange(len(rows)), at] < NONE
+            done[rows[~live]] = sym[~live]
+            if not live.any():
+                break
+            rows, sym, agenda, at = rows[live], sym[live], agenda[live], at[live]
+            r = np.arange(len(rows))
+            new = self.key_made[agenda[r, at]]
+            n[rows] -= 1
+            # what stands behind the pair moves one place to the left
+            behind = np.minimum(cols + (cols > at[:, None]), len(cols) - 1)
+            sym = np.take_along_axis(sym, behind, 1)
+            agenda = np.take_along_axis(agenda, behind, 1)
+            sym[r, at] = new
+            sym[r, n[rows]] = -1
+            agenda[r, n[rows] - 1] = none
+            after = at + 1 < n[rows]
+            agenda[r[after], at[after]] = self.pairs(new[after], sym[r[after], at[after] + 1])
+            before = at > 0
+            agenda[r[before], at[before] - 1] = self.pairs(sym[r[before], at[before] - 1], new[before])
+        inside = cols < n[:, None]
+        plain = ((done >= 0) & (done < len(self.spell)) | ~inside).all(axis=1)
+        data, end = done[inside].astype(np.int32).tobytes(), np.cumsum(n * 4).tolist()
+        return [data[a:b] if ok else self.stretch(t) for t, a, b, ok in zip(texts, [0, *end], end, plain.tolist())]
+
+    def learn(self, known: dict[str, bytes], words: list[str], texts: list[str]) -> None:
+        """Ids of words whose stretches are ``texts``; rows of a matrix have about the same length."""
+        order = sorted(range(len(texts)), key=lambda k: len(texts[k]))
+        for a in range(0, len(order), TOGETHER):
+            some = order[a: a + TOGETHER]
+            for k, ids in zip(some, self.stretches([texts[k] for k in some])):
+                known[words[k]] = ids
+
+    def words(self, text: str) -> tuple[list[str], dict[str, bytes]]:
+        """A text as keys of stretches, and the cache that holds them.
+
+        Keys of ``known`` are words without the space before them, or a line feed with the
+        word behind it; keys of ``odd`` are stretches with their spaces escaped."""
+        if self.by_words and self.by_lines and self.prefix and SPACE not in text:
+            words = text.replace("\n", " \n").split(" ")
+            # the first word has the space that stands before every text
+            if "" not in words and words[0][0] != "\n":
+                return words, self.known
+        text = self.prefix + text.replace(" ", SPACE)
+        return (RUNS.findall(text) if self.by_words else [text]), self.odd
+
+    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of every text."""
+        found = [self.words(t) if t else ([], self.odd) for t in texts]
+        for known in (self.known, self.odd):
+            new = set().union(*[w for w, d in found if d is known]).difference(known)
+            if len(known) + len(new) > CACHE_WORDS:
                 known.clear()
-            for w in words:
-                if w not in known and len(w) <= CACHED_CHARS:
-                    known[w] = self.stretch(before + w)
-            return b"".join([known[w] if len(w) <= CACHED_CHARS else self.stretch(before + w) for w in words])
+                new = set().union(*[w for w, d in found if d is known])
+            new = sorted(w for w in new if len(w) < CACHED_CHARS)
+            self.learn(known, new, new if known is self.odd else [w if w[0] == "\n" else SPACE + w for w in new])
+        out = []
+        for words, known in found:
+            try:
+                ids = b"".join([known[w] for w in words])
+            except KeyError:  # long stretches
+                ids = b"".join([known[w] if w in known else
+                                self.stretch(w if known is self.odd or w[0] == "\n" else SPACE + w) for w in words])
+            ids = np.frombuffer(ids, np.int32)
+            if not self.by_bytes and len(ids):
+                # neighbouring unknown symbols are one id
+                ids = ids[np.append(True, (ids[1:] != self.unknown) | (ids[:-1] != self.unknown))]
+            out.append(ids)
+        return out
 
     def encode(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.empty(0, np.int32)
-        found: list[bytes] = []
-        if not self.by_words:
-            found.append(self.stretch(self.prefix + text.replace(" ", SPACE)))
-        else:
-            newline, before = self.stretch("\n"), self.prefix
-            for k, line in enumerate(text.split("\n") if self.by_lines else [text]):
-                if k:
-                    found.append(newline)
-                    before = ""
-                words = line.split(" ")
-                if "" in words or SPACE in line:
-                    # several spaces go to the word behind them
-                    found += [self.stretch(x) for x in RUNS.findall(before + line.replace(" ", SPACE))]
-                elif before:
-                    found.append(self.look_up(words, self.after_space, SPACE))
-                else:
-                    found.append(self.look_up(words[:1], self.at_start, ""))
-                    found.append(self.look_up(words[1:], self.after_space, SPACE))
-        ids = np.frombuffer(b"".join(found), np.int32)
-        if not self.by_bytes and len(ids):
-            # neighbouring unknown symbols are one id
-            ids = ids[np.append(True, (ids[1:] != self.unknown) | (ids[:-1] != self.unknown))]
-        return ids
+        return self.encode_many([text or ""])[0]
 
     # -- decoding ------------------------------------------------------------
     def decode(self, ids: list[int]) -> str:
@@ -264,6 +313,18 @@ def replace_bytes(data: bytes) -> str:
     return "".join(out)
 
 
+def _portions(texts: list) -> Iterator[list[str]]:
+    held, n = [], 0
+    for t in texts:
+        held.append(t or "")
+        n += len(held[-1])
+        if n >= CHARS:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
 def _lists(rows: list[np.ndarray]) -> pa.Array:
     offsets = np.zeros(len(rows) + 1, np.int32)
     np.cumsum([len(r) for r in rows], out=offsets[1:])
@@ -277,8 +338,10 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     def run(batches):
         pieces = Pieces.load(path)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), _lists([pieces.encode(t) for t in b.column(1).to_pylist()])],
-                                             names=["doc_id", "ids"])
+            at = 0
+            for texts in _portions(b.column(1).to_pylist()):
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(texts)), _lists(pieces.encode_many(texts))], names=["doc_id", "ids"])
+                at += len(texts)
 
     return spread_rows(rows).mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, ids array<int>")
 

@@ -4,7 +4,7 @@ import hashlib
 import random
 
 import pytest
-from pairforge.llm.pieces import SHORT, Pieces, decode, digests, disagreements, encode, model_path, op13_sentencepiece
+from pairforge.llm.pieces import CACHED_CHARS, Pieces, decode, digests, disagreements, encode, model_path, op13_sentencepiece
 
 SF = "/root/testdata/sf0.001"
 
@@ -35,7 +35,7 @@ def test_any_ids_decode_as_the_library_does(pieces):
 def test_long_stretches_use_the_heap(pieces):
     draw = random.Random(15)
     for text in ("x" * 5000, "ab" * 3000, " " * 1000, "".join(draw.choice("there is") for _ in range(20000)),
-                 "".join(draw.choice("etaoin") for _ in range(SHORT * 3))):
+                 "".join(draw.choice("etaoin") for _ in range(CACHED_CHARS * 3))):
         assert pieces.encode(text).tolist() == pieces.library.encode(text)
 
 

@@ -9,18 +9,20 @@ from __future__ import annotations
 
 import re
 import uuid
-from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import BOS_ID, EOS_ID, MAX_LEN, PAD_ID, SPECIAL_PIECES, UNK_ID, UNK_SURFACE, WORD_BOUNDARY
 from ..functions.arrays import teacher_forcing, truncate_with_eos
-from ..functions.lattice import best_path, path_ids
+from ..functions.lattice import Lattice, Trie, best_path, in_portions
 from ..functions.normalize import nmt_nfkc
 
 MAX_VOCAB_ROWS = 1_000_000
 UNK_PENALTY = 10.0
+#: words that a worker keeps the ids of
+CACHED_WORDS = 500_000
 _SEP = "\u0000"
 
 
@@ -36,42 +38,63 @@ def collect_vocab(vocab: DataFrame) -> list[tuple[int, str, float]]:
     return rows
 
 
-def _piece_table(rows):
-    """piece -> (id, score) for normal pieces, plus the unknown-character score."""
-    specials = set(SPECIAL_PIECES)
-    table = {p: (i, s) for i, p, s in rows if p not in specials and i > UNK_ID}
-    min_score = min((s for _, s in table.values()), default=0.0)
-    max_len = max((len(p) for p in table), default=1)
-    return table, min_score - UNK_PENALTY, max_len
+class WordEncoder:
+    """Ids of words, by the best path through the lattice of each distinct word.
+
+    New words of a batch are solved together over one prefix table; a bounded cache
+    (values are pure functions of the word) spares repeated ones."""
+
+    def __init__(self, rows: list[tuple[int, str, float]]):
+        normal = [(p, i, s) for i, p, s in rows if p not in set(SPECIAL_PIECES) and i > UNK_ID]
+        self.pieces = [p for p, _, _ in normal]
+        self.ids = np.array([i for _, i, _ in normal] + [UNK_ID], np.int64)
+        self.score = np.array([s for _, _, s in normal])
+        self.unknown = (float(self.score.min()) if normal else 0.0) - UNK_PENALTY
+        self.trie = Trie(self.pieces)
+        self.known: dict[str, list[int]] = {}
+
+    def learn(self, words: list[str]) -> None:
+        for some, long in in_portions(words):
+            if long:
+                table = {p: (i, s) for p, i, s in zip(self.pieces, self.ids.tolist(), self.score.tolist())}
+                path = best_path(words[some[0]], table, self.trie.max_len, self.unknown)
+                self.known[words[some[0]]] = [UNK_ID if p is None else table[p][0] for p in path]
+                continue
+            word, piece = Lattice([words[k] for k in some], self.trie, len(self.pieces)).best(self.score, self.unknown)
+            ids, end = self.ids[piece].tolist(), np.cumsum(np.bincount(word, minlength=len(some))).tolist()
+            for k, a, b in zip(some, [0, *end], end):
+                self.known[words[k]] = ids[a:b]
+
+    def encode(self, texts: list[list[str]]) -> list[list[int]]:
+        """Ids of texts (lists of words); neighbouring unknown characters are one id, across words too."""
+        known = self.known
+        if len(known) > CACHED_WORDS:
+            known.clear()
+        self.learn(sorted(set().union(*texts).difference(known)))
+        out = []
+        for words in texts:
+            ids = [i for w in words for i in known[w]]
+            if UNK_ID in ids:
+                ids = [i for i, before in zip(ids, [None, *ids]) if not i == before == UNK_ID]
+            out.append(ids)
+        return out
 
 
 def encode(df: DataFrame, col: str, vocab: DataFrame, out: str = "ids", normalize: bool = True) -> DataFrame:
     """Best segmentation of each text into vocabulary ids (ARRAY<INT>).
 
-    Empty or null text gives ``[]``.  Runs per Arrow batch; distinct words
-    are solved once per task."""
+    Empty or null text gives ``[]``.  Runs per Arrow batch; a distinct word is solved
+    once per Python worker."""
     spark = df.sparkSession
-    table, unk_score, max_len = _piece_table(collect_vocab(vocab))
-    bc = spark.sparkContext.broadcast((uuid.uuid4().hex, table, unk_score, max_len))
-    pattern = cut_pattern(table)
+    rows = collect_vocab(vocab)
+    bc = spark.sparkContext.broadcast((uuid.uuid4().hex, WordEncoder(rows)))
+    pattern = cut_pattern([p for i, p, _ in rows if i > UNK_ID])
 
     @F.pandas_udf("array<int>")
     def _encode(texts: pd.Series) -> pd.Series:
-        word_ids = _word_encoder(bc)
-
-        def one(t):
-            if t is None:
-                return []
-            s = nmt_nfkc(t) if normalize else t
-            ids: list[int] = []
-            for w in split_words(s, pattern):
-                wi = word_ids(w)
-                # unknown runs merge across word joins too (one lattice per text)
-                if wi and ids and ids[-1] == UNK_ID and wi[0] == UNK_ID:
-                    wi = wi[1:]
-                ids.extend(wi)
-            return ids
-        return texts.map(one)
+        encoder = _word_encoder(bc)
+        cut = [split_words((nmt_nfkc(t) if normalize else t) if t is not None else "", pattern) for t in texts]
+        return pd.Series(encoder.encode(cut), index=texts.index, dtype=object)
 
     return df.withColumn(out, _encode(F.col(col)))
 
@@ -79,19 +102,14 @@ def encode(df: DataFrame, col: str, vocab: DataFrame, out: str = "ids", normaliz
 _ENCODERS: dict = {}
 
 
-def _word_encoder(bc):
-    """Memoized word → ids for one broadcast vocabulary, kept for the life of
+def _word_encoder(bc) -> WordEncoder:
+    """The encoder of one broadcast vocabulary, kept with its cache for the life of
     the Python worker (workers are reused across tasks)."""
-    token, pieces, unk, ml = bc.value
-    fn = _ENCODERS.get(token)
-    if fn is None:
-
-        @lru_cache(maxsize=500_000)
-        def fn(w):
-            return tuple(path_ids(best_path(w, pieces, ml, unk), pieces, UNK_ID))
+    token, encoder = bc.value
+    if token not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[token] = fn
-    return fn
+        _ENCODERS[token] = encoder
+    return _ENCODERS[token]
 
 
 def cut_pattern(pieces) -> str:

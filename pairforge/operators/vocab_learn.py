@@ -2,14 +2,16 @@
 
 1. Texts are normalized (T0) and cut into words; ``groupBy(word).count()``
    shrinks the corpus to its word list, checkpointed once.
-2. Seed pieces: every substring (≤ ``max_piece_len``) of every word, weighted
-   by the word count, summed per substring and ranked by count × length;
-   the top ``seed_factor × vocab_size`` are kept, plus every character
-   needed for ``char_coverage``.
-3. EM: the piece table is broadcast; each partition of the word table runs
-   forward-backward per word and emits per-piece expected counts, which a
-   ``groupBy(piece).sum`` combines.  The M-step (digamma normalization) runs
-   on the piece table.
+2. Seed pieces, mined by length: what starts at a character is kept as a window of
+   at most ``max_piece_len`` characters, equal windows together.  Round L counts the
+   prefixes of length L of the windows; windows whose prefix occurs once leave, so
+   pieces of length L + 1 come only from pieces of length L that occur twice.  Pieces
+   are ranked by count × length; the top ``seed_factor × vocab_size`` are kept, plus
+   every character needed for ``char_coverage``.
+3. EM: a prefix table of the pieces is broadcast; each partition of the word table runs
+   forward-backward over the lattices of many words at once and emits per-piece
+   expected counts, which a ``groupBy(piece).sum`` combines.  The M-step (digamma
+   normalization) runs on the piece table.
 4. Pruning: Viterbi piece frequencies come from the same kind of job, the
    likelihood loss of removing each piece from a distributed job over the
    piece table; the best ``shrink`` share survives.
@@ -26,14 +28,15 @@ import logging
 import math
 import time
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..constants import SPECIAL_PIECES, VOCAB_SIZE, WORD_BOUNDARY
-from ..functions.lattice import best_path, expected_counts
+from ..functions.lattice import Lattice, Trie, best_path, expected_counts, in_portions
 from ..functions.normalize import normalize_nmt_nfkc
-from .ordering import with_order_rank
-from ..session import ensure_checkpoint_dir, materialize, spread
+from .ordering import hash_key, with_order_rank
+from ..session import ensure_checkpoint_dir, fits_broadcast, materialize, spread
 
 # --- Fixed values: trainer settings (public unigram trainer defaults) -------
 MAX_PIECE_LEN = 16
@@ -46,7 +49,15 @@ FINAL_SLACK = 1.1
 
 log = logging.getLogger(__name__)
 
-WORD_RE = f"{WORD_BOUNDARY}[^{WORD_BOUNDARY}0-9]*|[0-9]|[^{WORD_BOUNDARY}0-9]+"
+#: characters of a word that are cut out together when windows are made
+CHUNK = 256
+
+
+def word_pattern(split_digits: bool = True) -> str:
+    """Words of normalized text; with ``split_digits`` every digit is a word of its own."""
+    if split_digits:
+        return f"{WORD_BOUNDARY}[^{WORD_BOUNDARY}0-9]*|[0-9]|[^{WORD_BOUNDARY}0-9]+"
+    return f"{WORD_BOUNDARY}[^{WORD_BOUNDARY}]*|[^{WORD_BOUNDARY}]+"
 
 
 def digamma(x: float) -> float:
@@ -58,17 +69,17 @@ def digamma(x: float) -> float:
     return r + math.log(x) - 0.5 / x - f * (1 / 12 - f * (1 / 120 - f * (1 / 252 - f * (1 / 240 - f / 132))))
 
 
-def word_counts(df: DataFrame, col: str, normalize: bool = True) -> DataFrame:
+def word_counts(df: DataFrame, col: str, normalize: bool = True, split_digits: bool = True) -> DataFrame:
     """(word, freq) of a text column; checkpointed, it is read every EM round."""
     ensure_checkpoint_dir(df.sparkSession)
     t = normalize_nmt_nfkc(col) if normalize else F.col(col)
     # spread before the Python normalization so it runs on every core
     w = spread(df).select(t.alias("_t")).filter(F.col("_t").isNotNull())
-    w = w.select(F.explode(F.regexp_extract_all("_t", F.lit(WORD_RE), 0)).alias("word"))
-    wc = w.groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
-    # the E-step is CPU-heavy Python per word: keep at least one partition per core
+    w = w.select(F.explode(F.regexp_extract_all("_t", F.lit(word_pattern(split_digits)), 0)).alias("word"))
+    wc = materialize(w.groupBy("word").agg(F.count(F.lit(1)).alias("freq")))
+    # the E-step is CPU-heavy: one partition per core at least
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return materialize(wc.repartition(max(cores * 2, 1)))
+    return wc if wc.rdd.getNumPartitions() >= cores else materialize(wc.repartition(cores))
 
 
 def _required_chars(wc: DataFrame, coverage: float) -> dict[str, float]:
@@ -85,19 +96,41 @@ def _required_chars(wc: DataFrame, coverage: float) -> dict[str, float]:
     return out
 
 
+def windows(wc: DataFrame, max_len: int) -> DataFrame:
+    """(window, freq): what starts at every character of every word, ``max_len`` characters at most.
+
+    A word is cut into chunks first, each with the start of the next one behind it, so
+    that a place in a long word is found without counting from its start."""
+    chunks = F.regexp_extract_all("word", F.lit(f"(?s).{{1,{max(CHUNK, max_len)}}}"), 0)
+    c = wc.select(chunks.alias("_c"), "freq")
+    c = c.select(F.posexplode("_c").alias("_k", "_t"), "_c", "freq").select(
+        "_t", F.substring(F.coalesce(F.get("_c", F.col("_k") + 1), F.lit("")), 1, max_len - 1).alias("_next"), "freq")
+    c = c.select(F.concat("_t", "_next").alias("_w"), F.explode(F.sequence(F.lit(1), F.length("_t"))).alias("_i"), "freq")
+    return c.select(F.substring("_w", F.col("_i"), F.lit(max_len)).alias("window"), "freq").groupBy("window").agg(F.sum("freq").alias("freq"))
+
+
+def repeated_pieces(wc: DataFrame, max_len: int) -> DataFrame:
+    """(piece, n): every stretch of 2 to ``max_len`` characters of a word that occurs twice or more, with its count."""
+    left, found = materialize(windows(wc, max_len)), None
+    for size in range(2, max_len + 1):
+        prefix = F.substring("window", 1, size)
+        left = left.filter(F.length("window") >= size)
+        level = materialize(left.groupBy(prefix.alias("piece")).agg(F.sum("freq").alias("n")).filter("n >= 2"))
+        found = level if found is None else found.unionByName(level)
+        keys = level.select(F.col("piece").alias("_p"))
+        if keys.isEmpty():
+            break
+        left = left.join(F.broadcast(keys) if fits_broadcast(keys) else keys, prefix == F.col("_p"), "left_semi")
+        if size % 4 == 0:
+            left = materialize(left)  # four rounds of lineage at most
+    return found
+
+
 def _seed_pieces(wc: DataFrame, n_seeds: int, max_len: int) -> dict[str, float]:
-    subs = F.flatten(F.transform(
-        F.sequence(F.lit(0), F.length("word") - 1),
-        lambda i: F.transform(F.sequence(F.lit(2), F.least(F.lit(max_len), F.length("word") - i)),
-                              lambda ln: F.substring("word", i + 1, ln))))
-    # words of two or more characters hold no digit (digits are words of their own)
-    s = (wc.filter(F.length("word") >= 2)
-           .select(F.explode(subs).alias("piece"), "freq")
-           .groupBy("piece").agg(F.sum("freq").alias("n"))
-           .filter(F.col("n") >= 2))
+    s = repeated_pieces(wc, max_len)
     # a histogram of scores finds the range that holds the cut; only that range is ranked
-    s = materialize(s.withColumns({"score": F.col("n") * F.length("piece"),
-                                   "band": F.floor(F.log2(F.col("n") * F.length("piece")) * 16).cast("int")}))
+    s = s.withColumns({"score": F.col("n") * F.length("piece"),
+                       "band": F.floor(F.log2(F.col("n") * F.length("piece")) * 16).cast("int")})
     bands = sorted(((r["band"], r["k"]) for r in s.groupBy("band").agg(F.count(F.lit(1)).alias("k")).collect()), reverse=True)
     above, cut = 0, None
     for band, k in bands:
@@ -119,82 +152,88 @@ def _normalize_logp(freqs: dict[str, float]) -> dict[str, float]:
     return {p: digamma(f) - dt for p, f in freqs.items()}
 
 
-def _e_step(wc: DataFrame, logp: dict[str, float], max_len: int) -> dict[str, float]:
-    spark = wc.sparkSession
-    unk = min(logp.values()) - UNK_PENALTY
-    bc = spark.sparkContext.broadcast(logp)
+class _Model:
+    """Pieces in order with their prefix table and scores, as one broadcast value."""
 
-    def run(batches):
-        lp = bc.value
-        prob = {p: math.exp(v) for p, v in lp.items()}
-        acc: dict[str, float] = {}
-        for b in batches:
-            for w, f in zip(b["word"].tolist(), b["freq"].tolist()):
-                expected_counts(w, lp, max_len, unk, float(f), acc, prob)
-        if acc:
-            yield pd.DataFrame({"piece": list(acc.keys()), "n": list(acc.values())})
-
-    res = (wc.mapInPandas(run, "piece string, n double")
-             .groupBy("piece").agg(F.sum("n").alias("n")).collect())
-    bc.destroy()
-    return {r["piece"]: r["n"] for r in res}
+    def __init__(self, logp: dict[str, float]):
+        self.pieces = sorted(logp)
+        self.trie = Trie(self.pieces)
+        self.score = np.array([logp[p] for p in self.pieces])
+        self.unknown = min(logp.values()) - UNK_PENALTY
 
 
-def _viterbi_freq(wc: DataFrame, logp: dict[str, float], max_len: int) -> dict[str, float]:
-    spark = wc.sparkSession
-    unk = min(logp.values()) - UNK_PENALTY
-    table = {p: (0, s) for p, s in logp.items()}
-    bc = spark.sparkContext.broadcast(table)
+def _per_piece(wc: DataFrame, model: _Model, count_words) -> dict[str, float]:
+    """Sums per piece of what ``count_words(model, words, freqs)`` gives for the words of a batch."""
+    bc = wc.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        t = bc.value
-        acc: dict[str, float] = {}
+        m = bc.value
+        total = np.zeros(len(m.pieces))
         for b in batches:
-            for w, f in zip(b["word"].tolist(), b["freq"].tolist()):
-                for p in best_path(w, t, max_len, unk):
-                    if p is not None:
-                        acc[p] = acc.get(p, 0.0) + f
-        if acc:
-            yield pd.DataFrame({"piece": list(acc.keys()), "n": list(acc.values())})
-
-    res = (wc.mapInPandas(run, "piece string, n double")
-             .groupBy("piece").agg(F.sum("n").alias("n")).collect())
-    bc.destroy()
-    return {r["piece"]: r["n"] for r in res}
-
+            total += count_words(m, b["word"].tolist(), b["freq"].to_numpy(np.float64))
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"k": at, "n": total[at]})
 
-def _prune_loss(spark, logp: dict[str, float], vfreq: dict[str, float], required: set,
-                max_len: int) -> dict[str, float]:
+    rows = wc.mapInPandas(run, "k int, n double").groupBy("k").agg(F.sum("n").alias("n")).collect()
+    bc.destroy()
+    return {model.pieces[r["k"]]: r["n"] for r in rows}
+
+
+def _expected(m: _Model, words: list[str], freq: np.ndarray) -> np.ndarray:
+    total = np.zeros(len(m.pieces))
+    for some, long in in_portions(words):
+        if long:
+            acc: dict[str, float] = {}
+            expected_counts(words[some[0]], dict(zip(m.pieces, m.score.tolist())), m.trie.max_len, m.unknown, float(freq[some[0]]), acc)
+            at = dict(zip(m.pieces, range(len(m.pieces))))
+            for p, n in acc.items():
+                total[at[p]] += n
+        else:
+            total += Lattice([words[k] for k in some], m.trie, len(m.pieces)).expected(m.score, m.unknown, freq[some])
+    return total
+
+
+def _on_best_paths(m: _Model, words: list[str], freq: np.ndarray) -> np.ndarray:
+    total = np.zeros(len(m.pieces) + 1)
+    for some, long in in_portions(words):
+        if long:
+            table = {p: (k, x) for k, (p, x) in enumerate(zip(m.pieces, m.score.tolist()))}
+            for p in best_path(words[some[0]], table, m.trie.max_len, m.unknown):
+                if p is not None:
+                    total[table[p][0]] += freq[some[0]]
+        else:
+            word, piece = Lattice([words[k] for k in some], m.trie, len(m.pieces)).best(m.score, m.unknown)
+            total += np.bincount(piece, weights=freq[some][word], minlength=len(total))
+    return total[:-1]
+
+
+def _prune_loss(spark, logp: dict[str, float], vfreq: dict[str, float], required: set) -> dict[str, float]:
     """Likelihood loss of removing each piece: its Viterbi frequency times the
     gap to its best split into the remaining pieces (computed in parallel over
     the piece table)."""
     total = sum(vfreq.values()) or 1.0
-    unk = min(logp.values()) - UNK_PENALTY
-    cand = [p for p in logp if p not in required and len(p) > 1]
-    bc = spark.sparkContext.broadcast((logp, vfreq, total, unk))
-    pdf = spark.createDataFrame(pd.DataFrame({"piece": cand}), "piece string")
+    model = _Model(logp)
+    cand = [p for p in model.pieces if p not in required and len(p) > 1]
+    freq = np.array([vfreq.get(p, 0.0) for p in model.pieces])
+    bc = spark.sparkContext.broadcast((model, freq, total))
+    at = dict(zip(model.pieces, range(len(model.pieces))))
+    pdf = spark.createDataFrame(pd.DataFrame({"piece": cand, "k": [at[p] for p in cand]}), "piece string, k int")
 
     def run(batches):
-        lp, vf, tot, u = bc.value
-        table = {p: (0, s) for p, s in lp.items()}
+        m, vf, tot = bc.value
         for b in batches:
-            out = []
-            for p in b["piece"].tolist():
-                f = vf.get(p, 0.0)
-                if f <= 0:
-                    out.append(0.0)
-                    continue
-                s = table.pop(p)
-                alt = best_path(p, table, max_len, u)
-                table[p] = s
-                new_total = tot + f * (len(alt) - 1)
-                logprob_sp = math.log(f) - math.log(tot)
-                logprob_alt = 0.0
-                for a in alt:
-                    fa = (vf.get(a, 0.0) if a is not None else 0.0) + f
-                    logprob_alt += math.log(fa) - math.log(new_total)
-                out.append(f * (logprob_sp - logprob_alt))
-            yield pd.DataFrame({"piece": b["piece"], "loss": out})
+            words, f = b["piece"].tolist(), vf[b["k"].to_numpy(np.int64)]
+            loss = np.zeros(len(words))
+            for a in range(0, len(words), 20_000):
+                some = slice(a, a + 20_000)
+                word, piece = Lattice(words[some], m.trie, len(m.pieces)).best(m.score, m.unknown, whole=False)
+                g = f[some]
+                parts = np.bincount(word, minlength=len(g))
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    alone = np.log(g) - np.log(tot)
+                    split = np.log(np.append(vf, 0.0)[piece] + g[word]) - np.log(tot + g * (parts - 1))[word]
+                    loss[some] = np.where(g > 0, g * (alone - np.bincount(word, weights=split, minlength=len(g))), 0.0)
+            yield pd.DataFrame({"piece": b["piece"], "loss": loss})
 
     res = pdf.repartition(max(1, spark.sparkContext.defaultParallelism)).mapInPandas(
         run, "piece string, loss double").collect()
@@ -202,13 +241,34 @@ def _prune_loss(spark, logp: dict[str, float], vfreq: dict[str, float], required
     return {r["piece"]: r["loss"] for r in res}
 
 
+def _vocab_frame(spark, scores: dict[str, float]) -> DataFrame:
+    """The four control pieces, then the pieces by falling score (ties by piece)."""
+    rows = [(i, p, 0.0) for i, p in enumerate(SPECIAL_PIECES)]
+    rows += [(i + len(SPECIAL_PIECES), p, float(x)) for i, (p, x) in enumerate(sorted(scores.items(), key=lambda kv: (-kv[1], kv[0])))]
+    return spark.createDataFrame(rows, "id int, piece string, score double")
+
+
+def seed_vocab(df: DataFrame, col: str, n_seeds: int, normalize: bool = True, coverage: float = CHAR_COVERAGE,
+               max_piece_len: int = MAX_PIECE_LEN, split_digits: bool = True) -> DataFrame:
+    """The vocabulary that learning starts from, with scores ln(count / total count): the ``n_seeds`` pieces of
+    the greatest count × length (ties by piece) and the characters needed for ``coverage``."""
+    wc = word_counts(df, col, normalize, split_digits)
+    freqs = _seed_pieces(wc, n_seeds, max_piece_len) | _required_chars(wc, coverage)
+    total = sum(freqs.values())
+    return _vocab_frame(df.sparkSession, {p: math.log(n / total) for p, n in freqs.items()})
+
+
 def learn_vocab(df: DataFrame, col: str, vocab_size: int = VOCAB_SIZE, normalize: bool = True,
                 seed_factor: int = 10, hard_limit: bool = False, coverage: float = CHAR_COVERAGE,
-                max_piece_len: int = MAX_PIECE_LEN, shrink: float = SHRINK) -> DataFrame:
+                max_piece_len: int = MAX_PIECE_LEN, shrink: float = SHRINK, split_digits: bool = True,
+                sample_rows: int | None = None, seed: int = 0) -> DataFrame:
     """A unigram vocabulary ``(id INT, piece STRING, score DOUBLE)`` for ``col``.
 
-    ``seed_factor``, ``coverage``, ``max_piece_len`` and ``shrink`` are the trainer's
-    options.  Rounds go on until the target size is met: each one drops at least
+    ``seed_factor``, ``coverage``, ``max_piece_len``, ``shrink``, ``split_digits`` (T1:
+    every digit is a piece of its own) and ``sample_rows`` are the trainer's options.
+    With ``sample_rows`` only about so many rows, drawn by a seeded hash of their text,
+    are learned from; without it all are, and then their order has no effect (words
+    are counted).  Rounds go on until the target size is met: each one drops at least
     one piece, or there is nothing left that may be dropped.
 
     With ``hard_limit`` an error is raised when the corpus cannot fill
@@ -216,7 +276,10 @@ def learn_vocab(df: DataFrame, col: str, vocab_size: int = VOCAB_SIZE, normalize
     spark = df.sparkSession
     desired = vocab_size - len(SPECIAL_PIECES)
     t0 = time.time()
-    wc = word_counts(df, col, normalize)
+    if sample_rows is not None:
+        share = min(1.0, sample_rows / max(1, df.count()))
+        df = df.filter(F.conv(F.substring(hash_key(seed, F.coalesce(F.col(col), F.lit(""))), 1, 13), 16, 10).cast("double") < share * 16.0 ** 13)
+    wc = word_counts(df, col, normalize, split_digits)
     required = _required_chars(wc, coverage)
     freqs = _seed_pieces(wc, seed_factor * vocab_size, max_piece_len)
     freqs.update({c: max(n, freqs.get(c, 0.0)) for c, n in required.items()})
@@ -225,7 +288,7 @@ def learn_vocab(df: DataFrame, col: str, vocab_size: int = VOCAB_SIZE, normalize
     for rnd in itertools.count():
         t1 = time.time()
         for _ in range(SUB_ITERS):
-            exp = _e_step(wc, logp, max_piece_len)
+            exp = _per_piece(wc, _Model(logp), _expected)
             kept = {p: n for p, n in exp.items() if n >= MIN_EXPECTED or p in required}
             for c in required:
                 kept.setdefault(c, MIN_EXPECTED)
@@ -233,8 +296,8 @@ def learn_vocab(df: DataFrame, col: str, vocab_size: int = VOCAB_SIZE, normalize
         log.info("round %d: EM → %d pieces, %.1fs", rnd, len(logp), time.time() - t1)
         if len(logp) <= desired * FINAL_SLACK:
             break
-        vfreq = _viterbi_freq(wc, logp, max_piece_len)
-        loss = _prune_loss(spark, logp, vfreq, set(required), max_piece_len)
+        vfreq = _per_piece(wc, _Model(logp), _on_best_paths)
+        loss = _prune_loss(spark, logp, vfreq, set(required))
         target = max(desired, int(shrink * len(logp)))
         n_keep = max(0, target - len([p for p in logp if p in required or len(p) == 1]))
         ranked = sorted(loss.items(), key=lambda kv: (-kv[1], kv[0]))[:n_keep]
@@ -249,7 +312,4 @@ def learn_vocab(df: DataFrame, col: str, vocab_size: int = VOCAB_SIZE, normalize
     others = sorted(((p, s) for p, s in logp.items() if p not in chars), key=lambda kv: (-kv[1], kv[0]))
     final = dict(others[:max(0, desired - len(chars))])
     final.update({p: logp[p] for p in chars})
-    ordered = sorted(final.items(), key=lambda kv: (-kv[1], kv[0]))
-    rows = [(i, p, 0.0) for i, p in enumerate(SPECIAL_PIECES)]
-    rows += [(i + len(SPECIAL_PIECES), p, float(s)) for i, (p, s) in enumerate(ordered)]
-    return spark.createDataFrame(rows, "id int, piece string, score double")
+    return _vocab_frame(spark, final)

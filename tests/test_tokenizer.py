@@ -79,22 +79,6 @@ def test_encode_matches_sentencepiece(spark, sf, tmp_path):
     assert same == len(texts)
 
 
-def test_expected_counts_prob_equals_log_space():
-    import math
-    import random
-
-    from pairforge.functions.lattice import _expected_counts_log, expected_counts
-    rnd = random.Random(1)
-    pieces = {p: -rnd.uniform(1, 12) for p in ["▁a", "a", "b", "ab", "▁ab", "ba", "c", "▁", "abc", "bc"]}
-    prob = {p: math.exp(v) for p, v in pieces.items()}
-    for w in ["▁abcab", "▁ba", "▁abxc", "x", "▁" + "ab" * 30]:
-        a1, a2 = {}, {}
-        z1 = expected_counts(w, pieces, 4, -25.0, 2.0, a1, prob)
-        z2 = _expected_counts_log(w, pieces, 4, -25.0, 2.0, a2)
-        assert math.isclose(z1, z2, rel_tol=1e-9)
-        assert a1.keys() == a2.keys() and all(math.isclose(a1[k], a2[k], rel_tol=1e-9) for k in a1)
-
-
 def test_pieces_across_digits_and_word_marks_are_found(spark):
     base = [(0, "<pad>", 0.0), (1, "<s>", 0.0), (2, "</s>", 0.0), (3, "<unk>", 0.0)]
     digits = spark.createDataFrame([*base, (4, "▁12", -1.0), (5, "▁", -3.0), (6, "1", -4.0), (7, "2", -4.0)], "id int, piece string, score double")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..constants import (BEAM_SIZE, BOS_ID, EOS_ID, LENGTH_ALPHA, NGRAM_SIZE, PAD_ID, REPETITION_PENALTY,
                          SAMPLE_MAX_LEN)
 from ..functions.arrays import first_above, length_penalty, ngrams
-from ..session import fits_broadcast, materialize
+from ..session import fits_broadcast, materialize, stored
 
 #: successors whose cumulative weights lie in one array
 DRAW_BLOCK = 256
@@ -180,38 +180,25 @@ def draw_tables(scores: DataFrame, top_n: int | None = None, temperature: float
 class _StateLoop:
     """Per-step state of an iterative decoder.
 
-    Every step is persisted (so the following checks and the next step read
-    it once); every ``every`` steps it is written as a reliable checkpoint to
-    cut the lineage, so a lost executor replays at most ``every`` steps."""
+    Steps are chained into one job of ``every`` steps, whose result is written to the
+    shared checkpoint folder and read back: a lost executor replays at most so many steps.  The step number
+    is a column of the state, so every job has the same plan and the same generated code."""
 
     def __init__(self, state: DataFrame, every: int = 4):
-        self.state, self.every, self.n, self._cached = state, max(1, every or 1), 0, None
-
-    def advance(self, nxt: DataFrame, live=None) -> int | None:
-        """Make ``nxt`` the state; with ``live`` (a boolean column) return how many
-        rows are still live, counted by the same job that computes the state."""
-        from pyspark import StorageLevel
+        self.state, self.every, self.n = _by_example(stored(state, "decoding")), max(1, every or 1), 0
 
+    def advance(self, nxt: DataFrame, live) -> int | None:
+        """Make ``nxt`` the state; where a job ends, the number of rows that are still ``live``."""
         self.n += 1
-        old = self._cached
-        n_live = None
-        if self.n % self.every == 0:
-            nxt = materialize(nxt)
-            self._cached = None
-            if live is not None:
-                n_live = nxt.filter(live).count()
-        else:
-            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-            # one full pass computes every partition before the old state is dropped
-            n_live = nxt.agg(F.sum((live if live is not None else F.lit(True)).cast("long"))).first()[0] or 0
-            self._cached = nxt
-        if old is not None:
-            old.unpersist()
-        self.state = nxt
-        return n_live
+        if self.n % self.every:
+            self.state = nxt
+            return None
+        done = stored(nxt, "decoding")
+        self.state = _by_example(done)
+        return done.filter(live).count()
 
     def finish(self) -> DataFrame:
-        return self.state
+        return self.state if self.n % self.every == 0 else stored(self.state, "decoding")
 
 
 def decode_random(sources: DataFrame, scores: DataFrame, max_len: int = SAMPLE_MAX_LEN,
@@ -227,79 +214,108 @@ def decode_random(sources: DataFrame, scores: DataFrame, max_len: int = SAMPLE_M
         raise ValueError(f"unknown mode {mode}")
     tops, blocks = draw_tables(scores, top_n, temperature)
     tops, blocks = (_maybe_broadcast(d.withColumnRenamed("prev_id", "_p")) for d in (tops, blocks))
-    st = sources.select("ex_id", F.col(prefix).cast("array<int>").alias(out), F.lit(False).alias("_done"))
-    loop = _StateLoop(materialize(st), checkpoint_every)
-    for step in range(max_len):
+    st = sources.select("ex_id", F.col(prefix).cast("array<int>").alias(out), F.lit(False).alias("_done"), F.lit(0).alias("_step"))
+    # the common stop of the reference has to be looked for after every step
+    loop = _StateLoop(st, checkpoint_every if mode == "per_row" else 1)
+    for _ in range(max_len):
         c = loop.state.withColumn("_p", _last_token(out, F.col("_done"))).join(tops, "_p", "left")
-        c = c.withColumn("_x", uniform_hash(seed, F.col("ex_id"), F.lit(step)) * F.col("total"))
+        c = c.withColumn("_x", uniform_hash(seed, F.col("ex_id"), F.col("_step")) * F.col("total"))
         # rounding may put the number at the total itself: the last block, the last token
         c = c.withColumn("block", F.least(first_above("ends", "_x"), F.size("ends") - 1)).join(blocks, ["_p", "block"], "left")
         nxt = F.coalesce(F.get("drawn", F.least(first_above("cum", "_x", DRAW_BLOCK), F.size("cum") - 1)), F.lit(EOS_ID))
         n_live = loop.advance(
             c.withColumn("_t", nxt)
              .select("ex_id", F.when(F.col("_done"), F.col(out)).otherwise(F.concat(out, F.array("_t"))).alias(out),
-                     (F.col("_done") | ((F.col("_t") == EOS_ID) & F.lit(mode == "per_row"))).alias("_done")),
+                     (F.col("_done") | ((F.col("_t") == EOS_ID) & F.lit(mode == "per_row"))).alias("_done"),
+                     (F.col("_step") + 1).alias("_step")),
             live=(~F.col("_done")) if mode == "per_row" else F.element_at(out, -1) != EOS_ID)
-        if not n_live:
+        if n_live == 0:
             break
-    return loop.finish().drop("_done")
+    return loop.finish().drop("_done", "_step")
 
 
-def beam_step(beams: DataFrame, scores: DataFrame, step: int, beam_size: int, temperature: float = 1.0,
-              diversity: float = 0.0, mode: str = "reference", vocab_size: int | None = None) -> DataFrame:
-    """One D4 round (D3 + D5 + D6 + B5): expand live beams, carry ended ones,
-    keep the best ``beam_size`` per example.
-
-    ``scores`` is the score table, or its ``successor_lists`` (of the same
-    temperature, long enough for this step).  A beam reads the first k entries of
-    its list; with a diversity penalty as many more as the example's beams hold
-    distinct tokens, because only those can fall behind.  Candidates of a beam are
-    ordered by adjusted logit (ties → lower token id); the final order is (score
-    desc, parent, candidate), the stable order of the reference's sort."""
+def expand_beams(state: DataFrame, succ: DataFrame, beam_size: int, diversity: float = 0.0,
+                 mode: str = "reference", vocab_size: int | None = None) -> DataFrame:
+    """One D4 round (D3 + D5 + D6 + R4) on ``state(ex_id, beams array<struct<tokens, score>>, step)``,
+    one row per example: expand live beams, carry ended ones, keep the best ``beam_size``.
+
+    ``succ`` holds the ``successor_lists``.  A beam reads the first k entries of its list;
+    with a diversity penalty as many more as the example's beams hold distinct tokens,
+    because only those can fall behind.  Candidates of a beam are ordered by adjusted
+    logit (ties → lower token id); the final order is (score desc, parent, candidate), the
+    stable order of the reference's sort.  Only winners get their token lists copied."""
     if mode not in ("reference", "standard"):
         raise ValueError(f"unknown mode {mode}")
     k = candidates_per_beam(beam_size, vocab_size)
-    succ = scores if "succ" in scores.columns else _maybe_broadcast(materialize(successor_lists(scores, temperature)))
-    cols = {"_ended": (F.element_at("tokens", -1) == EOS_ID) & F.lit(step > 0)}
+    keep = ["ex_id", "step"]
     if diversity > 0:
-        cols["_all"] = F.flatten(F.collect_list("tokens").over(Window.partitionBy("ex_id")))
-    c = beams.withColumns(cols).withColumn("_p", _last_token("tokens", F.col("_ended")))
-    c = c.join(succ.withColumnRenamed("prev_id", "_p"), "_p", "left")
+        # how often the example's beams hold each of their tokens
+        state = state.withColumn("_all", F.flatten(F.transform("beams", lambda b: b.tokens)))
+        state = state.withColumn("_held", F.array_distinct("_all"))
+        state = state.withColumn("_counts", F.map_from_arrays("_held", F.transform(
+            "_held", lambda t: F.size("_all") - F.size(F.array_remove("_all", t)))))
+        keep.append("_counts")
+    c = state.select(*keep, F.posexplode("beams").alias("_i", "_b")).select(*keep, "_i", "_b.tokens", "_b.score")
+    c = c.withColumn("_ended", (F.element_at("tokens", -1) == EOS_ID) & (F.col("step") > 0))
+    c = c.withColumn("_p", _last_token("tokens", F.col("_ended"))).join(succ.withColumnRenamed("prev_id", "_p"), "_p", "left")
     # a beam without successors emits eos with logit 0, as the other decoders do: no source is lost
     end = F.array(F.struct(F.lit(0.0).alias("nz"), F.lit(EOS_ID).alias("token_id")))
-    held = F.coalesce("succ", end)
+    best = F.coalesce("succ", end)
     if diversity > 0:
         def behind(s):
-            # occurrences in the other beams; array_remove is a native loop
-            n_all = F.size("_all") - F.size(F.array_remove("_all", s.token_id))
-            n_own = F.size("tokens") - F.size(F.array_remove("tokens", s.token_id))
-            return F.struct((s.nz + F.lit(diversity) * (n_all - n_own)).alias("nz"), s.token_id.alias("token_id"))
-        head = F.slice(held, F.lit(1), F.lit(k) + F.size(F.array_distinct("_all")))
-        cand = F.slice(F.sort_array(F.transform(head, behind)), 1, k)
-    else:
-        cand = F.slice(held, 1, k)
-    cand = F.when(F.col("_ended"), end).otherwise(cand)
-    c = c.select("ex_id", "beam_idx", "tokens", "score", "_ended", F.posexplode(cand).alias("_i", "_c"))
-    z, token = -F.col("_c.nz"), F.col("_c.token_id")
-    new = F.concat("tokens", F.array(token))
+            own = F.size("tokens") - F.size(F.array_remove("tokens", s.token_id))
+            others = F.coalesce(F.try_element_at("_counts", s.token_id), F.lit(0)) - own
+            return F.struct((s.nz + F.lit(diversity) * others).alias("nz"), s.token_id.alias("token_id"))
+        head = F.slice(best, F.lit(1), F.lit(k) + F.size("_counts"))
+        best = F.sort_array(F.transform(head, behind))
+    c = c.withColumn("_best", F.when(~F.col("_ended"), F.slice(best, 1, k)))
+    c = c.withColumn("_lp", length_penalty(F.col("step"), LENGTH_ALPHA))
     if mode == "reference":
         # The candidate's n-grams contain all of its parent's, and the parent's
         # own set is tested, so the penalty fires exactly when the parent holds
         # an n-gram (from step 1 on; the sets start empty).
-        rep = F.when(F.lit(step > 0) & (F.size("tokens") >= NGRAM_SIZE), F.lit(REPETITION_PENALTY)).otherwise(F.lit(1.0))
-        score = (F.col("score") + z) / length_penalty(F.lit(step), LENGTH_ALPHA) * rep
+        c = c.withColumn("_rep", F.when((F.col("step") > 0) & (F.size("tokens") >= NGRAM_SIZE), F.lit(REPETITION_PENALTY))
+                         .otherwise(F.lit(1.0)))
+
+        def score(s):
+            return (F.col("score") - s.nz) / F.col("_lp") * F.col("_rep")
     else:
         # penalty only for a new repeat: the candidate's last n-gram already in the parent
-        last = F.slice(new, -NGRAM_SIZE, NGRAM_SIZE)
-        rep = F.when((F.size(new) >= NGRAM_SIZE) & F.array_contains(ngrams("tokens", NGRAM_SIZE), last),
-                     F.lit(REPETITION_PENALTY)).otherwise(F.lit(1.0))
-        score = F.col("score") + z + F.log(rep)
-    c = c.select("ex_id", F.col("beam_idx").alias("parent"), F.when(F.col("_ended"), F.lit(0)).otherwise(F.col("_i") + 1).alias("cand"),
-                 F.when(F.col("_ended"), F.col("tokens")).otherwise(new).alias("tokens"),
-                 F.when(F.col("_ended"), F.col("score")).otherwise(score).alias("score"))
-    w = Window.partitionBy("ex_id").orderBy(F.col("score").desc(), "parent", "cand")
-    return (c.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= beam_size)
-             .select("ex_id", (F.col("_r") - 1).cast("int").alias("beam_idx"), "tokens", "score"))
+        c = c.withColumns({"_pg": ngrams("tokens", NGRAM_SIZE), "_tail": F.slice("tokens", -F.least(F.size("tokens"), F.lit(NGRAM_SIZE - 1)), NGRAM_SIZE - 1)})
+
+        def score(s):
+            again = (F.size("tokens") >= NGRAM_SIZE - 1) & F.array_contains("_pg", F.concat("_tail", F.array(s.token_id)))
+            return F.col("score") - s.nz + F.when(again, F.log(F.lit(REPETITION_PENALTY))).otherwise(F.lit(0.0))
+
+    # minus score, candidate, token; an ended beam is its own candidate, without a token
+    found = F.transform("_best", lambda s, i: F.struct((-score(s)).alias("neg"), F.col("_i").alias("parent"),
+                                                       (i + 1).alias("cand"), s.token_id.alias("token")))
+    itself = F.array(F.struct((-F.col("score")).alias("neg"), F.col("_i").alias("parent"), F.lit(0).alias("cand"),
+                              F.lit(None).cast("int").alias("token")))
+    g = (c.select("ex_id", "step", F.struct("_i", "tokens", F.coalesce(found, itself).alias("cands")).alias("_r"))
+          .groupBy("ex_id").agg(F.min("step").alias("step"), F.sort_array(F.collect_list("_r")).alias("_rows")))
+    g = g.withColumn("_top", F.slice(F.sort_array(F.flatten(F.transform("_rows", lambda r: r.cands))), 1, beam_size))
+
+    def winner(w):
+        parent = F.element_at("_rows", w.parent + 1).tokens
+        return F.struct(F.when(w.token.isNull(), parent).otherwise(F.concat(parent, F.array(w.token))).alias("tokens"),
+                        (-w.neg).alias("score"))
+
+    return g.select("ex_id", F.transform("_top", winner).alias("beams"), (F.col("step") + 1).alias("step"))
+
+
+def beam_step(beams: DataFrame, scores: DataFrame, step: int, beam_size: int, temperature: float = 1.0,
+              diversity: float = 0.0, mode: str = "reference", vocab_size: int | None = None) -> DataFrame:
+    """``expand_beams`` on one row per beam: ``(ex_id, beam_idx, tokens, score)`` in and out, with a score table."""
+    succ = _maybe_broadcast(stored(successor_lists(scores, temperature), "successors"))
+    state = (beams.groupBy("ex_id").agg(F.sort_array(F.collect_list(F.struct("beam_idx", "tokens", F.col("score").cast("double").alias("score")))).alias("_b"))
+                  .select("ex_id", F.transform("_b", lambda b: F.struct(b.tokens.cast("array<int>").alias("tokens"), b.score.alias("score"))).alias("beams"),
+                          F.lit(step).alias("step")))
+    return _beam_rows(expand_beams(state, succ, beam_size, diversity, mode, vocab_size))
+
+
+def _beam_rows(state: DataFrame) -> DataFrame:
+    return state.select("ex_id", F.posexplode("beams").alias("beam_idx", "_b")).select("ex_id", "beam_idx", "_b.tokens", "_b.score")
 
 
 def candidates_per_beam(beam_size: int, vocab_size: int | None = None) -> int:
@@ -314,22 +330,21 @@ def decode_beam(sources: DataFrame, scores: DataFrame, max_len: int = SAMPLE_MAX
     """Beam search for every source; returns the best beam per ``ex_id``
     (or every final beam with ``all_beams``).  Stops early when every beam of
     every example has ended."""
-    sources = materialize(sources.select("ex_id", F.col(prefix).cast("array<int>").alias("tokens")))
+    sources = stored(sources.select("ex_id", F.col(prefix).cast("array<int>").alias("tokens")), "sources")
     keep = candidates_per_beam(beam_size, vocab_size)
     if diversity > 0:
         # no step can read further: tokens that the other beams hold
         longest = sources.agg(F.max(F.size("tokens"))).first()[0] or 0
         keep += beam_size * (longest + max_len)
-    succ = _maybe_broadcast(materialize(successor_lists(scores, temperature, keep)))
-    beams = _by_example(sources.select("ex_id", F.lit(0).alias("beam_idx"), "tokens", F.lit(0.0).alias("score")))
-    loop = _StateLoop(materialize(beams), checkpoint_every)
-    for step in range(max_len - 1):
-        n_live = loop.advance(beam_step(loop.state, succ, step, beam_size, temperature, diversity, mode, vocab_size),
-                              live=F.element_at("tokens", -1) != EOS_ID)
+    succ = _maybe_broadcast(stored(successor_lists(scores, temperature, keep), "successors"))
+    start = F.array(F.struct("tokens", F.lit(0.0).alias("score")))
+    loop = _StateLoop(sources.select("ex_id", start.alias("beams"), F.lit(0).alias("step")), checkpoint_every)
+    for _ in range(max_len - 1):
+        n_live = loop.advance(expand_beams(loop.state, succ, beam_size, diversity, mode, vocab_size),
+                              live=F.exists("beams", lambda b: F.element_at(b.tokens, -1) != EOS_ID))
         if n_live == 0:
             break
-    beams = loop.finish()
-    beams = beams.withColumn("done", F.element_at("tokens", -1) == EOS_ID)
+    beams = _beam_rows(loop.finish()).withColumn("done", F.element_at("tokens", -1) == EOS_ID)
     return beams if all_beams else beams.filter(F.col("beam_idx") == 0).drop("beam_idx")
 
 

@@ -3,10 +3,10 @@
 1. Texts are normalized (T0) and cut into words; ``groupBy(word).count()``
    shrinks the corpus to its word list, checkpointed once.
 2. Seed pieces, mined by length: what starts at a character is kept as a window of
-   at most ``max_piece_len`` characters, equal windows together.  Round L counts the
-   prefixes of length L of the windows; windows whose prefix occurs once leave, so
-   pieces of length L + 1 come only from pieces of length L that occur twice.  Pieces
-   are ranked by count × length; the top ``seed_factor × vocab_size`` are kept, plus
+   at most ``max_piece_len`` characters, equal windows together.  A round counts the
+   prefixes of the windows of 2, then 3 to 4, 5 to 8, 9 to 16 characters; windows whose
+   longest prefix of a round occurs once leave, so longer pieces come only from pieces
+   that occur twice.  Pieces are ranked by count × length; the top ``seed_factor × vocab_size`` are kept, plus
    every character needed for ``char_coverage``.
 3. EM: a prefix table of the pieces is broadcast; each partition of the word table runs
    forward-backward over the lattices of many words at once and emits per-piece
@@ -27,6 +27,7 @@ import itertools
 import logging
 import math
 import time
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -36,7 +37,7 @@ from ..constants import SPECIAL_PIECES, VOCAB_SIZE, WORD_BOUNDARY
 from ..functions.lattice import Lattice, Trie, best_path, expected_counts, in_portions
 from ..functions.normalize import normalize_nmt_nfkc
 from .ordering import hash_key, with_order_rank
-from ..session import ensure_checkpoint_dir, fits_broadcast, materialize, spread
+from ..session import count_and_fit, ensure_checkpoint_dir, materialize, spread, stored
 
 # --- Fixed values: trainer settings (public unigram trainer defaults) -------
 MAX_PIECE_LEN = 16
@@ -111,19 +112,21 @@ def windows(wc: DataFrame, max_len: int) -> DataFrame:
 
 def repeated_pieces(wc: DataFrame, max_len: int) -> DataFrame:
     """(piece, n): every stretch of 2 to ``max_len`` characters of a word that occurs twice or more, with its count."""
-    left, found = materialize(windows(wc, max_len)), None
-    for size in range(2, max_len + 1):
-        prefix = F.substring("window", 1, size)
-        left = left.filter(F.length("window") >= size)
-        level = materialize(left.groupBy(prefix.alias("piece")).agg(F.sum("freq").alias("n")).filter("n >= 2"))
-        found = level if found is None else found.unionByName(level)
-        keys = level.select(F.col("piece").alias("_p"))
-        if keys.isEmpty():
+    left, found, low = stored(windows(wc, max_len), "windows"), [], 2
+    while low <= max_len:
+        high = min(max_len, 2 * (low - 1))
+        prefixes = F.transform(F.sequence(F.lit(low), F.least(F.lit(high), F.length("window"))), lambda n: F.substring("window", F.lit(1), n))
+        left = left.filter(F.length("window") >= low)
+        level = stored(left.select(F.explode(prefixes).alias("piece"), "freq")
+                           .groupBy("piece").agg(F.sum("freq").alias("n")).filter("n >= 2"), "pieces")
+        found.append(level)
+        keys = level.filter(F.length("piece") == high).select(F.col("piece").alias("_p"))
+        n, small = count_and_fit(keys)
+        if not n:
             break
-        left = left.join(F.broadcast(keys) if fits_broadcast(keys) else keys, prefix == F.col("_p"), "left_semi")
-        if size % 4 == 0:
-            left = materialize(left)  # four rounds of lineage at most
-    return found
+        left = left.join(F.broadcast(keys) if small else keys, F.substring("window", 1, high) == F.col("_p"), "left_semi")
+        low = high + 1
+    return reduce(DataFrame.unionByName, found)
 
 
 def _seed_pieces(wc: DataFrame, n_seeds: int, max_len: int) -> dict[str, float]:

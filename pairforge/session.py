@@ -99,6 +99,16 @@ def materialize(df):
     return out
 
 
+def stored(df, name: str):
+    """Cut lineage: write a table into the shared checkpoint folder and read it back.
+
+    Computed once (a checkpoint needs a copy in memory for that); it leaves no
+    partitioning behind, which :func:`materialize` keeps."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 #: a table that every task holds may have this many bytes
 BROADCAST_BYTES = 128 << 20
 
@@ -118,12 +128,17 @@ def _bytes_of(col, t):
     return F.lit(16)
 
 
-def fits_broadcast(df, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether a table is small enough to be broadcast: its bytes are added up by a job."""
+def count_and_fit(df, limit: int = BROADCAST_BYTES) -> tuple[int, bool]:
+    """Number of rows of a table, and whether it is small enough to be broadcast: one job adds up its bytes."""
     from pyspark.sql import functions as F
 
-    rows = sum((_bytes_of(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(16)).cast("long")
-    return (df.agg(F.sum(rows)).first()[0] or 0) <= limit
+    size = sum((_bytes_of(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(16)).cast("long")
+    n, total = df.agg(F.count(F.lit(1)), F.sum(size)).first()
+    return n, (total or 0) <= limit
+
+
+def fits_broadcast(df, limit: int = BROADCAST_BYTES) -> bool:
+    return count_and_fit(df, limit)[1]
 
 
 _SHIPPED: set = set()

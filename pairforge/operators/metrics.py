@@ -4,7 +4,7 @@ aggregate, so they combine map-side whatever the grouping skew."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..constants import EVAL_TEMPERATURE, LABEL_SMOOTHING, PAD_ID, UNK_ID
 from ..functions.arrays import apply_temperature, logsumexp
@@ -56,8 +56,13 @@ def label_smoothed_ce(df: DataFrame, logits: str, y: str, group_cols=(), eps: fl
     return g.withColumn("loss", F.col("loss_sum") / F.col("n_tokens"))
 
 
-def token_stats(df: DataFrame, ids: str, group_cols, max_len: int, vocab_size: int | None = None) -> DataFrame:
-    """A2: tokens per row, truncated share, unk share (and vocabulary coverage)."""
+def token_stats(df: DataFrame, ids: str, group_cols, max_len: int, vocab_size: int | None = None,
+                percentiles=()) -> DataFrame:
+    """A2: tokens per row, truncated share, unk share (and vocabulary coverage).
+
+    ``percentiles`` adds ``p50_tokens`` and so on: the least length that so many rows
+    don't exceed.  They come from a count per length, which is added up map-side and
+    merges exactly (lengths are few, whatever the number of rows)."""
     n = F.size(ids)
     unk = F.size(F.filter(ids, lambda v: v == F.lit(UNK_ID)))
     aggs = [F.count(F.lit(1)).alias("n_rows"), F.sum(n).alias("n_tokens"),
@@ -65,6 +70,13 @@ def token_stats(df: DataFrame, ids: str, group_cols, max_len: int, vocab_size: i
             F.avg((n > F.lit(max_len)).cast("double")).alias("truncated_share"),
             (F.sum(unk) / F.sum(n)).alias("unk_share")]
     out = df.groupBy(*group_cols).agg(*aggs)
+    if percentiles:
+        lens = df.groupBy(*group_cols, n.cast("long").alias("_n")).agg(F.count(F.lit(1)).alias("_f"))
+        w = Window.partitionBy(*group_cols).orderBy("_n")
+        upto = F.sum("_f").over(w.rowsBetween(Window.unboundedPreceding, 0)) / F.sum("_f").over(Window.partitionBy(*group_cols))
+        lens = lens.withColumn("_c", upto).groupBy(*group_cols).agg(
+            *[F.min(F.when(F.col("_c") >= float(p), F.col("_n"))).alias(f"p{round(100 * p)}_tokens") for p in percentiles])
+        out = out.join(lens, list(group_cols), "left")
     if vocab_size:
         used = (df.select(*group_cols, F.explode(ids).alias("_id")).distinct()
                   .groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_used")))

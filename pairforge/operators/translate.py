@@ -9,11 +9,14 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from ..constants import BOS_ID, EOS_ID, SAMPLE_MAX_LEN
+from ..constants import BOS_ID, EOS_ID, MAX_LEN, SAMPLE_MAX_LEN
 from ..functions.arrays import right_pad
 from ..functions.text import clean_text
+from ..session import stored
 from . import tokenizer as TK
+from .decoding import init_prefix
 from .scorer import decode_with_scorer, table_scorer
+from .split import sample_one
 
 
 def source_scorer(scores: DataFrame, bonus: float = 1.0, max_rows: int = 5_000_000):
@@ -51,3 +54,22 @@ def translate(df: DataFrame, src_vocab: DataFrame, tgt_vocab: DataFrame, make_sc
     if pad_to:
         r = r.withColumn("tokens", right_pad("tokens", pad_to))
     return r.withColumnRenamed("ex_id", key)
+
+
+def sample_report(df: DataFrame, src_vocab: DataFrame, tgt_vocab: DataFrame, make_scorer, seed, strategy: str = "beam",
+                  src: str = "src", tgt: str = "tgt", key: str = "line_no", context: int = 3, max_ids: int = MAX_LEN,
+                  max_len: int = SAMPLE_MAX_LEN, **options) -> DataFrame:
+    """One reproducibly drawn row of ``df`` as text: ``key``, source, context, target and translation.
+
+    The row is drawn before anything is encoded.  The decoder gets the row's whole
+    source and starts from bos and the first ``context`` ids of the target input; an
+    empty source is an error (D0)."""
+    one = sample_one(df.select(key, src, tgt), seed, [key])
+    one = TK.encode_pairs(stored(one, "sample"), src_vocab, tgt_vocab, max_ids, src=src, tgt=tgt).withColumnRenamed(key, "ex_id")
+    one = one.withColumn("_start", F.concat(F.array(F.lit(BOS_ID)), F.slice("x_tgt", 1, context)))
+    one = stored(init_prefix(one, "x_src", "_start"), "sample")
+    r = decode_with_scorer(one, make_scorer, strategy, max_len=max_len, **options).join(one, "ex_id")
+    for ids, vocab, out in (("x_src", src_vocab, "source"), ("x_tgt", tgt_vocab, "context"), ("y", tgt_vocab, "target"),
+                            ("tokens", tgt_vocab, "translation")):
+        r = TK.decode(r, ids, vocab, out)
+    return r.select(F.col("ex_id").alias(key), "source", "context", "target", "translation")

@@ -59,22 +59,23 @@ def q_preview(spark, sf_dir):
 
 
 def q_vocab_roundtrip(spark, sf_dir):
-    """S5 + S6: the learned vocabulary written as TSV and read back."""
-    from .model_queries import document_vocab
+    """S5 + S6: a vocabulary written as TSV and read back."""
+    from .model_queries import document_seeds
     path = scratch_path(spark, "vocab_tsv")
-    FS.write_vocab(document_vocab(spark, sf_dir), path)
-    return FS.read_vocab(spark, path)
+    FS.write_vocab(document_seeds(spark, sf_dir), path)
+    return FS.read_vocab(spark, path).select("id", "piece", _round("score", "score"))
 
 
 def q_stream_encode(spark, sf_dir):
     """ST1: documents as a file stream → quit filter → cleanup → T3 → Parquet sink."""
-    from .model_queries import document_vocab
-    v = document_vocab(spark, sf_dir)
+    from .model_queries import document_seeds
+    v = document_seeds(spark, sf_dir)
     schema = table(spark, sf_dir, "documents").schema
     sdf = SJ.parquet_stream(spark, sf_dir, "documents", schema)
     enc = SJ.encode_stream(sdf, "text", lambda d: TK.encode(d, "text", v, "ids"), "doc_id")
     out = SJ.run_to_table(enc.select("doc_id", "ids"), "stream_encode")
-    return spark.read.parquet(out).select("doc_id", F.size("ids").cast("long").alias("n_ids"))
+    return spark.read.parquet(out).select("doc_id", F.size("ids").cast("long").alias("n_ids"),
+                                          F.md5(F.array_join("ids", ",")).alias("ids_md5"))
 
 
 def q_stream_epoch_metrics(spark, sf_dir):

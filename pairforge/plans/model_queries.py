@@ -11,10 +11,11 @@ from ..functions.text import clean_text
 from ..operators import decoding as D
 from ..operators import tokenizer as TK
 from ..operators.scorer import decode_with_scorer, table_scorer
-from ..operators.translate import source_scorer, translate
-from ..operators.vocab_learn import learn_vocab
+from ..operators.translate import sample_report, source_scorer, translate
+from ..operators.vocab_learn import learn_vocab, seed_vocab
 from ..session import scratch_path, spread
 from ..sources.tables import table
+from .tokenizer_sql import DOC_SEEDS, PAIR_SEEDS
 from .queries import SEED, TRAIN_FRAC, _round, cleaned_pairs, encoded_pairs
 
 _CACHE: dict = {}
@@ -39,11 +40,24 @@ def document_vocab(spark, sf_dir):
     return _cached(spark, (sf_dir, "doc_vocab"), build)
 
 
-def pair_vocab(spark, sf_dir, side):
-    """T2 on one side of the cleaned pair table, as the training setup does."""
+def document_seeds(spark, sf_dir):
+    """T2's first vocabulary (counted pieces, no EM) over all cleaned documents; SQL can state it."""
     def build():
-        return learn_vocab(cleaned_pairs(spark, sf_dir), side, VOCAB_SIZE)
-    return _cached(spark, (sf_dir, "pair_vocab", side), build)
+        d = spread(table(spark, sf_dir, "documents")).select(clean_text("text").alias("text"))
+        return seed_vocab(d, "text", DOC_SEEDS)
+    return _cached(spark, (sf_dir, "doc_seeds"), build)
+
+
+def pair_seeds(spark, sf_dir, side):
+    """The same on one side of the cleaned pair table, as the training setup has it."""
+    def build():
+        return seed_vocab(cleaned_pairs(spark, sf_dir), side, PAIR_SEEDS)
+    return _cached(spark, (sf_dir, "pair_seeds", side), build)
+
+
+def q_seed_vocab(spark, sf_dir):
+    """T2 seeds: pieces by count × length, characters by coverage, scores ln(share)."""
+    return document_seeds(spark, sf_dir).select("id", "piece", _round("score", "score"))
 
 
 def q_nmt_nfkc(spark, sf_dir):
@@ -60,38 +74,40 @@ def q_learn_vocab(spark, sf_dir):
 
 def _encoded_documents(spark, sf_dir):
     d = spread(table(spark, sf_dir, "documents").select("doc_id", clean_text("text").alias("text")))
-    return TK.encode(d, "text", document_vocab(spark, sf_dir), "ids")
+    return TK.encode(d, "text", document_seeds(spark, sf_dir), "ids")
 
 
 def q_encode_documents(spark, sf_dir):
-    """Ids per whole document, with unknown count."""
+    """Ids per whole document: their number, the unknown ones, a digest of all."""
     e = _encoded_documents(spark, sf_dir)
     return e.select("doc_id", F.size("ids").cast("long").alias("n_ids"),
-                    F.size(F.filter("ids", lambda x: x == 3)).cast("long").alias("n_unk"))
+                    F.size(F.filter("ids", lambda x: x == 3)).cast("long").alias("n_unk"),
+                    F.md5(F.array_join("ids", ",")).alias("ids_md5"))
 
 
 def q_decode_documents(spark, sf_dir):
-    """T4: decode(encode(x)) against the normalized text."""
-    v = document_vocab(spark, sf_dir)
-    e = TK.decode(_encoded_documents(spark, sf_dir), "ids", v, "back")
-    norm = F.translate(F.regexp_replace(normalize_nmt_nfkc("text"), "^▁", ""), "▁", " ")
-    return e.select("doc_id", (F.col("back") == norm).alias("same"),
+    """T4: the text of every document's ids (without unknown characters it is the normalized text)."""
+    e = TK.decode(_encoded_documents(spark, sf_dir), "ids", document_seeds(spark, sf_dir), "back")
+    return e.select("doc_id", F.length("back").cast("long").alias("n_chars"), F.md5(F.col("back").cast("binary")).alias("text_md5"),
                     (F.size(F.filter("ids", lambda x: x == 3)) > 0).alias("has_unk"))
 
 
 def q_vocab_token_stats(spark, sf_dir):
-    """A2 with the learned vocabulary: per language, ids per document, truncated
+    """A2 with a vocabulary: per language, rows, percentiles of the ids per document, truncated
     and unknown shares, and the share of the vocabulary in use."""
     from ..operators.metrics import token_stats
     d = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", clean_text("text").alias("text")))
-    e = TK.encode(d, "text", document_vocab(spark, sf_dir), "ids")
-    return token_stats(e, "ids", ["lang"], MAX_LEN, VOCAB_SIZE)
+    v = document_seeds(spark, sf_dir)
+    r = token_stats(TK.encode(d, "text", v, "ids"), "ids", ["lang"], MAX_LEN, v.count(), percentiles=(0.5, 0.9, 0.99))
+    return r.select("lang", "n_rows", "n_tokens", _round("mean_tokens", "mean_tokens"), F.col("max_tokens").cast("long").alias("max_tokens"),
+                    "p50_tokens", "p90_tokens", "p99_tokens", _round("truncated_share", "truncated_share"),
+                    _round("unk_share", "unk_share"), _round("coverage", "coverage"))
 
 
 def q_encode_pairs(spark, sf_dir):
     """Both sides encoded with their own vocabulary, then P5 / P6."""
     p = cleaned_pairs(spark, sf_dir)
-    return TK.encode_pairs(p, pair_vocab(spark, sf_dir, "src"), pair_vocab(spark, sf_dir, "tgt"), MAX_LEN)
+    return TK.encode_pairs(p, pair_seeds(spark, sf_dir, "src"), pair_seeds(spark, sf_dir, "tgt"), MAX_LEN)
 
 
 def char_scores(spark, sf_dir):
@@ -156,38 +172,35 @@ def q_decode_random(spark, sf_dir):
     return r.select("ex_id", "tokens")
 
 
+def document_bigrams(spark, sf_dir):
+    """Bigram scores over the ids of all documents."""
+    return _cached(spark, (sf_dir, "doc_bigrams"), lambda: D.bigram_scores(_encoded_documents(spark, sf_dir), "ids"))
+
+
 def q_translate(spark, sf_dir):
-    """Cleaned source text → ids → beam from [bos], the whole source scored at every step → text."""
-    v = document_vocab(spark, sf_dir)
-    scores = D.bigram_scores(_encoded_documents(spark, sf_dir), "ids")
-    r = translate(cleaned_pairs(spark, sf_dir), v, v, source_scorer(scores), "beam", clean=False,
-                  max_len=SAMPLE_MAX_LEN, beam_size=4)
+    """Cleaned source text → ids → greedy steps from [bos], the whole source scored at every step → text."""
+    v = document_seeds(spark, sf_dir)
+    r = translate(cleaned_pairs(spark, sf_dir), v, v, source_scorer(document_bigrams(spark, sf_dir)), "greedy", clean=False,
+                  max_len=SAMPLE_MAX_LEN)
     return r.select(F.col("line_no").alias("ex_id"), "translation")
 
 
 def q_sample_report(spark, sf_dir):
     """One sampled validation row: source, context, target and translation text."""
-    from ..operators.split import exact_split, sample_one
-    v = document_vocab(spark, sf_dir)
-    p = TK.encode(TK.encode(cleaned_pairs(spark, sf_dir), "src", v, "s"), "tgt", v, "t")
-    x_tgt, y = A.teacher_forcing("t", MAX_LEN)
-    p = p.select("line_no", A.truncate_with_eos("s", MAX_LEN).alias("x_src"), x_tgt.alias("x_tgt"), y.alias("y"))
-    val = exact_split(p, TRAIN_FRAC, SEED, ["line_no"]).filter(~F.col("is_train"))
-    one = sample_one(val, 7, ["line_no"])
-    s = one.select(F.col("line_no").alias("ex_id"), "x_src", "x_tgt", "y",
-                   F.concat(F.array(F.lit(BOS_ID)), F.slice("x_tgt", 1, 3)).alias("prefix"))
-    scores = D.bigram_scores(_encoded_documents(spark, sf_dir), "ids")
-    r = D.decode_beam(s, scores, SAMPLE_MAX_LEN, SAMPLE_BEAM, 1.0, SAMPLE_DIVERSITY)
-    r = r.join(s.drop("prefix"), "ex_id")
-    r = TK.decode(TK.decode(TK.decode(TK.decode(r, "x_src", v, "source"), "x_tgt", v, "context"), "y", v, "target"),
-                  "tokens", v, "translation")
-    return r.select("ex_id", "source", "context", "target", "translation")
+    from ..operators.split import exact_split
+    v = document_seeds(spark, sf_dir)
+    p = cleaned_pairs(spark, sf_dir)
+    flags = exact_split(p.select("line_no"), TRAIN_FRAC, SEED, ["line_no"])
+    val = p.join(flags.filter(~F.col("is_train")).select("line_no"), "line_no")
+    r = sample_report(val, v, v, source_scorer(document_bigrams(spark, sf_dir)), 7, "greedy", max_len=SAMPLE_MAX_LEN)
+    return r.withColumnRenamed("line_no", "ex_id")
 
 
 REGISTRY = {
     "nmt_nfkc": q_nmt_nfkc,
     "vocab_token_stats": q_vocab_token_stats,
     "learn_vocab": q_learn_vocab,
+    "seed_vocab": q_seed_vocab,
     "encode_documents": q_encode_documents,
     "decode_documents": q_decode_documents,
     "encode_pairs": q_encode_pairs,
@@ -220,7 +233,7 @@ def q_prediction_bleu(spark, sf_dir):
     e = q_encode_pairs(spark, sf_dir).withColumnRenamed("line_no", "ex_id")
     scores = D.bigram_scores(e, "y")
     p = teacher_forced_predictions(e, scores, "x_tgt", "ex_id")
-    r = evaluate_predictions(p, "pred", "y", pair_vocab(spark, sf_dir, "tgt"), "ex_id")
+    r = evaluate_predictions(p, "pred", "y", pair_seeds(spark, sf_dir, "tgt"), "ex_id")
     return r.select("correct", "counted", _round("accuracy", "accuracy"), _round("mean_bleu", "mean_bleu"))
 
 

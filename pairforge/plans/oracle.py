@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..constants import NA_STRINGS
+from . import tokenizer_sql
 from .sqlfrag import (CLEAN_PAIRS, EVENTS_LOG, PAIRS, WS, bleu_ctes, char_ids, clean, hash_key,
                       ngram_list, pad_to, teacher, truncate_eos, words)
 
@@ -301,6 +302,6 @@ def _evaluation_sql() -> dict[str, str]:
 def registry() -> dict[str, str]:
     """All oracle statements by query name."""
     q = {}
-    for part in (_pair_sql, _corpus_sql, _decoding_sql, _io_sql, _evaluation_sql):
+    for part in (_pair_sql, _corpus_sql, _decoding_sql, _io_sql, _evaluation_sql, tokenizer_sql.registry):
         q.update(part())
     return q

@@ -212,7 +212,7 @@ def decode_random(sources: DataFrame, scores: DataFrame, max_len: int = SAMPLE_M
     drawing until all rows draw eos in the same step, or ``max_len`` tokens."""
     if mode not in ("per_row", "reference"):
         raise ValueError(f"unknown mode {mode}")
-    tops, blocks = draw_tables(scores, top_n, temperature)
+    tops, blocks = draw_tables(scores, top_n, temperature, DRAW_BLOCK)
     tops, blocks = (_maybe_broadcast(d.withColumnRenamed("prev_id", "_p")) for d in (tops, blocks))
     st = sources.select("ex_id", F.col(prefix).cast("array<int>").alias(out), F.lit(False).alias("_done"), F.lit(0).alias("_step"))
     # the common stop of the reference has to be looked for after every step

@@ -14,6 +14,7 @@ from .bleu import mean_bleu, sentence_bleu
 from .decoding import _maybe_broadcast, best_next
 from .metrics import token_accuracy
 from .tokenizer import collect_vocab, decode_col, surface_array
+from ..functions.arrays import strip_pad
 from ..functions.text import words
 
 
@@ -42,13 +43,13 @@ def sequence_bleu(df: DataFrame, pred: str, y: str, vocab: DataFrame, key: str =
     ``"label"`` drops positions whose label is padding."""
     surf = surface_array(collect_vocab(vocab))
     if hyp_mask == "pred":
-        hyp_ids = F.filter(pred, lambda v: v != F.lit(pad))
+        hyp_ids = strip_pad(pred, pad)
     elif hyp_mask == "label":
         hyp_ids = F.transform(F.filter(F.arrays_zip(F.col(pred).alias("p"), F.col(y).alias("y")),
                                        lambda s: s["y"] != F.lit(pad)), lambda s: s["p"])
     else:
         raise ValueError(f"unknown hyp_mask {hyp_mask}")
-    ref_ids = F.filter(y, lambda v: v != F.lit(pad))
+    ref_ids = strip_pad(y, pad)
     d = df.select(key, words(decode_col(hyp_ids, surf)).alias("_h"), words(decode_col(ref_ids, surf)).alias("_r"))
     return sentence_bleu(d, "_r", "_h", [key])
 

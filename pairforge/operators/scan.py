@@ -1,29 +1,52 @@
 """Running aggregates per group that do not gather a hot group in one task.
 
 A running max/sum over ``order_col`` inside ``part_cols`` is computed in
-blocks of ``order_col`` values: each (group, block) is scanned on its own,
-block totals are scanned per group (a table ``width`` times smaller), and
-the two are combined.  A group holding a third of all rows is thus spread
-over many tasks.
+blocks of about equally many rows: block limits are quantiles of each group's
+``order_col`` values, so sparse and dense stretches are cut alike.  Each (group,
+block) is scanned on its own, block totals are scanned per group (at most
+``MAX_BLOCKS`` rows), and the two are combined.  A group holding a third of all
+rows is thus spread over many tasks.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..functions.arrays import first_above
+from ..session import fits_broadcast, stored
+
 _COMBINE = {"max": F.greatest, "sum": lambda a, b: a + b}
 _AGG = {"max": F.max, "sum": F.sum}
 
 
-def running_many(df: DataFrame, part_cols, order_col: str, specs, width: int = 1024) -> DataFrame:
+#: rows of a block, about; most blocks of a group
+DEPTH, MAX_BLOCKS = 100_000, 4096
+
+
+def with_blocks(df: DataFrame, part_cols, order_col: str, depth: int = DEPTH, out: str = "_blk") -> DataFrame:
+    """Number the rows' blocks: contiguous in ``order_col``, of about ``depth`` rows of a group each.
+
+    Quantiles come from a mergeable sketch; that they are approximate changes the
+    size of blocks only."""
+    largest = df.groupBy(*part_cols).count().agg(F.max("count")).first()[0] or 0
+    n = min(MAX_BLOCKS, -(-largest // depth))
+    if n <= 1:
+        return df.withColumn(out, F.lit(0))
+    at = F.array(*[F.lit(k / n) for k in range(1, n)])
+    limits = stored(df.groupBy(*part_cols).agg(F.percentile_approx(order_col, at).alias("_limits")), "block-limits")
+    limits = F.broadcast(limits) if fits_broadcast(limits) else limits
+    return df.join(limits, list(part_cols)).withColumn(out, first_above("_limits", order_col, n)).drop("_limits")
+
+
+def running_many(df: DataFrame, part_cols, order_col: str, specs, depth: int = DEPTH) -> DataFrame:
     """Several running aggregates in one blocked pass (one set of shuffles).
 
     ``specs`` are ``(value, out, fn, inclusive)``: ``out`` = fn(value) over rows
     of the same group with a smaller (``inclusive``: or equal) ``order_col``.
-    ``order_col`` must be unique within a group and integral.  An empty prefix
+    ``order_col`` must be unique within a group, a number and not null.  An empty prefix
     gives null (sum: 0)."""
     part_cols = list(part_cols)
-    d = df.withColumn("_blk", F.floor(F.col(order_col) / F.lit(width)).cast("long"))
+    d = with_blocks(df, part_cols, order_col, depth)
     win = Window.partitionBy(*part_cols, "_blk").orderBy(order_col)
     bw = Window.partitionBy(*part_cols).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     block_aggs, outs = [], []
@@ -52,13 +75,13 @@ def running_many(df: DataFrame, part_cols, order_col: str, specs, width: int = 1
 
 
 def running(df: DataFrame, part_cols, order_col: str, value, out: str, fn: str = "max",
-            inclusive: bool = False, width: int = 1024) -> DataFrame:
+            inclusive: bool = False, depth: int = DEPTH) -> DataFrame:
     """One running aggregate; see :func:`running_many`."""
-    return running_many(df, part_cols, order_col, [(value, out, fn, inclusive)], width)
+    return running_many(df, part_cols, order_col, [(value, out, fn, inclusive)], depth)
 
 
 def group_row_number(df: DataFrame, part_cols, order_col: str, out: str,
-                     width: int = 1024) -> DataFrame:
+                     depth: int = DEPTH) -> DataFrame:
     """1-based position of a row inside its group by ``order_col`` (unique)."""
     return running(df, part_cols, order_col, F.lit(1).cast("long"), out, "sum",
-                   inclusive=True, width=width)
+                   inclusive=True, depth=depth)

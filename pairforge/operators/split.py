@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from .ordering import bucket_offsets, hash_bucket, hash_key
+from .ordering import hash_key
 
 
 def split_size(n: int, frac: float) -> int:
@@ -12,26 +12,43 @@ def split_size(n: int, frac: float) -> int:
     return int(round(float(frac) * n))
 
 
+def hash_cut(df: DataFrame, k: int | None, frac: float, hash_col: str, digits: int = 4) -> str:
+    """The hash text below which exactly ``k`` (or ``round(frac·N)``) rows lie, by radix selection.
+
+    Each round counts the rows of one prefix by their next ``digits`` hex digits (at
+    most 16^digits numbers) and goes on inside the one bucket that straddles the cut."""
+    prefix, h = "", F.col(hash_col)
+    while True:
+        inside = df.filter(h.startswith(prefix)) if prefix else df
+        counts = inside.groupBy(F.substring(h, len(prefix) + 1, digits).alias("d")).count().collect()
+        counts = sorted((r[0], r[1]) for r in counts)
+        if not prefix:
+            n = sum(c for _, c in counts)
+            k = split_size(n, frac) if k is None else k
+            if k >= n:
+                return "g"  # above every hex digit
+        if prefix and counts[0][0] == "":
+            raise ValueError("key columns must be unique per row")
+        for d, c in counts:
+            if k == 0:
+                return prefix + d
+            if c > k:
+                prefix += d
+                break
+            k -= c
+        else:
+            raise AssertionError("the cut lies in the prefix")
+
+
 def exact_split(df: DataFrame, frac: float, seed, key_cols, out: str = "is_train",
                 digits: int = 4) -> DataFrame:
-    """Exactly ``round(frac·N)`` rows get ``out = true``, chosen by md5 order.
+    """Exactly ``round(frac·N)`` rows get ``out = true``, chosen by md5 order of their (unique) keys.
 
-    Rows are bucketed by a hash prefix (≤ 16^digits buckets, uniform by
-    construction, so no bucket can be hot).  Whole buckets left of the cut
-    are train, right of it validation; only the one bucket that straddles
-    the cut is ranked.
-    """
-    key_cols = list(key_cols)
-    d = df.withColumn("_h", hash_key(seed, *key_cols))
-    offsets, n = bucket_offsets(d, hash_bucket("_h", digits))
-    k = split_size(n, frac)
-    d = d.withColumn("_b", hash_bucket("_h", digits)).join(F.broadcast(offsets), "_b")
-    end = F.col("_off") + F.col("_cnt")
-    whole = d.filter((end <= k) | (F.col("_off") >= k)).withColumn(out, end <= k)
-    w = Window.partitionBy("_b").orderBy("_h", *key_cols)
-    edge = (d.filter((F.col("_off") < k) & (end > k))
-             .withColumn(out, (F.col("_off") + F.row_number().over(w) - 1) < k))
-    return whole.unionByName(edge).drop("_h", "_b", "_off", "_cnt")
+    The cut is found by counting hash prefixes; the flag is then one comparison per row:
+    nothing is ranked, joined or shuffled with the rows."""
+    h = hash_key(seed, *list(key_cols))
+    cut = hash_cut(df.select(h.alias("_h")), None, frac, "_h", digits)
+    return df.withColumn(out, h < F.lit(cut))
 
 
 def train_rows(split_df: DataFrame, flag: str = "is_train") -> DataFrame:

@@ -134,13 +134,53 @@ def q_decode_greedy(spark, sf_dir):
     return r.select("ex_id", "tokens")
 
 
+def _with_eos_successors(scores, rows):
+    """Logits of what may follow eos, so that an ended row can go on (the corpus has no such pairs)."""
+    spark = scores.sparkSession
+    return scores.unionByName(spark.createDataFrame(rows, "prev_id int, token_id int, logit double"))
+
+
 def q_decode_greedy_reference(spark, sf_dir):
-    """D1, reference mode: rows continue until all rows ended (eos padding)."""
-    r = D.decode_greedy(decode_sources(spark, sf_dir), char_scores(spark, sf_dir), SAMPLE_MAX_LEN,
-                        mode="reference")
+    """D1, reference mode: rows go on, ended ones by what follows eos, until all emit eos in one step."""
+    sc = _with_eos_successors(char_scores(spark, sf_dir), [(2, 101, -1.0), (2, 2, -2.0)])
+    r = D.decode_greedy(decode_sources(spark, sf_dir), sc, SAMPLE_MAX_LEN, mode="reference")
+    return r.select("ex_id", "tokens")
+
+
+def q_decode_random_reference(spark, sf_dir):
+    """D2, reference mode: rows go on drawing until all draw eos in one step (≤ 12 tokens)."""
+    sc = _with_eos_successors(char_scores(spark, sf_dir), [(2, 2, 0.0), (2, 101, -1.0)])
+    r = D.decode_random(decode_sources(spark, sf_dir), sc, 12, seed=SEED, mode="reference")
     return r.select("ex_id", "tokens")
 
 
+def q_decode_strategies(spark, sf_dir):
+    """D0 + D7: prefixes checked, then every strategy by its name."""
+    s = D.init_prefix(decode_sources(spark, sf_dir), "x_src", "prefix")
+    sc = char_scores(spark, sf_dir)
+    options = {"greedy": {}, "random": {"top_n": 5, "seed": SEED}, "beam": {"beam_size": SAMPLE_BEAM, "diversity": SAMPLE_DIVERSITY}}
+    parts = [D.decode(s, sc, k, max_len=SAMPLE_MAX_LEN, **o).select(F.lit(k).alias("strategy"), "ex_id", "tokens") for k, o in options.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_decode_padded(spark, sf_dir):
+    """Greedy results padded to the longest of them."""
+    r = D.decode(decode_sources(spark, sf_dir), char_scores(spark, sf_dir), "greedy", max_len=SAMPLE_MAX_LEN)
+    return D.pad_outputs(r.select("ex_id", "tokens"))
+
+
+def q_decode_beam_coarse(spark, sf_dir):
+    """D4 over few kinds of token (code point modulo 7): the vocabulary bounds the candidates of a beam."""
+    def coarse(ids):
+        return F.transform(ids, lambda x: F.when(x > 2, (3 + x % 7).cast("int")).otherwise(x))
+    d = spread(table(spark, sf_dir, "documents")).select(coarse(A.char_ids(clean_text("text"))).alias("ids"))
+    sc = D.bigram_scores(d, "ids")
+    s = decode_sources(spark, sf_dir).withColumn("prefix", coarse(F.col("prefix")))
+    size = sc.select("token_id").distinct().count()
+    r = D.decode_beam(s, sc, 5, SAMPLE_BEAM, 1.0, SAMPLE_DIVERSITY, vocab_size=size)
+    return r.select("ex_id", "tokens", _round("score", "score"), "done")
+
+
 def q_decode_greedy_scorer(spark, sf_dir):
     """Greedy decoding with a batch scorer run by mapInPandas."""
     sc = table_scorer(char_scores(spark, sf_dir))
@@ -207,6 +247,10 @@ REGISTRY = {
     "bigram_scores": q_bigram_scores,
     "decode_greedy": q_decode_greedy,
     "decode_greedy_reference": q_decode_greedy_reference,
+    "decode_random_reference": q_decode_random_reference,
+    "decode_strategies": q_decode_strategies,
+    "decode_padded": q_decode_padded,
+    "decode_beam_coarse": q_decode_beam_coarse,
     "decode_greedy_scorer": q_decode_greedy_scorer,
     "beam_two_steps": q_beam_two_steps,
     "decode_beam": q_decode_beam,

@@ -124,11 +124,13 @@ def _corpus_sql() -> dict[str, str]:
         "min(CASE WHEN check_no - last_best >= 2 THEN step END) AS stop_step, max(value) AS best_value, "
         "count(*) AS n_checks FROM i GROUP BY run_id")
     q["sample_cadence"] = f"WITH {EVENTS_LOG} SELECT run_id, step, name FROM mlog WHERE step % 50 = 0"
-    holed = (f"WITH {PAIRS}, holed AS (SELECT line_no, CASE WHEN line_no % 7 <> 0 THEN src END AS src, "
-             "CASE WHEN line_no % 11 = 0 THEN 'NA' ELSE tgt END AS tgt FROM pairs)")
+    holed = (f"WITH {PAIRS}, np AS (SELECT count(*) AS n FROM pairs), holed AS (SELECT line_no, src, tgt FROM pairs "
+             "UNION ALL SELECT line_no + n, NULL, tgt FROM pairs, np WHERE line_no % 7 = 0 "
+             "UNION ALL SELECT line_no + 2 * n, src, 'NA' FROM pairs, np WHERE line_no % 11 = 0)")
     q["corpus_lines"] = (
-        f"{holed} SELECT CAST(floor(line_no / 3) AS BIGINT) AS group_id, "
-        "string_agg(coalesce(src, 'nan'), chr(9) ORDER BY line_no) AS line FROM holed GROUP BY 1")
+        f"{holed}, placed AS (SELECT src, row_number() OVER (ORDER BY line_no) - 1 AS pos FROM holed) "
+        "SELECT CAST(floor(pos / 3) AS BIGINT) AS group_id, "
+        "string_agg(coalesce(src, 'nan'), chr(9) ORDER BY pos) AS line FROM placed GROUP BY 1")
     na = ", ".join("'" + x.replace("'", "''") + "'" for x in NA_STRINGS)
     q["missing_pairs"] = (f"{holed} SELECT src, tgt FROM holed WHERE src IS NOT NULL AND tgt IS NOT NULL "
                           f"AND src NOT IN ({na}) AND tgt NOT IN ({na})")
@@ -187,7 +189,7 @@ greedy AS (SELECT ex_id, arg_max(seq, step) AS tokens, arg_max(seq, step)[len(an
            FROM walk GROUP BY ex_id)"""
 
 
-def _beam_round(prev: str, step: int, name: str) -> str:
+def _beam_round(prev: str, step: int, name: str, k: int = 16, table: str = "scores") -> str:
     lp = f"(pow(6.0 + {step}, 0.6) / pow(6.0, 0.6))"
     live = f"{prev}" if step == 0 else f"(SELECT * FROM {prev} WHERE tokens[-1] <> 2)"
     div = ""
@@ -207,13 +209,13 @@ def _beam_round(prev: str, step: int, name: str) -> str:
         f" UNION ALL SELECT ex_id, beam_idx AS parent, 0 AS cand, tokens, score FROM {prev} WHERE tokens[-1] = 2")
     return f"""{div}
 {name}_s AS (SELECT b.*, coalesce(s.token_id, 2) AS token_id, coalesce(s.logit, 0.0) AS logit
-             FROM {live} b LEFT JOIN scores s ON s.prev_id = b.tokens[-1]),
+             FROM {live} b LEFT JOIN {table} s ON s.prev_id = b.tokens[-1]),
 {name}_c AS (SELECT b.ex_id, b.beam_idx AS parent, b.token_id, {zexpr} AS z, b.score, b.tokens
              FROM {name}_s b{joins}),
 {name}_r AS (SELECT *, row_number() OVER (PARTITION BY ex_id, parent ORDER BY z DESC, token_id) AS cand
              FROM {name}_c),
 {name}_k AS (SELECT ex_id, parent, cand, tokens, list_append(tokens, token_id) AS nt, score, z
-             FROM {name}_r WHERE cand <= 16),
+             FROM {name}_r WHERE cand <= {k}),
 {name}_u AS (SELECT ex_id, parent, cand, nt AS tokens, (score + z) / {lp} * {rep} AS score FROM {name}_k{carried}),
 {name} AS (SELECT ex_id, row_number() OVER (PARTITION BY ex_id ORDER BY score DESC, parent, cand) - 1 AS beam_idx,
               tokens, score FROM {name}_u QUALIFY beam_idx < 8)"""
@@ -224,11 +226,16 @@ def _decoding_sql() -> dict[str, str]:
     q["bigram_scores"] = f"WITH {_SCORES} SELECT prev_id, token_id, round(logit, 6) AS logit FROM scores"
     q["decode_greedy"] = f"WITH RECURSIVE {_SCORES}, {_SOURCES}, {_GREEDY} SELECT ex_id, tokens FROM greedy"
     q["decode_greedy_scorer"] = q["decode_greedy"]
-    q["decode_greedy_reference"] = (
-        f"WITH RECURSIVE {_SCORES}, {_SOURCES}, {_GREEDY}, "
-        "g2 AS (SELECT g.ex_id, g.tokens, len(g.tokens) - len(d.prefix) AS k FROM greedy g JOIN dsrc d USING (ex_id)), "
-        "m AS (SELECT max(k) AS mk FROM g2) "
-        "SELECT ex_id, list_concat(tokens, list_transform(range(greatest(mk - k, 0)), lambda i: 2)) AS tokens FROM g2, m")
+    q["decode_greedy_reference"] = f"""WITH RECURSIVE {_SCORES}, {_SOURCES},
+ended AS (SELECT prev_id, token_id, logit FROM scores UNION ALL SELECT 2, 101, -1.0 UNION ALL SELECT 2, 2, -2.0),
+nxt AS (SELECT prev_id, first(token_id ORDER BY logit DESC, token_id) AS next_id FROM ended GROUP BY prev_id),
+walk(ex_id, step, seq, nx) AS (
+  SELECT ex_id, 0, prefix, 0 FROM dsrc
+  UNION ALL
+  SELECT w.ex_id, w.step + 1, list_append(w.seq, coalesce(n.next_id, 2)), coalesce(n.next_id, 2)
+  FROM walk w LEFT JOIN nxt n ON n.prev_id = w.seq[-1] WHERE w.step < 30),
+stop AS (SELECT coalesce((SELECT min(step) FROM (SELECT step FROM walk WHERE step > 0 GROUP BY step HAVING min(CASE WHEN nx = 2 THEN 1 ELSE 0 END) = 1)), 30) AS s)
+SELECT ex_id, seq AS tokens FROM walk, stop WHERE step = s"""
     q["decode_random"] = f"""WITH RECURSIVE {_SCORES}, {_SOURCES},
 top AS (SELECT prev_id, token_id, logit FROM scores QUALIFY rank() OVER (PARTITION BY prev_id ORDER BY logit DESC) <= 5),
 wt AS (SELECT prev_id, token_id, logit, exp(logit - max(logit) OVER (PARTITION BY prev_id)) AS w FROM top),
@@ -253,6 +260,29 @@ SELECT ex_id, seq AS tokens FROM rnd WHERE done OR step = 30"""
     best = "FROM b29 WHERE beam_idx = 0"
     q["decode_beam"] = f"{text} SELECT ex_id, tokens, round(score, 6) AS score, tokens[-1] = 2 AS done {best}"
     q["decode_beam_scorer"] = f"{text} SELECT ex_id, tokens {best}"
+    q["decode_padded"] = (f"WITH RECURSIVE {_SCORES}, {_SOURCES}, {_GREEDY}, m AS (SELECT max(len(tokens)) AS w FROM greedy) "
+                          f"SELECT ex_id, {pad_to('tokens', 'w')} AS tokens FROM greedy, m")
+    q["decode_strategies"] = (f"SELECT 'greedy' AS strategy, ex_id, tokens FROM ({q['decode_greedy']}) UNION ALL "
+                              f"SELECT 'random', ex_id, tokens FROM ({q['decode_random']}) UNION ALL SELECT 'beam', ex_id, tokens FROM ({q['decode_beam_scorer']})")
+    # seven kinds of token: the vocabulary is smaller than twice the beam
+    coarse = _SCORES.replace(f"{char_ids(clean('text'))} AS ids", f"list_transform({char_ids(clean('text'))}, lambda x: CAST(3 + x % 7 AS INTEGER)) AS ids")
+    csrc = _SOURCES.replace("x_tgt[1:3]", "list_transform(x_tgt[1:3], lambda x: CASE WHEN x > 2 THEN CAST(3 + x % 7 AS INTEGER) ELSE x END)")
+    few = ", ".join(_beam_round(f"b{k}", k, f"b{k + 1}", 7) for k in range(4))
+    q["decode_beam_coarse"] = f"WITH {coarse}, {csrc}, {init}, {few} SELECT ex_id, tokens, round(score, 6) AS score, tokens[-1] = 2 AS done FROM b4 WHERE beam_idx = 0"
+    q["decode_random_reference"] = f"""WITH RECURSIVE {_SCORES}, {_SOURCES},
+ended AS (SELECT prev_id, token_id, logit FROM scores UNION ALL SELECT 2, 2, 0.0 UNION ALL SELECT 2, 101, -1.0),
+wt AS (SELECT prev_id, token_id, logit, exp(logit - max(logit) OVER (PARTITION BY prev_id)) AS w FROM ended),
+cum AS (SELECT prev_id, token_id, sum(w) OVER (PARTITION BY prev_id ORDER BY logit DESC, token_id ROWS UNBOUNDED PRECEDING) AS c FROM wt),
+cl AS (SELECT prev_id, list({{'c': c, 't': token_id}} ORDER BY c, token_id) AS cand, max(c) AS total FROM cum GROUP BY prev_id),
+rnd(ex_id, step, seq, nx) AS (
+  SELECT ex_id, 0, prefix, 0 FROM dsrc
+  UNION ALL
+  SELECT ex_id, step + 1, list_append(seq, nx), nx FROM (
+    SELECT w.ex_id, w.step, w.seq, coalesce(list_filter(c.cand, lambda x: x.c >
+        (CAST('0x' || substr(md5('42:' || w.ex_id || ':' || w.step), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0 * c.total)[1].t, 2) AS nx
+    FROM rnd w LEFT JOIN cl c ON c.prev_id = w.seq[-1] WHERE w.step < 12)),
+stop AS (SELECT coalesce((SELECT min(step) FROM (SELECT step FROM rnd WHERE step > 0 GROUP BY step HAVING min(CASE WHEN nx = 2 THEN 1 ELSE 0 END) = 1)), 12) AS s)
+SELECT ex_id, seq AS tokens FROM rnd, stop WHERE step = s"""
     return q
 
 

@@ -222,16 +222,18 @@ def q_sample_cadence(spark, sf_dir):
 
 
 def q_corpus_lines(spark, sf_dir):
-    """Three consecutive raw source texts per line, TAB-joined, null → nan (every seventh text is made null)."""
+    """Three consecutive raw source texts per line, TAB-joined, null → nan."""
     p = B.file_order_rank(_holed_pairs(spark, sf_dir), "line_no", "pos")
     return tokenizer_corpus(p, "src", 3, "pos")
 
 
 def _holed_pairs(spark, sf_dir):
-    """The pair table with missing values: ``src`` null at line numbers divisible by 7, ``tgt`` "NA" at those divisible by 11."""
+    """The whole pair table, and behind it rows with missing values: every seventh pair once more without
+    ``src``, every eleventh once more with "NA" as ``tgt``."""
     p = conversation_pairs(spark, sf_dir)
-    return p.withColumns({"src": F.when(F.col("line_no") % 7 != 0, F.col("src")),
-                          "tgt": F.when(F.col("line_no") % 11 == 0, F.lit("NA")).otherwise(F.col("tgt"))})
+    n = p.count()
+    return (p.unionByName(p.filter("line_no % 7 = 0").withColumns({"src": F.lit(None).cast("string"), "line_no": F.col("line_no") + n}))
+             .unionByName(p.filter("line_no % 11 = 0").withColumns({"tgt": F.lit("NA"), "line_no": F.col("line_no") + 2 * n})))
 
 
 def q_missing_pairs(spark, sf_dir):

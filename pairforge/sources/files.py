@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..constants import NA_STRINGS  # noqa: F401  (documented NA set used by na_to_null)
 from ..functions.text import na_to_null, stringify_nulls, strip_text
 from ..operators.ordering import with_line_no
+from ..session import stored
 
 
 def read_lines(spark: SparkSession, path: str, col: str = "value") -> DataFrame:
@@ -21,10 +22,12 @@ def read_aligned_text(spark: SparkSession, src_path: str, tgt_path: str, strip:
     builder does."""
     s = read_lines(spark, src_path, "src")
     t = read_lines(spark, tgt_path, "tgt")
-    ns, nt = s.count(), t.count()
-    if ns != nt:
+    # both numberings are gapless, so the sides have equal counts exactly if no line is alone
+    p = stored(s.join(t.withColumn("_t", F.lit(True)), "line_no", "full")
+                .select("line_no", "src", "tgt", F.col("_t").isNotNull().alias("_t"), F.col("src").isNotNull().alias("_s")), "aligned")
+    if not p.filter(~F.col("_s") | ~F.col("_t")).isEmpty():
+        ns, nt = p.agg(F.count_if("_s"), F.count_if("_t")).first()
         raise ValueError(f"line counts differ: {ns} vs {nt}")
-    p = s.join(t, "line_no")
     if strip:
         p = p.select("line_no", strip_text("src").alias("src"), strip_text("tgt").alias("tgt"))
     return p.select("line_no", "src", "tgt")

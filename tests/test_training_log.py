@@ -26,7 +26,7 @@ def test_blocked_running_max_on_hot_group(spark):
     rnd = random.Random(0)
     rows = [(0 if i % 3 else rnd.randint(1, 4), i, rnd.random()) for i in range(3000)]
     df = spark.createDataFrame(rows, "g long, step long, v double")
-    got = {(r.g, r.step): r.m for r in running(df, ["g"], "step", "v", "m", "max", width=64).collect()}
+    got = {(r.g, r.step): r.m for r in running(df, ["g"], "step", "v", "m", "max", depth=64).collect()}
     best = {}
     for g, s, v in sorted(rows, key=lambda x: x[1]):
         assert got[(g, s)] == best.get(g)

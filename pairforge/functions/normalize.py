@@ -1,13 +1,19 @@
-"""nmt_nfkc text normalization (T0) as an Arrow-batched pandas UDF.
+"""nmt_nfkc text normalization (T0): a longest-match rewriting of character sequences.
 
-Spark has no Unicode normalization builtin, so this is one of the few
-Python steps; it runs vectorized per Arrow batch on the executors.
+The rule table is read from left to right; at each place the longest sequence that is
+a key is replaced, and what was written is never read again.  Keys are single
+characters and the full decompositions of composed characters, so marks are neither
+reordered nor joined to a character that is composed already.
+
+ASCII rows are done by Spark's own functions; only other rows reach the
+Arrow-batched Python step (Spark has no Unicode normalization builtin).
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
@@ -25,22 +31,75 @@ NMT_SPACE = [0x0009, 0x000A, 0x000C, 0x000D, 0x061C, 0x1680, 0x200B, 0x200C, 0x2
              0x200F, 0x2028, 0x2029, 0x2581, 0xFEFF, 0xFFFD]
 # Code points left as they are (NFKC would change them).
 NMT_KEEP = [0xFF5E]
+# Characters that the Unicode data of older Python versions doesn't hold: first code point, what it and the next ones become.
+NEWER = [(0xA7F1, "S"), (0x1CCD6, "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), (0x1CCF0, "0123456789")]
 
-_TABLE = {cp: None for cp in NMT_REMOVE}
-_TABLE.update({cp: " " for cp in NMT_SPACE})
-_KEEP_RE = re.compile("([" + "".join(chr(c) for c in NMT_KEEP) + "])")
 _SPACES = re.compile(" +")
 
 
+class _Singles(dict):
+    """What a code point becomes; filled as code points are met."""
+
+    def __missing__(self, cp: int) -> str:
+        self[cp] = out = unicodedata.normalize("NFKC", chr(cp))
+        return out
+
+
+_SINGLES = _Singles({cp: "" for cp in NMT_REMOVE} | {cp: " " for cp in NMT_SPACE} | {cp: chr(cp) for cp in NMT_KEEP}
+                    | {first + k: c for first, chars in NEWER for k, c in enumerate(chars)})
+
+
+@lru_cache(maxsize=1)
+def sequence_rules() -> tuple[dict[str, str], int, re.Pattern]:
+    """(decomposition -> composed text, longest key, pattern of characters that stand second or later in a key).
+
+    A rule whose result the shorter rules give as well is none."""
+    found = {}
+    for cp in range(0x80, 0x30000):
+        c = chr(cp)
+        if unicodedata.decomposition(c) or 0xAC00 <= cp <= 0xD7A3:
+            parts = unicodedata.normalize("NFKD", c)
+            if len(parts) > 1:
+                found[parts] = unicodedata.normalize("NFKC", c)
+    rules: dict[str, str] = {}
+    for key in sorted(found, key=len):
+        if _rewritten(key, rules, len(key) - 1) != found[key]:
+            rules[key] = found[key]
+    later = sorted({c for key in rules for c in key[1:]})
+    # other characters that stand for these
+    same = [chr(cp) for cp in range(0x80, 0x30000) if len(d := unicodedata.normalize("NFKD", chr(cp))) == 1 and d in set(later)]
+    return rules, max(map(len, rules)), re.compile("[" + "".join(map(re.escape, {*later, *same})) + "]")
+
+
+def _rewritten(text: str, rules: dict[str, str], longest: int) -> str:
+    # a character counts in a sequence as the one that it is decomposed to
+    plain = [unicodedata.normalize("NFKD", c) for c in text]
+    out, i, n = [], 0, len(text)
+    while i < n:
+        for size in range(min(longest, n - i), 1, -1):
+            if all(len(p) == 1 for p in plain[i: i + size]) and (new := rules.get("".join(plain[i: i + size]))) is not None:
+                out.append(new)
+                i += size
+                break
+        else:
+            out.append(_SINGLES[ord(text[i])])
+            i += 1
+    return "".join(out)
+
+
+def rewrite(text: str) -> str:
+    """The rule table alone, without the treatment of spaces."""
+    rules, longest, later = sequence_rules()
+    if later.search(text):
+        return _rewritten(text, rules, longest)
+    return text.translate(_SINGLES)
+
+
 def nmt_nfkc(text: str | None, add_prefix: bool = True) -> str | None:
-    """Normalize one string: rule table, NFKC, collapse/trim spaces, ``▁`` for spaces."""
+    """Normalize one string: rule table, collapse/trim spaces, ``▁`` for spaces."""
     if text is None:
         return None
-    t = text.translate(_TABLE)
-    parts = _KEEP_RE.split(t)
-    t = "".join(p if _KEEP_RE.fullmatch(p) else unicodedata.normalize("NFKC", p).translate(_TABLE)
-                for p in parts)
-    t = _SPACES.sub(" ", t).strip(" ")
+    t = _SPACES.sub(" ", rewrite(text)).strip(" ")
     if not t:
         return ""
     if add_prefix:
@@ -53,6 +112,14 @@ def _nmt_nfkc_udf(s: pd.Series) -> pd.Series:
     return s.map(nmt_nfkc, na_action="ignore")
 
 
+def _ascii_normalized(c: Column) -> Column:
+    spaces, gone = ("".join(chr(cp) for cp in cps if cp < 0x80) for cps in (NMT_SPACE, NMT_REMOVE))
+    t = F.trim(F.regexp_replace(F.translate(c, spaces + gone, " " * len(spaces)), " +", " "))
+    return F.when(t == "", t).otherwise(F.translate(F.concat(F.lit(" "), t), " ", WORD_BOUNDARY))
+
+
 def normalize_nmt_nfkc(col) -> Column:
-    """T0 as a column expression (Arrow UDF)."""
-    return _nmt_nfkc_udf(F.col(col) if isinstance(col, str) else col)
+    """T0 as a column expression; the Python step gets null for ASCII rows."""
+    c = F.col(col) if isinstance(col, str) else col
+    plain = ~c.rlike("[^\\x00-\\x7F]")
+    return F.when(plain, _ascii_normalized(c)).otherwise(_nmt_nfkc_udf(F.when(~plain, c)))

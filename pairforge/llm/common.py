@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import re
+from contextlib import contextmanager
 
 import numpy as np
+import regex
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -22,6 +23,8 @@ CACHE_WORDS = 200_000
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _HASHES: dict[bytes, int] = {}
+#: paths of the tables that ``stage`` has written and that still stand
+_MADE: list[str] = []
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -38,7 +41,23 @@ def stage(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    _MADE.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+@contextmanager
+def temporary(spark: SparkSession):
+    """Tables that ``stage`` writes inside go at the end, but for those given to the yielded function.
+
+    What leaves the block must read only tables that are kept."""
+    start, kept = len(_MADE), []
+    yield lambda df: kept.append(df.staged_path) or df
+    made, _MADE[start:] = _MADE[start:], kept
+    for path in set(made) - set(kept):
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
@@ -112,4 +131,5 @@ def crc32_mod(col, k: int):
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % k
 
 
-LETTER = re.compile(r"[^\W\d_]")
+#: by category: number signs such as ² or ½ are no letters
+LETTER = regex.compile(r"\p{L}")

@@ -27,6 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.lattice import Trie
 from ..sources.tables import table
 from .common import LETTER, crc32_mod, small_batches, spread_rows, stage
 
@@ -40,6 +41,8 @@ SPACE_MARK = "▁"
 FIT_WORDS = 20_000
 STRIP = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789"
 UND = "und"
+#: logarithms of probabilities down to minus this are far inside the range of a double
+LEAST_LOG = 600
 
 
 class Pieces:
@@ -60,33 +63,34 @@ class Pieces:
                  if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))]
         self.index = {p: 256 + i for i, p in enumerate(dict.fromkeys(names))}  # 0..255: bytes
         self.size = 256 + len(self.index)
-        self.longest = max(map(len, self.index))
-        # piece number, or -1 for a beginning of longer pieces only
-        self.trie = {p[:k]: -1 for p in self.index for k in range(1, len(p))} | self.index
+        self.trie = Trie(list(self.index))
 
     def edges(self, words: list[str]):
-        """(word, start, end, piece) of every piece inside every word, and (word, place, byte) of characters that are no piece."""
-        get, longest, wide = self.trie.get, self.longest, max(map(len, words)) + 1
-        code, piece, bw, bi, bb = [], [], [], [], []
-        for w, s in enumerate(words):
-            n = len(s)
-            for i in range(n):
-                at = (w * wide + i) * wide
-                for j in range(i + 1, min(n, i + longest) + 1):
-                    p = get(s[i:j])
-                    if p is None:
-                        break
-                    if p >= 0:
-                        code.append(at + j)
-                        piece.append(p)
-                if s[i] not in self.index:
-                    for b in s[i].encode("utf-8", "surrogatepass"):
-                        bw.append(w)
-                        bi.append(i)
-                        bb.append(b)
-        code = np.array(code, np.int64)
-        start = code // wide
-        return start // wide, start % wide, code % wide, np.array(piece, np.int64), *(np.array(x, np.int64) for x in (bw, bi, bb))
+        """(word, start, end, piece) of every piece inside every word, and (word, place, byte) of characters that are no piece.
+
+        The prefix table is walked from all characters of all words side by side."""
+        n = np.array([len(w) for w in words], np.int64)
+        text = "".join(words)
+        codes = self.trie.codes(text)
+        word = np.repeat(np.arange(len(words)), n)
+        place = np.arange(len(codes)) - (np.cumsum(n) - n)[word]
+        left = n[word] - place
+        at, state, length = np.arange(len(codes)), np.zeros(len(codes), np.int64), 0
+        found, single = [], np.zeros(len(codes), bool)
+        while len(at) and length < self.trie.max_len:
+            inside = left[at] > length
+            at, state = at[inside], state[inside]
+            state = self.trie.step(state, codes[at + length])
+            at, state = at[state > 0], state[state > 0]
+            length += 1
+            piece = self.trie.piece[state]
+            ends = piece >= 0
+            found.append((word[at[ends]], place[at[ends]], place[at[ends]] + length, 256 + piece[ends]))
+            if length == 1:
+                single[at[ends]] = True
+        rare = [(word[k], place[k], b) for k in np.flatnonzero(~single) for b in text[k].encode("utf-8", "surrogatepass")]
+        out = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in zip(*found)] or [np.zeros(0, np.int64)] * 4
+        return *out, *(np.array(x, np.int64) for x in (zip(*rare) if rare else ([], [], [])))
 
 
 @dataclass
@@ -118,7 +122,7 @@ def _lattice(pieces: Pieces, words: list[str]):
     A character that is no piece passes as its bytes (``single``); all others only as pieces."""
     w, i, j, p, bw, bi, bb = pieces.edges(words)
     n = max(map(len, words))
-    order = np.lexsort((j - i, j))
+    order = np.argsort(j * 64 + (j - i), kind="stable")
     w, i, j, p = w[order], i[order], j[order], p[order]
     cuts = np.flatnonzero(np.diff(j.astype(np.int64) * 64 + (j - i))) + 1
     return w, i, j, p, np.concatenate(([0], cuts, [len(w)])) if len(w) else np.array([0]), bw, bi, bb, n
@@ -134,6 +138,24 @@ def _byte_scores(logp, shape, bw, bi, bb):
 def forward(pieces: Pieces, words: list[str], logp: np.ndarray) -> np.ndarray:
     """log of the sum over all segmentations, words x languages."""
     w, i, j, p, cuts, bw, bi, bb, n = _lattice(pieces, words)
+    ends = [len(x) for x in words]
+    if logp.size and max(len(x.encode("utf-8", "surrogatepass")) for x in words) * -logp.min() < LEAST_LOG:
+        # no product of probabilities can leave the range of a double: sums of products do
+        prob = np.exp(logp)
+        single = np.zeros((n, len(words), logp.shape[1]))  # by place, so that a step reads one plane
+        if len(bw):
+            some = np.exp(_byte_scores(logp, (len(words), n), bw, bi, bb))
+            single[bi, bw] = some[bw, bi]
+        a = np.zeros((n + 1, len(words), logp.shape[1]))
+        a[0] = 1
+        at = 0
+        for end in range(1, n + 1):
+            a[end] = a[end - 1] * single[end - 1]
+            while at < len(cuts) - 1 and j[cuts[at]] == end:
+                s = slice(cuts[at], cuts[at + 1])
+                a[end, w[s]] += a[i[cuts[at]], w[s]] * prob[p[s]]
+                at += 1
+        return np.log(a[ends, np.arange(len(words))])
     a = np.full((len(words), n + 1, logp.shape[1]), -np.inf)
     a[:, 0] = 0
     single = _byte_scores(logp, (len(words), n), bw, bi, bb)
@@ -144,7 +166,7 @@ def forward(pieces: Pieces, words: list[str], logp: np.ndarray) -> np.ndarray:
             s = slice(cuts[at], cuts[at + 1])
             a[w[s], end] = np.logaddexp(a[w[s], end], a[w[s], i[s]] + logp[p[s]])
             at += 1
-    return a[np.arange(len(words)), [len(x) for x in words]]
+    return a[np.arange(len(words)), ends]
 
 
 def expected(pieces: Pieces, words: list[str], counts: np.ndarray, logp: np.ndarray) -> np.ndarray:
@@ -179,7 +201,7 @@ def expected(pieces: Pieces, words: list[str], counts: np.ndarray, logp: np.ndar
     return out
 
 
-def by_length(words: list[str], cells: int = 200_000):
+def by_length(words: list[str], cells: int = 100_000):
     """Groups of word numbers of like length, with a bounded lattice each."""
     order = sorted(range(len(words)), key=lambda k: len(words[k]))
     group, top = [], 1

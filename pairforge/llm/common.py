@@ -5,6 +5,7 @@ from __future__ import annotations
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -99,6 +100,12 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
 
 
+def forget_words() -> None:
+    """Free what a task leaves behind in its Python process: the next step may need the memory."""
+    _HASHES.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finalizer: a bijection of 64-bit integers."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -251,6 +251,7 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """Pipeline stage: documents that hold a test item go; the columns stay."""
     small_batches(spark)
     cols = docs.columns
-    named = docs.select(*cols)
-    out = find_leaks(named, table(spark, sf_dir, "benchmark"), keep=cols)
-    return out.filter(F.size("item_ids") == 0).select(*cols)
+    # names of the search's own columns may be names of the caller's: those are put aside
+    private = [f"_keep{k}" for k in range(len(cols))]
+    out = find_leaks(docs.toDF(*private), table(spark, sf_dir, "benchmark"), text_col=private[cols.index("text")], keep=private)
+    return out.filter(F.size("item_ids") == 0).select(*private).toDF(*cols)

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.tables import table
-from .common import as_signed, combine, encode_text, lower_ascii, mix, ngram_hashes, shuffle_parts, small_batches, spread_rows, stage, word_hashes
+from .common import as_signed, combine, encode_text, lower_ascii, mix, ngram_hashes, shuffle_parts, small_batches, spread_rows, stage, temporary, word_hashes
 from .components import components
 
 #: cost of filing and scanning one list entry against one enumerated subset
@@ -380,15 +380,25 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group of linked documents the one with the least id stays; texts without words all stay."""
-    small_batches(spark)
+    """Pipeline stage: of each group of linked documents one stays, the least by id (null: last) and then by a hash
+    of the text; texts without words all stay.  Links aren't counted here, so only groups are looked for."""
+    from .near_groups import linked_groups
+    small_batches(spark, 100)
     cols = docs.columns
-    found = link_documents(docs.select("doc_id", "text"), STAGE_WORDS, STAGE_THRESHOLD)
-    keep = stage(found.filter("_id = component_id").select("_id", "_th", "n_shingles").distinct(), "nj-keep")
-    rows = _prepared(docs, "doc_id", "text").join(keep, ["_id", "_th"])
+    rows = _prepared(docs, "doc_id", "text")
+    with temporary(spark) as keep:
+        keep(best := _kept_rows(linked_groups(rows, "text", STAGE_WORDS, STAGE_THRESHOLD)))
+    rows = rows.join(best, ["_id", "_th"])
     # repeated rows of one id and text: one stays
-    full = rows.filter("n_shingles > 0").dropDuplicates(["_id", "_th"])
-    return full.unionByName(rows.filter("n_shingles = 0")).select(*cols)
+    full = rows.filter("_some").dropDuplicates(["_id", "_th"])
+    return full.unionByName(rows.filter("not _some")).select(*cols)
+
+
+def _kept_rows(found: DataFrame) -> DataFrame:
+    """(_id, _th, whether the text has words) of the rows that stay."""
+    best = found.filter("n_shingles > 0").groupBy("root").agg(F.min(F.struct("_id", "_th")).alias("k")).select("k._id", "k._th", F.lit(True).alias("_some"))
+    none = found.filter("n_shingles = 0").select("_id", "_th", F.lit(False).alias("_some")).distinct()
+    return stage(best.unionByName(none), "nj-keep")
 
 
 OP9_SQL = r"""

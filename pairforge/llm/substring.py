@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.tables import table
-from .common import combine, encode_text, mix, small_batches, spread_rows, stage, word_hashes, as_signed
+from .common import combine, encode_text, mix, small_batches, spread_rows, stage, temporary, word_hashes, as_signed
 
 #: fixed value of the contract
 WINDOW = 50
@@ -255,6 +255,11 @@ def single_windows(keyed: DataFrame, needs: DataFrame, text_col: str) -> DataFra
 
 def repeated_ranges(keyed: DataFrame, text_col: str) -> DataFrame:
     """(id, th, ranges array<struct<pos, cnt>>): windows whose words start in a text with a smaller id."""
+    with temporary(keyed.sparkSession) as keep:
+        return keep(_repeated_ranges(keyed, text_col))
+
+
+def _repeated_ranges(keyed: DataFrame, text_col: str) -> DataFrame:
     # what a join reads beside the rows is written first: Spark can then split a skewed key
     groups = stage(window_groups(keyed, text_col), "sub-groups")
     shared = stage(groups.groupBy("sym").agg(F.min("id").alias("a"), F.max("id").alias("b"))

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -63,7 +64,10 @@ class Pieces:
                  if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))]
         self.index = {p: 256 + i for i, p in enumerate(dict.fromkeys(names))}  # 0..255: bytes
         self.size = 256 + len(self.index)
-        self.trie = Trie(list(self.index))
+
+    @cached_property
+    def prefixes(self) -> Trie:
+        return Trie(list(self.index))
 
     def edges(self, words: list[str]):
         """(word, start, end, piece) of every piece inside every word, and (word, place, byte) of characters that are no piece.
@@ -71,19 +75,19 @@ class Pieces:
         The prefix table is walked from all characters of all words side by side."""
         n = np.array([len(w) for w in words], np.int64)
         text = "".join(words)
-        codes = self.trie.codes(text)
+        codes = self.prefixes.codes(text)
         word = np.repeat(np.arange(len(words)), n)
         place = np.arange(len(codes)) - (np.cumsum(n) - n)[word]
         left = n[word] - place
         at, state, length = np.arange(len(codes)), np.zeros(len(codes), np.int64), 0
         found, single = [], np.zeros(len(codes), bool)
-        while len(at) and length < self.trie.max_len:
+        while len(at) and length < self.prefixes.max_len:
             inside = left[at] > length
             at, state = at[inside], state[inside]
-            state = self.trie.step(state, codes[at + length])
+            state = self.prefixes.step(state, codes[at + length])
             at, state = at[state > 0], state[state > 0]
             length += 1
-            piece = self.trie.piece[state]
+            piece = self.prefixes.piece[state]
             ends = piece >= 0
             found.append((word[at[ends]], place[at[ends]], place[at[ends]] + length, 256 + piece[ends]))
             if length == 1:

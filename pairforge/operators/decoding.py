@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..constants import (BEAM_SIZE, BOS_ID, EOS_ID, LENGTH_ALPHA, NGRAM_SIZE, PAD_ID, REPETITION_PENALTY,
                          SAMPLE_MAX_LEN)
 from ..functions.arrays import first_above, length_penalty, ngrams
-from ..session import fits_broadcast, materialize, stored
+from ..session import drop_stored, fits_broadcast, materialize, stored
 
 #: successors whose cumulative weights lie in one array
 DRAW_BLOCK = 256
@@ -181,24 +181,34 @@ class _StateLoop:
     """Per-step state of an iterative decoder.
 
     Steps are chained into one job of ``every`` steps, whose result is written to the
-    shared checkpoint folder and read back: a lost executor replays at most so many steps.  The step number
-    is a column of the state, so every job has the same plan and the same generated code."""
+    shared checkpoint folder and read back: a lost executor replays at most so many steps.
+    The step number is a column of the state, so every job has the same plan and the same
+    generated code.  A state goes when the next one is written."""
 
     def __init__(self, state: DataFrame, every: int = 4):
-        self.state, self.every, self.n = _by_example(stored(state, "decoding")), max(1, every or 1), 0
+        self.every, self.n = max(1, every or 1), 0
+        self.written = stored(state, "decoding")
+        self.state = _by_example(self.written)
+
+    def _write(self, state: DataFrame) -> None:
+        # a written state reads nothing of the one before, which may go
+        before, self.written = self.written, stored(state, "decoding")
+        drop_stored(before)
+        self.state = _by_example(self.written)
 
     def advance(self, nxt: DataFrame, live) -> int | None:
         """Make ``nxt`` the state; where a job ends, the number of rows that are still ``live``."""
         self.n += 1
+        self.state = nxt
         if self.n % self.every:
-            self.state = nxt
             return None
-        done = stored(nxt, "decoding")
-        self.state = _by_example(done)
-        return done.filter(live).count()
+        self._write(nxt)
+        return self.written.filter(live).count()
 
     def finish(self) -> DataFrame:
-        return self.state if self.n % self.every == 0 else stored(self.state, "decoding")
+        if self.n % self.every:
+            self._write(self.state)
+        return self.written
 
 
 def decode_random(sources: DataFrame, scores: DataFrame, max_len: int = SAMPLE_MAX_LEN,

@@ -106,7 +106,16 @@ def stored(df, name: str):
     partitioning behind, which :func:`materialize` keeps."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def drop_stored(df) -> None:
+    """Delete a table that :func:`stored` wrote; nothing may read it any more."""
+    sc = df.sparkSession.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(df.stored_path)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 #: a table that every task holds may have this many bytes

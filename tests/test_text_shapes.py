@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from pairforge.functions.normalize import PORTION_BYTES, nmt_nfkc, text_portions
 from pairforge.functions.text import SPACES, clean_text, strip_text
 from pairforge.operators import decoding as D
 from pairforge.operators import metrics as M
+from pairforge.operators import scorer as S
 from pairforge.operators import tokenizer as TK
 from pairforge.operators import vocab_learn as V
 
@@ -116,3 +118,32 @@ def test_strip_takes_all_white_space(spark):
     r = spark.createDataFrame([(t,), (SPACES,), (None,)], "t string").select(strip_text("t").alias("s")).collect()
     assert [x.s for x in r] == ["a" + SPACES + "b", "", None]
     assert sorted(SPACES) == sorted(c for c in map(chr, range(0x110000)) if re.match(r"\s", c))
+
+
+def test_best_logits_with_ties():
+    draw = np.random.default_rng(2)
+    for n in (1, 2, 15, 16, 17, 300):
+        tokens = np.sort(draw.choice(1_000, n, replace=False))
+        z = draw.integers(-4, 4, n) / 2
+        z[: n // 5] = -np.inf
+        for k in (1, 3, 16):
+            assert S._best(tokens, z, k).tolist() == sorted(range(n), key=lambda i: (-z[i], tokens[i]))[:k]
+
+
+def test_beams_of_a_scorer_equal_the_table_form(spark):
+    draw = random.Random(4)
+    rows = [(p, t, -draw.choice([0.5, 1.0, 1.5, 2.0])) for p in [1, *range(4, 60)] for t in draw.sample(range(2, 60), 50)]
+    scores = spark.createDataFrame(rows, "prev_id int, token_id int, logit double")
+    src = spark.createDataFrame([(i, [1, 4 + i], [1, 4 + i]) for i in range(12)], "ex_id long, x_src array<int>, prefix array<int>")
+    table = {r.ex_id: r.tokens for r in D.decode_beam(src, scores, 6, 3, 1.0, 0.1).collect()}
+    got = {r.ex_id: r.tokens for r in S.decode_with_scorer(src, S.table_scorer(scores), "beam", max_len=6, beam_size=3, diversity=0.1).collect()}
+    assert got == table
+
+
+def test_sources_of_a_scorer_are_dealt_to_all_tasks(spark):
+    src = spark.createDataFrame([(i, [4], [1]) for i in range(600)], "ex_id long, x_src array<int>, prefix array<int>").coalesce(1)
+    scores = spark.createDataFrame([(1, 4, -1.0), (4, 2, -1.0)], "prev_id int, token_id int, logit double")
+    r = S.decode_with_scorer(src, S.table_scorer(scores), "greedy", max_len=3).withColumn("part", F.spark_partition_id())
+    rows = r.collect()
+    assert [x.tokens for x in rows] == [[1, 4, 2]] * 600
+    assert len({x.part for x in rows}) >= min(600, spark.sparkContext.defaultParallelism)

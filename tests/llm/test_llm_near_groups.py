@@ -1,5 +1,6 @@
 """Groups of linked documents against brute force."""
 
+import os
 import random
 
 import numpy as np
@@ -62,6 +63,27 @@ def test_groups_equal_brute_force(spark, monkeypatch, seed, n, num, block):
     assert sorted(map(sorted, by.values())) == sorted(map(sorted, want.values()))
 
 
+def test_keys_and_sets_go_as_soon_as_they_are_read(spark, monkeypatch):
+    made, write = [], G.stage
+
+    def noted(df, name):
+        # tables that still stand while the next one is written
+        standing.append((name, [n for n, x in made if os.path.exists(x.staged_path.removeprefix("file:"))]))
+        out = write(df, name)
+        made.append((name, out))
+        return out
+
+    standing = []
+    monkeypatch.setattr(G, "stage", noted)
+    df = spark.createDataFrame(list(enumerate(texts(6))), "doc_id long, text string")
+    assert G.linked_groups(J._prepared(df, "doc_id", "text"), "text", 5, J.Threshold(80, 100)).count() == 120
+    columns = {n: x.columns for n, x in made}
+    at = [n for n, _ in standing].index("ng-low")
+    assert sum("keys" in columns[n] for n in standing[at][1]) == 1
+    late = [n for name, there in standing[[n for n, _ in standing].index("ng-stars"):] for n in there if name != "ng-links"]
+    assert late and not any("keys" in columns[n] or "set" in columns[n] for n in late)
+
+
 def test_a_sketch_never_hides_a_link():
     draw, t = np.random.default_rng(1), J.Threshold(80, 100)
     for _ in range(300):

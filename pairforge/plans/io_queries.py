@@ -71,8 +71,9 @@ def q_stream_encode(spark, sf_dir):
     from .model_queries import document_seeds
     v = document_seeds(spark, sf_dir)
     schema = table(spark, sf_dir, "documents").schema
-    sdf = SJ.parquet_stream(spark, sf_dir, "documents", schema)
-    enc = SJ.encode_stream(sdf, "text", lambda d: TK.encode(d, "text", v, "ids"), "doc_id")
+    sdf = SJ.parquet_stream(spark, sf_dir, "documents", schema, bytes_per_trigger=1 << 30)
+    enc = SJ.encode_stream(sdf, "text", lambda d: TK.encode(d, "text", v, "ids"), "doc_id",
+                           parts=4 * spark.sparkContext.defaultParallelism)
     out = SJ.run_to_table(enc.select("doc_id", "ids"), "stream_encode")
     return spark.read.parquet(out).select("doc_id", F.size("ids").cast("long").alias("n_ids"),
                                           F.md5(F.array_join("ids", ",")).alias("ids_md5"))

@@ -22,9 +22,13 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
 
 
-def parquet_stream(spark: SparkSession, folder: str, name: str, schema, files_per_trigger: int = 1) -> DataFrame:
-    """A file stream over the table ``folder/name.parquet``: a folder of part files, or one file."""
-    r = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+def parquet_stream(spark: SparkSession, folder: str, name: str, schema, files_per_trigger: int = 1,
+                   bytes_per_trigger: int | None = None) -> DataFrame:
+    """A file stream over the table ``folder/name.parquet``: a folder of part files, or one file.
+
+    With ``bytes_per_trigger`` a micro-batch takes as many files as that holds (one at least)."""
+    size = ("maxFilesPerTrigger", files_per_trigger) if bytes_per_trigger is None else ("maxBytesPerTrigger", bytes_per_trigger)
+    r = spark.readStream.schema(schema).option(*size)
     path = os.path.join(folder, f"{name}.parquet")
     if is_folder(spark, path):
         return r.parquet(path)
@@ -32,8 +36,13 @@ def parquet_stream(spark: SparkSession, folder: str, name: str, schema, files_pe
 
 
 def encode_stream(sdf: DataFrame, text_col: str, encoder, key_col: str, clean: bool = True,
-                  stop_word: str = "quit") -> DataFrame:
-    """ST1: stateless stream: drop ``quit`` lines → cleanup (P3) → ``encoder``."""
+                  stop_word: str = "quit", parts: int | None = None) -> DataFrame:
+    """ST1: stateless stream: drop ``quit`` lines → cleanup (P3) → ``encoder``.
+
+    With ``parts`` the rows of a micro-batch are dealt to so many tasks: a file, or a row group
+    of it, would otherwise be one task."""
+    if parts:
+        sdf = sdf.select(key_col, text_col).repartition(parts)
     d = sdf.filter(~F.lower(F.col(text_col)).eqNullSafe(F.lit(stop_word)))  # null text stays
     if clean:
         d = d.withColumn(text_col, clean_text(text_col))

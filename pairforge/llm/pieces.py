@@ -29,7 +29,7 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import groupby, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +49,7 @@ TOGETHER = 20_000
 #: texts of about so many characters are encoded together (a longer one alone)
 CHARS = 2_000_000
 #: rank of a pair that makes no piece
-NONE = 1 << 60
+NONE = (1 << 31) - 1
 #: words with the spaces before them, and spaces at the end
 RUNS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -97,7 +97,11 @@ class Pieces:
                 self.unknown = i
             self.plain.append(not byte)
         self.control = {i for i, x in enumerate(self.spell) if not x}
-        self.decimal = [str(i) for i in range(len(self.spell))]
+        # by id, for many ids at once: the decimal number behind a comma, the text, and whether
+        # its first character may be the space that stands before every text
+        self.decimals = pa.array([b",%d" % i for i in range(len(self.spell))], pa.large_binary())
+        self.spells = pa.array(self.spell, pa.large_binary())
+        self.spaced = np.array([x[:1] == b" " and p and i != self.unknown for i, (x, p) in enumerate(zip(self.spell, self.plain))], bool)
         #: a space never follows another character inside a piece, and a line feed stands alone
         inner = [p for p in self.ids if len(p) > 1]
         self.by_words = not any(SPACE in p.lstrip(SPACE) for p in inner)
@@ -120,16 +124,19 @@ class Pieces:
                     self.made[left * self.width + right] = self.symbol[p]
         self.text = {i: p for p, i in self.symbol.items()}
         # the same as arrays: symbol by code point, merges by sorted key
-        self.by_code = np.full(0x110000, -1, np.int64)
+        self.by_code = np.full(0x110000, -1, np.int32)
         for p, i in self.symbol.items():
             if len(p) == 1:
                 self.by_code[ord(p)] = i
         self.keys = np.array(sorted(self.rank), np.int64)
-        self.key_rank = np.array([*(self.rank[k] for k in self.keys.tolist()), NONE], np.int64)
-        self.key_made = np.array([*(self.made[k] for k in self.keys.tolist()), -1], np.int64)
+        self.key_rank = np.array([*(self.rank[k] for k in self.keys.tolist()), NONE], np.int32)
+        self.key_made = np.array([*(self.made[k] for k in self.keys.tolist()), -1], np.int32)
         #: ids of words (see ``words``) and of other stretches
         self.known: dict[str, bytes] = {}
         self.odd: dict[str, bytes] = {}
+        #: the same as they stood when the caches were last full
+        self.known_before: dict[str, bytes] = {}
+        self.odd_before: dict[str, bytes] = {}
 
     # -- encoding ------------------------------------------------------------
     def merge(self, sym: list) -> list:
@@ -173,7 +180,7 @@ class Pieces:
 
     def pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Number of the merge of every two symbols; the last number if there is none."""
-        key = a * self.width + b
+        key = a.astype(np.int64) * self.width + b
         at = np.searchsorted(self.keys, key)
         at[at == len(self.keys)] = 0
         return np.where(self.keys[at] == key, at, len(self.keys)) if len(self.keys) else np.zeros(len(key), np.int64)
@@ -181,35 +188,33 @@ class Pieces:
     def stretches(self, texts: list[str]) -> list[bytes]:
         """Ids of many short stretches at once: a row of a matrix is the agenda of a stretch."""
         n = np.array(list(map(len, texts)))
-        cols = np.arange(int(n.max()))
-        sym = np.full((len(texts), len(cols)), -1, np.int64)
+        cols = np.arange(int(n.max()), dtype=np.int32)
+        sym = np.full((len(texts), len(cols)), -1, np.int32)
         sym[cols < n[:, None]] = self.by_code[np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)]
-        none = len(self.keys)
-        agenda = np.full(sym.shape, none)
-        agenda[:, :-1] = self.pairs(sym[:, :-1].ravel(), sym[:, 1:].ravel()).reshape(len(texts), -1)
-        done, rows = sym.copy(), np.arange(len(texts))
-        while True:
-            rank = self.key_rank[agenda]
-            at = rank.argmin(axis=1)  # the leftmost of the best
-            live = rank[np.arange(len(rows)), at] < NONE
-            done[rows[~live]] = sym[~live]
-            if not live.any():
-                break
-            rows, sym, agenda, at = rows[live], sym[live], agenda[live], at[live]
-            r = np.arange(len(rows))
-            new = self.key_made[agenda[r, at]]
+        # ranks of the pairs (no symbol: no merge)
+        agenda = self.key_rank[self.pairs(sym[:, :-1].ravel(), sym[:, 1:].ravel())].reshape(len(texts), -1)
+        done, rows = np.full_like(sym, -1), np.arange(len(texts))
+        # every row that is left has had as many merges, so the matrix gets narrower by one column a step
+        while agenda.shape[1]:
+            at = agenda.argmin(axis=1)  # the leftmost of the best
+            live = agenda[np.arange(len(rows)), at] < NONE
+            if not live.all():
+                done[rows[~live], : sym.shape[1]] = sym[~live]
+                rows, sym, agenda, at = rows[live], sym[live], agenda[live], at[live]
+                if not len(rows):
+                    break
+            r, last = np.arange(len(rows)), agenda.shape[1] - 1
+            new = self.key_made[self.pairs(sym[r, at], sym[r, at + 1])]
             n[rows] -= 1
             # what stands behind the pair moves one place to the left
-            behind = np.minimum(cols + (cols > at[:, None]), len(cols) - 1)
-            sym = np.take_along_axis(sym, behind, 1)
-            agenda = np.take_along_axis(agenda, behind, 1)
+            behind = cols[: last + 1] > at[:, None]
+            sym = np.where(behind, sym[:, 1:], sym[:, :-1])
+            agenda = np.where(behind[:, :last], agenda[:, 1:], agenda[:, :-1])
             sym[r, at] = new
-            sym[r, n[rows]] = -1
-            agenda[r, n[rows] - 1] = none
-            after = at + 1 < n[rows]
-            agenda[r[after], at[after]] = self.pairs(new[after], sym[r[after], at[after] + 1])
-            before = at > 0
-            agenda[r[before], at[before] - 1] = self.pairs(sym[r[before], at[before] - 1], new[before])
+            after, before = np.flatnonzero(at < last), np.flatnonzero(at > 0)
+            agenda[after, at[after]] = self.key_rank[self.pairs(new[after], sym[after, at[after] + 1])]
+            agenda[before, at[before] - 1] = self.key_rank[self.pairs(sym[before, at[before] - 1], new[before])]
+        done[rows, : sym.shape[1]] = sym
         inside = cols < n[:, None]
         plain = ((done >= 0) & (done < len(self.spell)) | ~inside).all(axis=1)
         data, end = done[inside].astype(np.int32).tobytes(), np.cumsum(n * 4).tolist()
@@ -239,12 +244,17 @@ class Pieces:
     def encode_many(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of every text."""
         found = [self.words(t) if t else ([], self.odd) for t in texts]
-        for known in (self.known, self.odd):
+        for known, before in ((self.known, self.known_before), (self.odd, self.odd_before)):
             new = set().union(*[w for w, d in found if d is known]).difference(known)
             if len(known) + len(new) > CACHE_WORDS:
+                # words that are used again come back from the generation before
+                before.clear()
+                before.update(known)
                 known.clear()
                 new = set().union(*[w for w, d in found if d is known])
-            new = sorted(w for w in new if len(w) < CACHED_CHARS)
+            old = new.intersection(before)
+            known.update((w, before[w]) for w in old)
+            new = sorted(w for w in new.difference(old) if len(w) < CACHED_CHARS)
             self.learn(known, new, new if known is self.odd else [w if w[0] == "\n" else SPACE + w for w in new])
         out = []
         for words, known in found:
@@ -281,6 +291,21 @@ class Pieces:
         except UnicodeDecodeError:
             return self._decode_runs(ids)
 
+    def decode_many(self, ids: np.ndarray, ends: np.ndarray) -> Iterator[bytes]:
+        """The decoded texts (UTF-8) of many rows of ids, of which one ends where the next begins."""
+        odd = np.isin(ids, list(self.control))
+        for (a, b), data in zip(pairwise(ends.tolist()), _joined(self.spells, ids, ends)):
+            if a < b and not odd[a:b].any():
+                if self.prefix and self.spaced[ids[a]]:
+                    data = data[1:]
+                try:
+                    str(data, "utf-8")
+                    yield data
+                    continue
+                except UnicodeDecodeError:
+                    pass
+            yield self.decode(ids[a:b].tolist()).encode()
+
     def _decode_runs(self, ids: list[int]) -> str:
         """Runs of byte pieces on their own: every byte that starts no character is replaced."""
         out, first = [], bool(self.prefix)
@@ -313,6 +338,14 @@ def replace_bytes(data: bytes) -> str:
     return "".join(out)
 
 
+def _joined(words: pa.Array, ids: np.ndarray, ends: np.ndarray) -> Iterator[memoryview]:
+    """The words of every row's ids one after the other."""
+    taken = words.take(pa.array(ids))
+    at, data = np.frombuffer(taken.buffers()[1], np.int64, len(ids) + 1), memoryview(taken.buffers()[2] or b"")
+    for a, b in pairwise(at[ends].tolist()):
+        yield data[a:b]
+
+
 def _portions(texts: list) -> Iterator[list[str]]:
     held, n = [], 0
     for t in texts:
@@ -360,14 +393,11 @@ def digests(encoded: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens and hex digests of the ids and of the text decoded from them."""
     def run(batches):
         pieces = Pieces.load(path)
-        decimal = pieces.decimal
         for b in batches:
-            n, a, d = [], [], []
-            for ids in b.column(1).to_pylist():
-                n.append(len(ids))
-                a.append(hashlib.sha256(",".join([decimal[i] for i in ids]).encode()).hexdigest())
-                d.append(hashlib.sha256(pieces.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(d, pa.string())],
+            ends, ids = b.column(1).offsets.to_numpy(), b.column(1).values.to_numpy()
+            a = [hashlib.sha256(x[1:]).hexdigest() for x in _joined(pieces.decimals, ids, ends)]
+            d = [hashlib.sha256(x).hexdigest() for x in pieces.decode_many(ids, ends)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(ends), pa.int64()), pa.array(a, pa.string()), pa.array(d, pa.string())],
                                              names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return encoded.select("doc_id", "ids").mapInArrow(

@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pairforge.llm.pieces import CACHED_CHARS, Pieces, decode, digests, disagreements, encode, model_path, op13_sentencepiece
 
@@ -59,3 +60,23 @@ def test_whole_table_equals_the_library(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert disagreements(docs, model_path()).count() == 0
     assert op13_sentencepiece(spark, SF).count() == docs.count()
+
+
+def test_words_in_use_outlive_a_full_cache(monkeypatch):
+    from pairforge.llm import pieces as module
+    monkeypatch.setattr(module, "CACHE_WORDS", 60)
+    fresh, learned = Pieces(model_path()), []
+    learn = fresh.learn
+    monkeypatch.setattr(fresh, "learn", lambda known, words, texts: (learned.extend(words), learn(known, words, texts)))
+    texts = [f"often seen words stay w{k}x once{k}" for k in range(200)]
+    found = [fresh.encode(t).tolist() for t in texts]
+    assert found == fresh.library.encode(texts, num_threads=1)
+    assert learned.count("often") == 1 and len(fresh.known) + len(fresh.known_before) <= 120
+
+
+def test_many_rows_decode_as_one(pieces):
+    rows = [pieces.encode(t).tolist() for t in ["plain words", "", "a\nb \n\n c", "日本 \U0001F600é", " ▁ x", "\x00\x01"]]
+    rows += [[], [pieces.unknown], [1, rows[0][0]], [rows[0][0]] * 3, [pieces.bytes[0xE6]], [pieces.bytes[0xE6], rows[0][0], 2]]
+    ends = np.cumsum([0, *map(len, rows)])
+    ids = np.array([i for r in rows for i in r], np.int32)
+    assert [str(x, "utf-8") if isinstance(x, memoryview) else x.decode() for x in pieces.decode_many(ids, ends)] == pieces.library.decode(rows)

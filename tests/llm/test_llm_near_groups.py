@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pairforge.llm import jaccard as J, near_groups as G
 
@@ -84,6 +85,39 @@ def test_keys_and_sets_go_as_soon_as_they_are_read(spark, monkeypatch):
     assert late and not any("keys" in columns[n] or "set" in columns[n] for n in late)
 
 
+@pytest.mark.parametrize("seed,block,pairs", [(7, 3, 0), (8, 1024, 0), (9, 4, 1)])
+def test_groups_equal_brute_force_where_lists_are_dense(spark, monkeypatch, seed, block, pairs):
+    monkeypatch.setattr(G, "PAIRS_OF_ENTRY", pairs)
+    monkeypatch.setattr(G, "COUNTED", 1)
+    test_groups_equal_brute_force(spark, monkeypatch, seed, 5, 80, block)
+
+
+def test_a_list_writes_rows_by_its_entries_and_equal_lists_count_once(spark):
+    t, sk = J.Threshold(80, 100), bytes([1] * G.CLASSES)
+    rows = [(key, h, h, 256, sk) for key in (1, 2) for h in range(60)]
+    lists = spark.createDataFrame(rows, "key long, h long, root long, n int, sketch binary")
+    found = G._between(lists, t).collect()
+    assert sorted((r.key, r.a) for r in found) == [(r[0], r[1]) for r in rows] and not any(r.b for r in found)
+    few = G._between(lists.filter("h < 3"), t).collect()
+    assert sorted((r.key, r.a, r.b) for r in few) == [(None, 0, 1), (None, 0, 2), (None, 1, 2)]
+    more = lists.unionByName(lists.filter("key = 1 and h > 0").withColumn("key", F.lit(3).cast("long")))
+    assert sorted(r.key for r in G._one_of_equal(more, F.lit(True)).collect()) == [1, 3]
+
+
+def test_linked_sets_share_a_first_shingle_in_any_order():
+    draw, t = np.random.default_rng(2), J.Threshold(80, 100)
+    for _ in range(300):
+        whole = np.unique(draw.integers(0, 1 << 62, draw.integers(1, 300)).astype(np.uint64))
+        a, b = (whole[draw.random(len(whole)) < 0.92] for _ in range(2))
+        name = whole[draw.random(len(whole)) < draw.random()]
+        count = draw.integers(2, 9, len(name))
+        if len(a) and len(b) and t.linked(len(a), len(b), len(np.intersect1d(a, b))):
+            assert len(np.intersect1d(*(G.first_shingles(x, t, name, count) for x in (a, b))))
+    # a common passage isn't what a set is filed under
+    passage, own = np.arange(50, dtype=np.uint64), np.arange(100, 150, dtype=np.uint64)
+    assert set(G.first_shingles(np.concatenate((passage, own)), t, passage, np.full(50, 9)).tolist()) <= set(own.tolist())
+
+
 def test_a_sketch_never_hides_a_link():
     draw, t = np.random.default_rng(1), J.Threshold(80, 100)
     for _ in range(300):
